@@ -21,6 +21,13 @@ from ..operators.joins import checked_broadcast
 from ..schemas import PERF_GROUP, PERF_TOTAL_ORDER, TOTAL
 
 
+ENRICHED_COLUMNS = ["ORDER_ID", "UNITS_SOLD", "UNIT_PRICE", "UNIT_COST", "TOTAL_REVENUE",
+                    "TOTAL_COST", "TOTAL_PROFIT", "SHIPPING_DAYS", "PRODUCT_CATEGORY", "REGION",
+                    "COUNTRY", "SALES_CHANNEL", "ORDER_PRIORITY", "PRIORITY_LABEL",
+                    "PRIORITY_SORT_ORDER", "YEAR", "MONTH", "MONTH_NAME", "QUARTER",
+                    "YEAR_QUARTER", "YEAR_MONTH", "IS_WEEKEND"]
+
+
 def enrich(fact: DataFrame, dim_product: DataFrame, dim_geography: DataFrame,
            dim_channel: DataFrame, dim_priority: DataFrame, dim_date: DataFrame) -> DataFrame:
     """Fact rows with the descriptive attributes of their dimensions (inner joins)."""
@@ -29,12 +36,13 @@ def enrich(fact: DataFrame, dim_product: DataFrame, dim_geography: DataFrame,
     f = fact.select("ORDER_ID", "UNITS_SOLD", "UNIT_PRICE", "UNIT_COST", "TOTAL_REVENUE",
                     "TOTAL_COST", "TOTAL_PROFIT", "SHIPPING_DAYS", "PRODUCT_ID",
                     "GEOGRAPHY_ID", "CHANNEL_ID", "PRIORITY_ID", "ORDER_DATE_KEY")
-    return (f
-            .join(checked_broadcast(dim_product), "PRODUCT_ID")
-            .join(checked_broadcast(dim_geography), "GEOGRAPHY_ID")
-            .join(checked_broadcast(dim_channel), "CHANNEL_ID")
-            .join(checked_broadcast(dim_priority), "PRIORITY_ID")
-            .join(checked_broadcast(dd), f.ORDER_DATE_KEY == dd.DATE_KEY))
+    joined = (f
+              .join(checked_broadcast(dim_product), "PRODUCT_ID")
+              .join(checked_broadcast(dim_geography), "GEOGRAPHY_ID")
+              .join(checked_broadcast(dim_channel), "CHANNEL_ID")
+              .join(checked_broadcast(dim_priority), "PRIORITY_ID")
+              .join(checked_broadcast(dd), f.ORDER_DATE_KEY == dd.DATE_KEY))
+    return joined.select(*ENRICHED_COLUMNS)
 
 
 def aggregate_monthly(enriched: DataFrame) -> DataFrame:
