@@ -114,8 +114,9 @@ def avg_revenue_per_order(perf, by=None):
 
 
 def avg_shipping_days(perf, by=None):
-    """Unweighted mean of the mart rows' averages (as the measure is defined)."""
-    return _group(perf, by, mean("AVG_SHIPPING_DAYS").alias("AVG_SHIPPING_DAYS"))
+    """Unweighted mean of the mart rows' averages (as the measure is defined), to 6
+    decimals: a sum of doubles depends on the order of addition in the last bits."""
+    return _group(perf, by, F.round(mean("AVG_SHIPPING_DAYS"), 6).alias("AVG_SHIPPING_DAYS"))
 
 
 def top_products(perf, by=None, n: int = TOP_N_PRODUCTS):
@@ -150,7 +151,7 @@ def gross_margin_display(perf, by=None):
 
 def revenue_millions(perf, by=None):
     return total_revenue(perf, by).select(
-        *_by(by), format_millions(F.col("TOTAL_REVENUE")).alias("REVENUE_M"))
+        *_by(by), format_millions(F.col("TOTAL_REVENUE").cast("double")).alias("REVENUE_M"))
 
 
 def mom_color(perf, by=None):
