@@ -12,8 +12,8 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import materialize
-from ..sources.testdata import raw_sales
+from ..session import materialize, scratch_path
+from ..sources.testdata import raw_sales, write_feed
 from . import dims as dims_mod
 from .fact import build_fact
 from .mart import build_performance, enrich
@@ -32,6 +32,7 @@ class Model:
         self.materialize_shared = materialize_shared
         self._raw = raw
         self._cache: dict[str, DataFrame] = {}
+        self._paths: dict[str, str] = {}
 
     def _keep(self, name: str, build, shared: bool = False) -> DataFrame:
         if name not in self._cache:
@@ -89,3 +90,10 @@ class Model:
     def perf_shared(self) -> DataFrame:
         """The mart, materialized: for consumers that read it several times."""
         return self._keep("sales_performance_m", lambda: self.perf(), shared=True)
+
+    def feed_path(self, drop_headers: tuple[str, ...] = ()) -> str:
+        """The raw table written as a CSV feed (once per variant) in the shared folder."""
+        key = f"feed:{'|'.join(drop_headers)}"
+        if key not in self._paths:
+            self._paths[key] = write_feed(self.raw(), scratch_path(self.spark, "feed"), drop_headers)
+        return self._paths[key]

@@ -80,3 +80,57 @@ def raw_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         (revenue - total_cost).cast(AMOUNT).alias("TOTAL_PROFIT"),
         F.col("l_shipdate").cast("timestamp_ntz").alias("_ingested_at"),
     )
+
+
+# ---------------------------------------------------------------------------------------
+# A CSV feed derived from the adapter, for the ingest operators.
+# ---------------------------------------------------------------------------------------
+
+# Text formats the feed uses for dates, chosen per order by a rule.
+FEED_DATE_FORMATS = ["MM/dd/yyyy", "yyyy-MM-dd", "dd/MM/yyyy"]
+# Defects planted in the feed, keyed by ORDER_ID % 1000 (about 0.1 % of
+# rows each): column, planted text ('{v}' = the clean value).
+FEED_DEFECTS = {
+    13: ("Units Sold", "  "),             # whitespace only: rejected
+    25: ("Units Sold", ""),               # empty: loads as 0
+    37: ("Unit Price", "n/a"),            # not a number: rejected
+    41: ("Order Date", "not-a-date"),     # unparsable: loads as NULL
+    52: ("Region", "  {v}\t"),            # padded: stripped
+    64: ("Order ID", ""),                 # empty id: loads as 0, staging drops it
+    88: ("Country", "{v}" + "x" * 101),   # over the declared length: rejected
+}
+
+
+def _formatted_date(d: Column, selector: Column) -> Column:
+    expr = F.date_format(d, FEED_DATE_FORMATS[-1])
+    for i in reversed(range(len(FEED_DATE_FORMATS) - 1)):
+        expr = F.when(selector == i, F.date_format(d, FEED_DATE_FORMATS[i])).otherwise(expr)
+    return expr
+
+
+def feed_text(raw: DataFrame) -> DataFrame:
+    """The raw rows as the 14 text columns of the source CSV, with planted defects."""
+    from ..schemas import CSV_HEADERS, HEADER_TO_RAW
+
+    oid = F.col("ORDER_ID")
+    group = F.floor(oid / 10)
+    clean = {h: F.col(c).cast("string") for h, c in HEADER_TO_RAW.items()}
+    clean["Order Date"] = _formatted_date(F.col("ORDER_DATE"), F.pmod(group, F.lit(3)))
+    clean["Ship Date"] = _formatted_date(F.col("SHIP_DATE"), F.pmod(group + 1, F.lit(3)))
+    cols = dict(clean)
+    for key, (header, text) in FEED_DEFECTS.items():
+        planted = F.lit(text) if "{v}" not in text else F.concat(
+            *[p for part in text.split("{v}") for p in (F.lit(part), clean[header])][:-1])
+        cols[header] = F.when(F.pmod(oid, F.lit(1000)) == key, planted).otherwise(cols[header])
+    return raw.select(*[cols[h].alias(h) for h in CSV_HEADERS])
+
+
+def write_feed(raw: DataFrame, path: str, drop_headers: tuple[str, ...] = ()) -> str:
+    """Write the feed as headered CSV (whitespace kept as is)."""
+    feed = feed_text(raw)
+    if drop_headers:
+        feed = feed.drop(*drop_headers)
+    (feed.write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+    return path
