@@ -5,4 +5,4 @@ derives from them, over whole tables.
 """
 
 from .core import ORACLE, QUERIES, model, reset_models  # noqa: F401
-from . import layers, functions, quality, measures, ingest  # noqa: F401,E402  (registration order = module order)
+from . import layers, functions, quality, measures, ingest, incremental  # noqa: F401,E402  (registration order = module order)
