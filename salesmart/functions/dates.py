@@ -8,7 +8,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Accepted text date formats, tried in this order; the first match wins.
-DATE_FORMATS = ["M/d/yyyy", "yyyy-M-d", "d/M/yyyy"]
+# Each is (pattern with three groups, position of year, month, day among the groups).
+DATE_FORMATS = [
+    ("month/day/year", r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", (3, 1, 2)),
+    ("year-month-day", r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", (1, 2, 3)),
+    ("day/month/year", r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", (3, 2, 1)),
+]
+# The characters Python's str.strip() removes (Unicode whitespace).
+WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003"
+              "\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 # Fixed value: sentinel for a missing date in staging.
 SENTINEL_DATE = "1900-01-01"
 # Fixed value: width of blank-padded month and day names.
@@ -21,13 +29,24 @@ def _col(c: Column | str) -> Column:
 
 def strip_ws(c: Column | str) -> Column:
     """Remove leading and trailing whitespace of any kind (not only spaces)."""
-    return F.regexp_replace(_col(c), r"(?U)^\s+|\s+$", "")
+    return F.trim(_col(c), F.lit(WHITESPACE))
 
 
 def parse_date_multi(c: Column | str) -> Column:
-    """Parse text in any of ``DATE_FORMATS`` after stripping; NULL when none matches."""
+    """Parse text in any of ``DATE_FORMATS`` after stripping; NULL when none matches.
+
+    Each format is a pattern match, then (only on a match, so the digits always cast)
+    the parts go to ``try_make_timestamp_ntz``, which gives NULL for an impossible date
+    such as 02/30. A format that does not apply costs one failed match, not a parser
+    exception per row.
+    """
     text = strip_ws(c)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(fmt)) for fmt in DATE_FORMATS]).cast("date")
+    candidates = []
+    for _name, pattern, (yi, mi, di) in DATE_FORMATS:
+        y, m, d = [F.regexp_extract(text, pattern, i).cast("int") for i in (yi, mi, di)]
+        parsed = F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")
+        candidates.append(F.when(text.rlike(pattern), parsed))
+    return F.coalesce(*candidates)
 
 
 def date_key(c: Column | str) -> Column:

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,20 @@ DIM_KEYS = {
 }
 
 
+class _Clock:
+    def __init__(self, sink: dict | None):
+        self.sink, self.step, self.t0 = sink, None, 0.0
+
+    def start(self, step: str) -> None:
+        self.stop()
+        self.step, self.t0 = step, time.perf_counter()
+
+    def stop(self) -> None:
+        if self.sink is not None and self.step is not None:
+            self.sink[self.step] = self.sink.get(self.step, 0.0) + time.perf_counter() - self.t0
+        self.step = None
+
+
 @dataclass
 class RunReport:
     mode: str
@@ -98,21 +113,27 @@ def upsert_fact_partitions(spark: SparkSession, folder: str, batch: DataFrame) -
 
 def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
               as_of: str | _dt.date | None = None, full_refresh: bool = False,
-              enforce_gates: bool = True, enforce_tests: bool = True) -> RunReport:
+              enforce_gates: bool = True, enforce_tests: bool = True,
+              timings: dict | None = None) -> RunReport:
+    """Run the layers in order; ``timings`` (if given) receives seconds per step."""
+    clock = _Clock(timings)
     is_incremental = (not full_refresh) and current_version(spark, warehouse, "marts/fact_sales") is not None
     report = RunReport(mode="incremental" if is_incremental else "full")
 
     # 1. source gates: one scan, all six evaluated, then stop if any failed
+    clock.start("validate_source")
     report.gates = [r.asDict() for r in Q.run_gates(raw, as_of, raise_on_failure=False)]
     if enforce_gates and any(g["FAILED"] for g in report.gates):
         report.failed_step = "validate_source"
         raise Q.GateFailure([(g["GATE"], g["VALUE"]) for g in report.gates if g["FAILED"]])
 
     # 2. staging (persisted for this run: six models read it)
+    clock.start("staging")
     write_version(build_staging(raw), warehouse, "staging/stg_sales")
     stg = read_table(spark, warehouse, "staging/stg_sales")
 
     # 3. dimensions
+    clock.start("dimensions")
     dims: dict[str, DataFrame] = {}
     prev_date = read_table(spark, warehouse, "marts/dim_date") if is_incremental else None
     dim_date = DM.build_dim_date(stg) if prev_date is None else INC.dim_date_missing(prev_date, stg)
@@ -132,6 +153,7 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
         dims[name] = read_table(spark, warehouse, f"marts/{name}")
 
     # 4. fact
+    clock.start("fact")
     if not is_incremental:
         fact = build_fact(stg, dims["dim_product"], dims["dim_geography"], dims["dim_channel"],
                           dims["dim_priority"], dims["dim_date"])
@@ -143,6 +165,7 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
     fact = read_fact(spark, warehouse)
 
     # 5. consumption mart
+    clock.start("consumption")
     prev_perf = read_table(spark, warehouse, "consumption/sales_performance") if is_incremental else None
     if prev_perf is None:
         perf = build_performance(enrich(fact, dims["dim_product"], dims["dim_geography"],
@@ -153,6 +176,7 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
     perf = read_table(spark, warehouse, "consumption/sales_performance")
 
     # 6. data tests (declared tests + financial integrity), failing rows stored
+    clock.start("data_tests")
     layers = {"raw_sales": raw, "stg_sales": stg, "fact_sales": fact, "sales_performance": perf, **dims}
     results = Q.run_data_tests(layers).collect()  # one row per declared test
     integrity = Q.integrity_failures(fact)
@@ -162,6 +186,7 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
     report.tables = {"stg_sales": current_version(spark, warehouse, "staging/stg_sales"),
                      "fact_sales": current_version(spark, warehouse, "marts/fact_sales"),
                      "sales_performance": current_version(spark, warehouse, "consumption/sales_performance")}
+    clock.stop()
     failed = [t["TEST_NAME"] for t in report.tests if not t["PASSED"]]
     if failed and enforce_tests:
         report.failed_step = "dbt_test"

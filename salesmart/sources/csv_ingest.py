@@ -110,9 +110,10 @@ def coerce_feed(df: DataFrame, header: list[str]) -> DataFrame:
                 dtype, pattern, kind = DECIMAL_COLUMNS[raw_name], NUMBER_PATTERN, "a number"
             parsed = F.trim(src).try_cast(dtype)
             values[raw_name] = F.when(is_default, F.lit(0).cast(dtype)).otherwise(parsed)
-            errors[raw_name] = (F.when(is_default, F.lit(None))
-                                .when(~src.rlike(pattern), F.lit(f"{h}: not {kind}"))
-                                .when(parsed.isNull(), F.lit(f"{h}: out of range")))
+            # the pattern only runs on rows whose cast failed, to name the reason
+            errors[raw_name] = (F.when(is_default | parsed.isNotNull(), F.lit(None))
+                                .when(src.rlike(pattern), F.lit(f"{h}: out of range"))
+                                .otherwise(F.lit(f"{h}: not {kind}")))
     reason = F.coalesce(*[errors[c] for c in RAW_COLUMNS])
     source = F.struct(*[F.col(f"`{h}`").alias(h) for h in header])
     return df.select(*[values[c].alias(c) for c in RAW_COLUMNS],
