@@ -4,16 +4,13 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Accepted text date formats, tried in this order; the first match wins.
-# Each is (pattern with three groups, position of year, month, day among the groups).
-DATE_FORMATS = [
-    ("month/day/year", r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", (3, 1, 2)),
-    ("year-month-day", r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", (1, 2, 3)),
-    ("day/month/year", r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", (3, 2, 1)),
-]
+# Accepted text date formats, tried in this order; the first match wins:
+# month/day/year, year-month-day, day/month/year (one- or two-digit month and day).
+SLASH_SHAPE = r"^[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}$"
+DASH_SHAPE = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}$"
 # The characters Python's str.strip() removes (Unicode whitespace).
 WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003"
               "\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
@@ -32,21 +29,48 @@ def strip_ws(c: Column | str) -> Column:
     return F.trim(_col(c), F.lit(WHITESPACE))
 
 
-def parse_date_multi(c: Column | str) -> Column:
-    """Parse text in any of ``DATE_FORMATS`` after stripping; NULL when none matches.
+def _checked_date(y: Column, m: Column, d: Column) -> Column:
+    """The date y-m-d, or NULL if it does not exist (month 13, 30 February, ...).
+
+    Built without any call that can fail: January 1 of the year, plus m-1 months, plus
+    d-1 days; the result is the requested date exactly when its month and day come back
+    unchanged.
+    """
+    candidate = F.date_add(F.add_months(F.make_date(y, F.lit(1), F.lit(1)), m - 1), d - 1)
+    ok = (y >= 1) & (m >= 1) & (d >= 1) & (F.month(candidate) == m) & (F.dayofmonth(candidate) == d)
+    return F.when(ok, candidate)
+
+
+def date_from_parts(parts: Column, slash: Column, dash: Column) -> Column:
+    """Date from the split text ``parts`` and its shape flags, formats in priority order."""
+    a, b, c = [F.when(slash | dash, parts.getItem(i)).cast("int") for i in range(3)]
+    return F.coalesce(F.when(slash, _checked_date(c, a, b)),    # month/day/year
+                      F.when(dash, _checked_date(a, b, c)),     # year-month-day
+                      F.when(slash, _checked_date(c, b, a)))    # day/month/year
 
-    Each format is a pattern match, then (only on a match, so the digits always cast)
-    the parts go to ``try_make_timestamp_ntz``, which gives NULL for an impossible date
-    such as 02/30. A format that does not apply costs one failed match, not a parser
-    exception per row.
+
+def with_parsed_dates(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add one parsed date per ``{name: text column}``, in three small projections.
+
+    Stripping, the shape tests and the split are separate steps so every generated
+    method stays small enough for the JIT; a single expression that re-derives them
+    inline grows past the JVM's compile limit and runs interpreted.
     """
+    names = list(columns)
+    step = df.select("*", *[strip_ws(columns[n]).alias(f"__t_{n}") for n in names])
+    step = step.select("*", *[x for n in names for x in (
+        F.col(f"__t_{n}").rlike(SLASH_SHAPE).alias(f"__s_{n}"),
+        F.col(f"__t_{n}").rlike(DASH_SHAPE).alias(f"__d_{n}"),
+        F.split(F.col(f"__t_{n}"), "[/-]").alias(f"__p_{n}"))])
+    step = step.select("*", *[date_from_parts(F.col(f"__p_{n}"), F.col(f"__s_{n}"), F.col(f"__d_{n}")).alias(n)
+                              for n in names])
+    return step.drop(*[f"__{k}_{n}" for n in names for k in ("t", "s", "d", "p")])
+
+
+def parse_date_multi(c: Column | str) -> Column:
+    """Single-expression form of the parser (for ad-hoc use on one column)."""
     text = strip_ws(c)
-    candidates = []
-    for _name, pattern, (yi, mi, di) in DATE_FORMATS:
-        y, m, d = [F.regexp_extract(text, pattern, i).cast("int") for i in (yi, mi, di)]
-        parsed = F.try_make_timestamp_ntz(y, m, d, F.lit(0), F.lit(0), F.lit(0)).cast("date")
-        candidates.append(F.when(text.rlike(pattern), parsed))
-    return F.coalesce(*candidates)
+    return date_from_parts(F.split(text, "[/-]"), text.rlike(SLASH_SHAPE), text.rlike(DASH_SHAPE))
 
 
 def date_key(c: Column | str) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.dates import as_of_date
 from ..functions.numeric import pct
-from .joins import anti_join
+from .joins import anti_join, checked_broadcast
 
 # Source gate names, in the order they run.
 GATE_ROW_COUNT = "Row count > 0"
@@ -185,11 +185,25 @@ def unique_failures(table: DataFrame, model: str, column: str) -> DataFrame:
         F.lit(column).alias("COLUMN_NAME"), F.lit("unique").alias("KIND"), "FAILURES")
 
 
-def relationship_failures(child: DataFrame, t: DataTest, parent: DataFrame) -> DataFrame:
-    orphans = anti_join(child.select(t.column), parent, t.column, t.parent_column)
-    return orphans.agg(F.count(F.lit(1)).cast("bigint").alias("FAILURES")).select(
-        F.lit(t.name).alias("TEST_NAME"), F.lit(t.model).alias("MODEL"),
-        F.lit(t.column).alias("COLUMN_NAME"), F.lit("relationships").alias("KIND"), "FAILURES")
+def relationship_failures(child: DataFrame, tests: list[DataTest],
+                          tables: dict[str, DataFrame]) -> DataFrame:
+    """All relationship tests of one child table in a single pass over it.
+
+    Each parent's distinct keys are joined (left, broadcast behind the size check) to
+    the child's foreign key; a non-NULL key without a parent match is a failure.
+    """
+    joined = child.select(*dict.fromkeys(t.column for t in tests))
+    for i, t in enumerate(tests):
+        keys = tables[t.parent].select(F.col(t.parent_column).alias(f"_pk{i}")).distinct()
+        joined = joined.join(checked_broadcast(keys), F.col(t.column) == F.col(f"_pk{i}"), "left")
+    counts = joined.agg(*[_count_if(F.col(t.column).isNotNull() & F.col(f"_pk{i}").isNull()).alias(f"_rf{i}")
+                          for i, t in enumerate(tests)])
+    rows = F.array(*[
+        F.struct(F.lit(t.name).alias("TEST_NAME"), F.lit(t.model).alias("MODEL"),
+                 F.lit(t.column).alias("COLUMN_NAME"), F.lit("relationships").alias("KIND"),
+                 F.col(f"_rf{i}").alias("FAILURES"))
+        for i, t in enumerate(tests)])
+    return counts.select(F.inline(rows))
 
 
 def run_data_tests(tables: dict[str, DataFrame], tests: list[DataTest] = DECLARED_TESTS,
@@ -204,8 +218,9 @@ def run_data_tests(tables: dict[str, DataFrame], tests: list[DataTest] = DECLARE
     for t in selected:
         if t.kind == "unique":
             parts.append(unique_failures(tables[t.model], t.model, t.column))
-        elif t.kind == "relationships":
-            parts.append(relationship_failures(tables[t.model], t, tables[t.parent]))
+    for model in dict.fromkeys(t.model for t in selected if t.kind == "relationships"):
+        rel = [t for t in selected if t.kind == "relationships" and t.model == model]
+        parts.append(relationship_failures(tables[model], rel, tables))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

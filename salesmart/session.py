@@ -11,8 +11,11 @@ import os
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
+JIT_FLAG = "-XX:-DontCompileHugeMethods"
+
 # Default session settings: AQE on (partition coalescing and skew-join splitting),
 # UTC session time zone so DATE <-> TIMESTAMP casts never depend on the host.
 SESSION_DEFAULTS = {
@@ -38,6 +41,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.master(master)
     for key, value in SESSION_DEFAULTS.items():
         builder = builder.config(key, value)
+    # Generated code for wide projections (the CSV coercion, the mart) exceeds the JVM's
+    # 8000-byte JIT limit and would run interpreted; allow the JIT to compile it. The
+    # flag is appended to whatever options the launcher already set.
+    launch = SparkConf()
+    for key in ("spark.driver.extraJavaOptions", "spark.executor.extraJavaOptions"):
+        current = launch.get(key, "") or ""
+        if JIT_FLAG not in current:
+            builder = builder.config(key, f"{current} {JIT_FLAG}".strip())
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
@@ -77,15 +88,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/salesmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
+                cluster_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a scan of it.
 
     The returned DataFrame has no lineage back to ``df``; later reads get column
-    pruning and filter pushdown, and the planner sees the true size.
+    pruning and filter pushdown, and the planner sees the true size. ``cluster_by``
+    range-partitions the rows first (see ``write_version``).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    writer = df.write.mode("overwrite")
+    out = df.repartitionByRange(*cluster_by) if cluster_by else df
+    writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

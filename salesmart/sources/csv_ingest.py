@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.dates import parse_date_multi, strip_ws
+from ..functions.dates import strip_ws, with_parsed_dates
 from ..schemas import AMOUNT, CSV_HEADERS, HEADER_TO_RAW, PRICE, RAW_COLUMNS, RAW_MAX_LENGTH
 
 log = logging.getLogger(__name__)
@@ -88,6 +88,7 @@ def coerce_feed(df: DataFrame, header: list[str]) -> DataFrame:
     n_fields = F.when(F.col(CORRUPT).isNull(), F.lit(len(header))).otherwise(_field_count(F.col(CORRUPT)))
     values: dict[str, Column] = {}
     errors: dict[str, Column] = {}
+    date_texts: dict[str, Column] = {}
     for h, raw_name in HEADER_TO_RAW.items():
         if h not in present:
             src, missing_field = F.lit(None).cast("string"), F.lit(False)
@@ -100,7 +101,8 @@ def coerce_feed(df: DataFrame, header: list[str]) -> DataFrame:
                                 .when(F.length(text) > RAW_MAX_LENGTH[raw_name],
                                       F.lit(f"{h}: longer than {RAW_MAX_LENGTH[raw_name]}")))
         elif raw_name in DATE_COLUMNS:
-            values[raw_name] = parse_date_multi(F.coalesce(src, F.lit("")))
+            date_texts[f"_date_{raw_name}"] = F.coalesce(src, F.lit(""))
+            values[raw_name] = F.col(f"_date_{raw_name}")
             errors[raw_name] = F.when(missing_field, F.lit(f"{h}: missing field"))
         else:
             is_default = src.isNull() | (src == "")
@@ -116,8 +118,8 @@ def coerce_feed(df: DataFrame, header: list[str]) -> DataFrame:
                                 .otherwise(F.lit(f"{h}: not {kind}")))
     reason = F.coalesce(*[errors[c] for c in RAW_COLUMNS])
     source = F.struct(*[F.col(f"`{h}`").alias(h) for h in header])
-    return df.select(*[values[c].alias(c) for c in RAW_COLUMNS],
-                     reason.alias("_reject_reason"), source.alias("_source"))
+    return with_parsed_dates(df, date_texts).select(
+        *[values[c].alias(c) for c in RAW_COLUMNS], reason.alias("_reject_reason"), source.alias("_source"))
 
 
 def ingest_csv(spark: SparkSession, path: str) -> IngestResult:
