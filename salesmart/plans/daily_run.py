@@ -91,7 +91,8 @@ def upsert_fact_partitions(spark: SparkSession, folder: str, batch: DataFrame) -
     and also prunes the scan of the existing table.
     """
     existing = spark.read.parquet(folder)
-    batch = _with_part(batch)
+    # Written once: the keys, the month list and the new content all read it.
+    batch = materialize(_with_part(batch), "fact-batch")
     batch_keys = batch.select("ORDER_ID").distinct()
     holders = existing.join(batch_keys, "ORDER_ID", "left_semi").select(PART_COL)
     months = materialize(holders.union(batch.select(PART_COL)).distinct(), "fact-months")

@@ -83,7 +83,7 @@ def _with_feed(select: str, drop: tuple[str, ...] = ()) -> str:
 
 def _coerced(spark, sf, drop=()):
     df, header = CI.read_feed(spark, model(spark, sf).feed_path(drop))
-    return CI.coerce_feed(df, header)
+    return CI.coerce_feed(df, header, source_for_all=True)
 
 
 def _ingested(spark, sf, drop=()):

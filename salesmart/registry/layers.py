@@ -17,7 +17,7 @@ from ..plans import measures as MS
 from ..plans.fact import recent_slice
 from ..plans.mart import aggregate_monthly, calendar_rolling
 from ..plans.model import Model
-from ..plans.staging import dedup_ordering, staging_base
+from ..plans.staging import build_staging, dedup_ordering, staging_base
 from ..schemas import PERF_KEY
 from .core import (AS_OF, AS_OF_MINUS_30, AS_OF_SQL, ORACLE, W, _cnt_sql, _count_if, alias,
                    model, register)
@@ -87,6 +87,15 @@ def s18_bi_read(spark, sf):
     return model(spark, sf).perf_shared().select(*SEMANTIC_COLUMNS)
 
 
+@register("s16_staging_view", W("SELECT * FROM stg_sales"))
+def s16_staging_view(spark, sf):
+    """S16: staging as a view. The plan is registered under a name, nothing is stored;
+    every query on the name re-plans it from the raw table (filters and pruning reach
+    the raw scan)."""
+    build_staging(model(spark, sf).raw()).createOrReplaceTempView("stg_sales_view")
+    return spark.sql("SELECT * FROM stg_sales_view")
+
+
 # =======================================================================================
 # P: projection and filter
 # =======================================================================================

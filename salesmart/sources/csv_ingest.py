@@ -82,8 +82,11 @@ def _field_count(line: Column) -> Column:
     return F.size(F.split(unquoted, ",", -1))
 
 
-def coerce_feed(df: DataFrame, header: list[str]) -> DataFrame:
-    """Typed raw columns plus ``_reject_reason`` (NULL when the row is accepted)."""
+def coerce_feed(df: DataFrame, header: list[str], source_for_all: bool = False) -> DataFrame:
+    """Typed raw columns plus ``_reject_reason`` (NULL when the row is accepted).
+
+    ``_source`` holds the original fields of a rejected row (of every row with
+    ``source_for_all``, for inspecting the coercion)."""
     present = {h: i for i, h in enumerate(header) if h in HEADER_TO_RAW}
     n_fields = F.when(F.col(CORRUPT).isNull(), F.lit(len(header))).otherwise(_field_count(F.col(CORRUPT)))
     values: dict[str, Column] = {}
@@ -117,7 +120,11 @@ def coerce_feed(df: DataFrame, header: list[str]) -> DataFrame:
                                 .when(src.rlike(pattern), F.lit(f"{h}: out of range"))
                                 .otherwise(F.lit(f"{h}: not {kind}")))
     reason = F.coalesce(*[errors[c] for c in RAW_COLUMNS])
+    # Accepted rows carry a NULL source by default, so the persisted copy of the feed in
+    # ``load_csv`` is not twice its size.
     source = F.struct(*[F.col(f"`{h}`").alias(h) for h in header])
+    if not source_for_all:
+        source = F.when(reason.isNotNull(), source)
     return with_parsed_dates(df, date_texts).select(
         *[values[c].alias(c) for c in RAW_COLUMNS], reason.alias("_reject_reason"), source.alias("_source"))
 
