@@ -22,6 +22,7 @@ from __future__ import annotations
 import datetime as _dt
 import logging
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,25 +134,31 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
     write_version(build_staging(raw), warehouse, "staging/stg_sales")
     stg = read_table(spark, warehouse, "staging/stg_sales")
 
-    # 3. dimensions
+    # 3. dimensions: six independent builds, submitted as concurrent jobs
     clock.start("dimensions")
-    dims: dict[str, DataFrame] = {}
-    prev_date = read_table(spark, warehouse, "marts/dim_date") if is_incremental else None
-    dim_date = DM.build_dim_date(stg) if prev_date is None else INC.dim_date_missing(prev_date, stg)
-    write_version(dim_date, warehouse, "marts/dim_date")
-    dims["dim_date"] = read_table(spark, warehouse, "marts/dim_date")
-    for name, (natural, id_col, keys_fn, rename) in DIM_KEYS.items():
-        prev = read_table(spark, warehouse, f"marts/{name}") if is_incremental else None
-        if prev is None:
-            built = getattr(DM, f"build_{name}")(stg)
+
+    def build_dim(name: str) -> DataFrame:
+        if name == "dim_date":
+            prev_date = read_table(spark, warehouse, "marts/dim_date") if is_incremental else None
+            built = DM.build_dim_date(stg) if prev_date is None else INC.dim_date_missing(prev_date, stg)
         else:
-            cand = keys_fn(stg).select(*[F.col(k).alias(v) for k, v in rename.items()])
-            stable = append_new_ids(prev.select(id_col, *natural), cand, natural, id_col)
-            built = stable if name != "dim_priority" else stable.select(
-                id_col, "ORDER_PRIORITY", DM.priority_label(F.col("ORDER_PRIORITY")).alias("PRIORITY_LABEL"),
-                DM.priority_sort(F.col("ORDER_PRIORITY")).alias("PRIORITY_SORT_ORDER"))
+            natural, id_col, keys_fn, rename = DIM_KEYS[name]
+            prev = read_table(spark, warehouse, f"marts/{name}") if is_incremental else None
+            if prev is None:
+                built = getattr(DM, f"build_{name}")(stg)
+            else:
+                cand = keys_fn(stg).select(*[F.col(k).alias(v) for k, v in rename.items()])
+                stable = append_new_ids(prev.select(id_col, *natural), cand, natural, id_col)
+                built = stable if name != "dim_priority" else stable.select(
+                    id_col, "ORDER_PRIORITY",
+                    DM.priority_label(F.col("ORDER_PRIORITY")).alias("PRIORITY_LABEL"),
+                    DM.priority_sort(F.col("ORDER_PRIORITY")).alias("PRIORITY_SORT_ORDER"))
         write_version(built, warehouse, f"marts/{name}")
-        dims[name] = read_table(spark, warehouse, f"marts/{name}")
+        return read_table(spark, warehouse, f"marts/{name}")
+
+    names = ["dim_date", *DIM_KEYS]
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        dims: dict[str, DataFrame] = dict(zip(names, pool.map(build_dim, names)))
 
     # 4. fact
     clock.start("fact")

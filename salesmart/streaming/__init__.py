@@ -1 +1,6 @@
-"""Structured Streaming entry points."""
+"""Structured Streaming: intentionally empty.
+
+The job this package replaces has no stream source, watermark, stream window or state;
+"late-arriving" orders are handled by the batch upsert (``plans.daily_run``). Nothing
+here until a streaming operator is part of the inventory.
+"""
