@@ -31,10 +31,9 @@ def above_watermark(candidates: DataFrame, col: str, target: DataFrame, target_c
                     floor: str = "1900-01-01") -> DataFrame:
     """Rows of ``candidates`` with ``col`` > ``COALESCE(MAX(target_col), floor)``.
 
-    The maximum is a one-row aggregate joined as a broadcast (a scalar subquery)."""
-    mx = target.agg(F.coalesce(F.max(target_col), F.lit(floor).cast("date")).alias("_watermark"))
-    return (candidates.crossJoin(F.broadcast(mx))
-            .where(F.col(col) > F.col("_watermark")).drop("_watermark"))
+    The maximum is a scalar subquery: evaluated once, its value compared on every row."""
+    mx = target.agg(F.coalesce(F.max(target_col), F.lit(floor).cast("date"))).scalar()
+    return candidates.where(F.col(col) > mx)
 
 
 def append_new_ids(existing: DataFrame, candidates: DataFrame, natural_key: list[str],
@@ -43,10 +42,9 @@ def append_new_ids(existing: DataFrame, candidates: DataFrame, natural_key: list
     natural-key order. Returns the complete dimension (existing + new)."""
     new_keys = candidates.select(*natural_key).distinct().join(
         existing.select(*natural_key), natural_key, "left_anti")
-    offset = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("_base"))
+    base = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
     numbered = (assign_row_numbers(new_keys, natural_key, "_n")
-                .crossJoin(F.broadcast(offset))
-                .select(*natural_key, (F.col("_base") + F.col("_n")).cast("int").alias(id_col)))
+                .select(*natural_key, (base + F.col("_n")).cast("int").alias(id_col)))
     return existing.select(id_col, *natural_key).unionByName(numbered.select(id_col, *natural_key))
 
 

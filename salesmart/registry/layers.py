@@ -419,9 +419,10 @@ SELECT (SELECT MAX(FULL_DATE) FROM dim_date) AS MAX_FULL_DATE,
        (SELECT MAX(_ingested_at) FROM raw_sales) AS MAX_INGESTED_AT"""))
 def a9(spark, sf):
     m = model(spark, sf)
-    return (m.dim_date().agg(F.max("FULL_DATE").alias("MAX_FULL_DATE"))
-            .crossJoin(m.stg().agg(F.max("order_date").alias("MAX_ORDER_DATE")))
-            .crossJoin(m.raw().agg(F.max("_ingested_at").alias("MAX_INGESTED_AT"))))
+    return m.dim_date().agg(F.max("FULL_DATE").alias("MAX_FULL_DATE")).select(
+        "MAX_FULL_DATE",
+        m.stg().agg(F.max("order_date")).scalar().alias("MAX_ORDER_DATE"),
+        m.raw().agg(F.max("_ingested_at")).scalar().alias("MAX_INGESTED_AT"))
 
 
 @register("a10_duplicate_order_ids", W("""
