@@ -89,18 +89,18 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
 def write_version(df: DataFrame, root: str, name: str,
                   partition_by: list[str] | None = None,
                   sort_within: list[str] | None = None,
-                  cluster_by: list[str] | None = None) -> str:
+                  rebalance_by: list[str] | None = None) -> str:
     """Write ``df`` as a new version folder, then switch the pointer to it.
 
-    With ``cluster_by`` (partition columns first, then a high-cardinality column) the
-    rows are range-partitioned before the write: each small partition value lands in one
-    task and so in one file, while a value holding a large share of the rows is split
-    across many tasks by the second column. Without it every task would write a file
-    into every partition value it holds (tasks x values small files).
+    With ``rebalance_by`` (the partition columns) the rows are shuffled once by those
+    columns under a ``REBALANCE`` hint: AQE then merges small partition values into
+    shared tasks (one file per value) and splits a value holding a large share of the
+    rows across several tasks. Without it every task would write a file into every
+    partition value it holds (tasks x values small files).
     """
     spark = df.sparkSession
     folder = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex[:12]}"
-    out = df.repartitionByRange(*cluster_by) if cluster_by else df
+    out = df.hint("rebalance", *rebalance_by) if rebalance_by else df
     order = list(partition_by or []) + list(sort_within or [])
     if order:
         out = out.sortWithinPartitions(*order)

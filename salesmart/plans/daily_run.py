@@ -101,7 +101,7 @@ def upsert_fact_partitions(spark: SparkSession, folder: str, batch: DataFrame) -
     kept = (existing.join(months_b, PART_COL, "left_semi")
             .join(batch_keys, "ORDER_ID", "left_anti"))
     staged = materialize(kept.unionByName(batch.select(*existing.columns)), "fact-upsert",
-                         partition_by=[PART_COL], cluster_by=[PART_COL, "ORDER_ID"])
+                         partition_by=[PART_COL], rebalance_by=[PART_COL])
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(PART_COL).parquet(folder))
     # A month left with no rows is not replaced by a dynamic overwrite: drop it.
@@ -166,7 +166,7 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
         fact = build_fact(stg, dims["dim_product"], dims["dim_geography"], dims["dim_channel"],
                           dims["dim_priority"], dims["dim_date"])
         write_version(_with_part(fact), warehouse, "marts/fact_sales", partition_by=[PART_COL],
-                      sort_within=["GEOGRAPHY_ID"], cluster_by=[PART_COL, "ORDER_ID"])
+                      sort_within=["GEOGRAPHY_ID"], rebalance_by=[PART_COL])
     else:
         batch = INC.fact_increment(stg, dims, as_of)
         upsert_fact_partitions(spark, current_version(spark, warehouse, "marts/fact_sales"), batch)

@@ -89,16 +89,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                cluster_by: list[str] | None = None) -> DataFrame:
+                rebalance_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a scan of it.
 
     The returned DataFrame has no lineage back to ``df``; later reads get column
-    pruning and filter pushdown, and the planner sees the true size. ``cluster_by``
-    range-partitions the rows first (see ``write_version``).
+    pruning and filter pushdown, and the planner sees the true size. ``rebalance_by``
+    shuffles the rows by the partition columns first (see ``write_version``).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    out = df.repartitionByRange(*cluster_by) if cluster_by else df
+    out = df.hint("rebalance", *rebalance_by) if rebalance_by else df
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
