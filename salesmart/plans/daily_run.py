@@ -29,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
-from ..operators.joins import checked_broadcast
 from ..operators.upsert import append_new_ids, current_version, read_table, write_version
 from ..session import materialize
 from . import dims as DM
@@ -88,28 +87,31 @@ def upsert_fact_partitions(spark: SparkSession, folder: str, batch: DataFrame) -
     Affected = months the batch writes to, plus months that now hold one of its ids (an
     order whose date changed moves partition). Their new content is staged in the shared
     folder, then swapped in with a dynamic partition overwrite; other months are not
-    touched. The month list is bounded by the number of partitions, so it is broadcast
-    and also prunes the scan of the existing table.
+    touched. The month list is bounded by the number of partitions (one row each), so it
+    comes to the driver and becomes a literal partition filter: the scan of the existing
+    table reads only the affected month directories.
     """
     existing = spark.read.parquet(folder)
     # Written once: the keys, the month list and the new content all read it.
     batch = materialize(_with_part(batch), "fact-batch")
     batch_keys = batch.select("ORDER_ID").distinct()
     holders = existing.join(batch_keys, "ORDER_ID", "left_semi").select(PART_COL)
-    months = materialize(holders.union(batch.select(PART_COL)).distinct(), "fact-months")
-    months_b = checked_broadcast(months)
-    kept = (existing.join(months_b, PART_COL, "left_semi")
+    months = sorted(r[PART_COL] for r in holders.union(batch.select(PART_COL)).distinct().collect())
+    if not months:
+        return
+    kept = (existing.where(F.col(PART_COL).isin(months))
             .join(batch_keys, "ORDER_ID", "left_anti"))
     staged = materialize(kept.unionByName(batch.select(*existing.columns)), "fact-upsert",
                          partition_by=[PART_COL], rebalance_by=[PART_COL])
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(PART_COL).parquet(folder))
     # A month left with no rows is not replaced by a dynamic overwrite: drop it.
-    emptied = months.join(staged.select(PART_COL).distinct(), PART_COL, "left_anti").collect()
-    if emptied:  # at most one row per month partition
+    written = {r[PART_COL] for r in staged.select(PART_COL).distinct().collect()}
+    emptied = [m for m in months if m not in written]
+    if emptied:
         jvm = spark.sparkContext._jvm
-        for row in emptied:
-            p = jvm.org.apache.hadoop.fs.Path(f"{folder}/{PART_COL}={row[PART_COL]}")
+        for month in emptied:
+            p = jvm.org.apache.hadoop.fs.Path(f"{folder}/{PART_COL}={month}")
             p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
