@@ -10,12 +10,30 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+# Bounded row counts already taken, by (plan, input files, bound). Spark names every file it
+# writes uniquely, so the same plan over the same files is the same data.
+_COUNTED: dict[tuple, int] = {}
+
+
+def bounded_count(df: DataFrame, limit: int) -> int:
+    """``min(rows of df, limit + 1)``; one job per distinct file-based plan."""
+    files = tuple(sorted(df.inputFiles()))
+    key = (df.semanticHash(), files, limit) if files else None
+    if key is None or key not in _COUNTED:
+        n = df.limit(limit + 1).count()
+        if key is None:
+            return n
+        _COUNTED[key] = n
+    return _COUNTED[key]
+
+
 def checked_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(dim)`` if ``dim`` has at most ``max_rows`` rows, else ``dim``.
 
-    ``dim`` should be materialized (or tiny to compute): the check runs a count.
+    ``dim`` should be materialized (or tiny to compute): the check runs a count, once
+    per plan and set of files.
     """
-    n = dim.limit(max_rows + 1).count()
+    n = bounded_count(dim, max_rows)
     return F.broadcast(dim) if n <= max_rows else dim
 
 
