@@ -175,3 +175,14 @@ def test_data_tests_detect_failures(spark):
     got = {r.KIND: r.FAILURES for r in Q.run_data_tests({"fact_sales": fact, "dim_product": prod}, tests).collect()}
     assert got == {"unique": 1, "relationships": 1, "not_null": 0}
     assert [r.TOTAL_REVENUE for r in Q.integrity_failures(fact).collect()] == [Decimal("9.99")]
+
+
+def test_checked_broadcast_falls_back_past_the_bound(spark):
+    from salesmart.operators.joins import checked_broadcast
+    from salesmart.session import materialize
+    dim = materialize(spark.range(10).withColumnRenamed("id", "k"), "bcast-dim")
+    assert checked_broadcast(dim, max_rows=5) is dim                  # too big: plain join
+    hinted = checked_broadcast(dim, max_rows=10)                      # within the bound
+    assert hinted is not dim and "broadcast" in str(hinted._jdf.queryExecution().logical()).lower()
+    fact = spark.range(100).select((F.col("id") % 12).alias("k"))
+    assert fact.join(checked_broadcast(dim, max_rows=5), "k").count() == fact.join(dim, "k").count() == 84
