@@ -165,15 +165,31 @@ DECLARED_TESTS = [
 RESULT_SCHEMA = "TEST_NAME string, MODEL string, COLUMN_NAME string, KIND string, FAILURES bigint"
 
 
-def not_null_failures(table: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """All not-null tests of one table in one aggregation."""
-    agg = table.agg(*[_count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(columns)])
-    rows = F.array(*[
-        F.struct(F.lit(f"not_null_{model}_{c}").alias("TEST_NAME"), F.lit(model).alias("MODEL"),
-                 F.lit(c).alias("COLUMN_NAME"), F.lit("not_null").alias("KIND"),
-                 F.col(f"_nn{i}").alias("FAILURES"))
-        for i, c in enumerate(columns)])
-    return agg.select(F.inline(rows))
+def column_failures(child: DataFrame, model: str, not_null: list[str],
+                    relationships: list[DataTest], tables: dict[str, DataFrame]) -> DataFrame:
+    """All not-null and relationship tests of one table in a single pass over it.
+
+    Each parent's distinct keys are joined (left, broadcast behind the size check) to the
+    child's foreign key, which keeps every child row exactly once; one aggregate then
+    counts NULLs per tested column and, per relationship, the non-NULL keys without a
+    parent match.
+    """
+    joined = child.select(*dict.fromkeys(not_null + [t.column for t in relationships]))
+    for i, t in enumerate(relationships):
+        keys = tables[t.parent].select(F.col(t.parent_column).alias(f"_pk{i}")).distinct()
+        joined = joined.join(checked_broadcast(keys), F.col(t.column) == F.col(f"_pk{i}"), "left")
+    counts = joined.agg(
+        *[_count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(not_null)],
+        *[_count_if(F.col(t.column).isNotNull() & F.col(f"_pk{i}").isNull()).alias(f"_rf{i}")
+          for i, t in enumerate(relationships)])
+
+    def row(name: str, column: str, kind: str, failures: str) -> Column:
+        return F.struct(F.lit(name).alias("TEST_NAME"), F.lit(model).alias("MODEL"),
+                        F.lit(column).alias("COLUMN_NAME"), F.lit(kind).alias("KIND"),
+                        F.col(failures).alias("FAILURES"))
+    rows = ([row(f"not_null_{model}_{c}", c, "not_null", f"_nn{i}") for i, c in enumerate(not_null)]
+            + [row(t.name, t.column, "relationships", f"_rf{i}") for i, t in enumerate(relationships)])
+    return counts.select(F.inline(F.array(*rows)))
 
 
 def unique_failures(table: DataFrame, model: str, column: str) -> DataFrame:
@@ -185,27 +201,6 @@ def unique_failures(table: DataFrame, model: str, column: str) -> DataFrame:
         F.lit(column).alias("COLUMN_NAME"), F.lit("unique").alias("KIND"), "FAILURES")
 
 
-def relationship_failures(child: DataFrame, tests: list[DataTest],
-                          tables: dict[str, DataFrame]) -> DataFrame:
-    """All relationship tests of one child table in a single pass over it.
-
-    Each parent's distinct keys are joined (left, broadcast behind the size check) to
-    the child's foreign key; a non-NULL key without a parent match is a failure.
-    """
-    joined = child.select(*dict.fromkeys(t.column for t in tests))
-    for i, t in enumerate(tests):
-        keys = tables[t.parent].select(F.col(t.parent_column).alias(f"_pk{i}")).distinct()
-        joined = joined.join(checked_broadcast(keys), F.col(t.column) == F.col(f"_pk{i}"), "left")
-    counts = joined.agg(*[_count_if(F.col(t.column).isNotNull() & F.col(f"_pk{i}").isNull()).alias(f"_rf{i}")
-                          for i, t in enumerate(tests)])
-    rows = F.array(*[
-        F.struct(F.lit(t.name).alias("TEST_NAME"), F.lit(t.model).alias("MODEL"),
-                 F.lit(t.column).alias("COLUMN_NAME"), F.lit("relationships").alias("KIND"),
-                 F.col(f"_rf{i}").alias("FAILURES"))
-        for i, t in enumerate(tests)])
-    return counts.select(F.inline(rows))
-
-
 def run_data_tests(tables: dict[str, DataFrame], tests: list[DataTest] = DECLARED_TESTS,
                    kinds: set[str] | None = None) -> DataFrame:
     """One row per test with its failure count (0 = pass)."""
@@ -213,14 +208,12 @@ def run_data_tests(tables: dict[str, DataFrame], tests: list[DataTest] = DECLARE
     parts: list[DataFrame] = []
     for model in dict.fromkeys(t.model for t in selected):
         cols = [t.column for t in selected if t.model == model and t.kind == "not_null"]
-        if cols:
-            parts.append(not_null_failures(tables[model], model, cols))
+        rel = [t for t in selected if t.model == model and t.kind == "relationships"]
+        if cols or rel:
+            parts.append(column_failures(tables[model], model, cols, rel, tables))
     for t in selected:
         if t.kind == "unique":
             parts.append(unique_failures(tables[t.model], t.model, t.column))
-    for model in dict.fromkeys(t.model for t in selected if t.kind == "relationships"):
-        rel = [t for t in selected if t.kind == "relationships" and t.model == model]
-        parts.append(relationship_failures(tables[model], rel, tables))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
