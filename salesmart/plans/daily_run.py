@@ -25,7 +25,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
@@ -85,29 +85,38 @@ def upsert_fact_partitions(spark: SparkSession, folder: str, batch: DataFrame) -
     """Delete+insert by ORDER_ID, rewriting only affected month partitions.
 
     Affected = months the batch writes to, plus months that now hold one of its ids (an
-    order whose date changed moves partition). Their new content is staged in the shared
-    folder, then swapped in with a dynamic partition overwrite; other months are not
-    touched. The month list is bounded by the number of partitions (one row each), so it
-    comes to the driver and becomes a literal partition filter: the scan of the existing
-    table reads only the affected month directories.
+    order whose date changed moves partition). The month list is bounded by the number of
+    partitions (one row each), so it comes to the driver and becomes a literal partition
+    filter: only the affected month directories are read. Their new content is written
+    back with a dynamic partition overwrite, which stages the output and replaces each
+    written month directory only at job commit, after every task has read its input; a
+    failed job leaves the table as it was, and other months are never touched.
     """
     existing = spark.read.parquet(folder)
     # Written once: the keys, the month list and the new content all read it.
     batch = materialize(_with_part(batch), "fact-batch")
     batch_keys = batch.select("ORDER_ID").distinct()
     holders = existing.join(batch_keys, "ORDER_ID", "left_semi").select(PART_COL)
-    months = sorted(r[PART_COL] for r in holders.union(batch.select(PART_COL)).distinct().collect())
-    if not months:
+    touched = (holders.select(PART_COL, F.lit(False).alias("_in_batch"))
+               .union(batch.select(PART_COL, F.lit(True).alias("_in_batch")))
+               .groupBy(PART_COL).agg(F.max("_in_batch").alias("_in_batch")).collect())
+    if not touched:
         return
+    months = sorted(r[PART_COL] for r in touched)
+    # a month only the batch's ids were taken from may be left with no rows
+    maybe_empty = sorted(r[PART_COL] for r in touched if not r["_in_batch"])
     kept = (existing.where(F.col(PART_COL).isin(months))
             .join(batch_keys, "ORDER_ID", "left_anti"))
-    staged = materialize(kept.unionByName(batch.select(*existing.columns)), "fact-upsert",
-                         partition_by=[PART_COL], rebalance_by=[PART_COL])
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = kept.unionByName(batch.select(*existing.columns)).hint("rebalance", PART_COL)
+    rows_in = Observation("upsert_months")
+    if maybe_empty:  # rows written per such month, counted by the write itself
+        out = out.observe(rows_in, *[F.sum((F.col(PART_COL) == m).cast("long")).alias(f"m{m}")
+                                     for m in maybe_empty])
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(PART_COL).parquet(folder))
     # A month left with no rows is not replaced by a dynamic overwrite: drop it.
-    written = {r[PART_COL] for r in staged.select(PART_COL).distinct().collect()}
-    emptied = [m for m in months if m not in written]
+    written = rows_in.get if maybe_empty else {}
+    emptied = [m for m in maybe_empty if not written.get(f"m{m}")]
     if emptied:
         jvm = spark.sparkContext._jvm
         for month in emptied:

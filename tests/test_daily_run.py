@@ -1,5 +1,7 @@
 """K1 job: full run, then an incremental run, against the lazily built model."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,3 +49,20 @@ def test_full_then_incremental_equals_model(spark, tmp_dir):
     before = _rows(fact)
     run_daily(spark, raw, tmp_dir, as_of=AS_OF, enforce_gates=False)
     assert _rows(read_fact(spark, tmp_dir)) == before
+
+
+def test_fact_upsert_moves_an_order_and_drops_an_emptied_month(spark, tmp_dir):
+    from salesmart.plans.daily_run import PART_COL, _with_part, upsert_fact_partitions
+    folder = os.path.join(tmp_dir, "fact")
+    schema = "ORDER_ID long, ORDER_DATE_KEY int, UNITS_SOLD int"
+    rows = [(1, 19980105, 10), (2, 19980110, 20), (3, 19980203, 30), (4, 19980301, 40)]
+    _with_part(spark.createDataFrame(rows, schema)).write.partitionBy(PART_COL).parquet(folder)
+    # order 3 moves from February to January (February is left empty); order 2 changes
+    batch = spark.createDataFrame([(3, 19980120, 33), (2, 19980110, 22)], schema)
+    expected = [(1, 19980105, 10), (2, 19980110, 22), (3, 19980120, 33), (4, 19980301, 40)]
+    for _ in range(2):   # the second run re-applies the same batch: nothing changes
+        upsert_fact_partitions(spark, folder, batch)
+        got = sorted((r.ORDER_ID, r.ORDER_DATE_KEY, r.UNITS_SOLD) for r in spark.read.parquet(folder).collect())
+        assert got == expected
+        assert not os.path.exists(os.path.join(folder, f"{PART_COL}=199802"))
+        assert os.path.exists(os.path.join(folder, f"{PART_COL}=199803"))   # untouched month kept
