@@ -88,21 +88,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/salesmart/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None,
-                rebalance_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a scan of it.
 
     The returned DataFrame has no lineage back to ``df``; later reads get column
-    pruning and filter pushdown, and the planner sees the true size. ``rebalance_by``
-    shuffles the rows by the partition columns first (see ``write_version``).
+    pruning and filter pushdown, and the planner sees the true size.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    out = df.hint("rebalance", *rebalance_by) if rebalance_by else df
-    writer = out.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
