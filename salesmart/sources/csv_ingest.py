@@ -18,6 +18,7 @@ Row rules (from the loader being replaced):
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -143,6 +144,24 @@ def ingest_csv(spark: SparkSession, path: str) -> IngestResult:
     return IngestResult(accepted, rejected, missing)
 
 
+def _swap_in(spark: SparkSession, new_folder: str, target: str) -> None:
+    """Replace ``target`` by ``new_folder`` (a sibling, so both renames are metadata
+    operations); the previous content is restored if the second rename fails."""
+    jvm = spark.sparkContext._jvm
+    new, tgt = jvm.org.apache.hadoop.fs.Path(new_folder), jvm.org.apache.hadoop.fs.Path(target)
+    fs = tgt.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}.replaced-{uuid.uuid4().hex[:12]}")
+    had = fs.exists(tgt)
+    if had and not fs.rename(tgt, old):
+        raise OSError(f"cannot move {target} aside")
+    if not fs.rename(new, tgt):
+        if had:
+            fs.rename(old, tgt)
+        raise OSError(f"cannot move {new_folder} to {target}")
+    if had:
+        fs.delete(old, True)
+
+
 def load_csv(spark: SparkSession, path: str, table_path: str, truncate: bool = False,
              rejected_path: str | None = None) -> dict:
     """Append (or, with ``truncate``, replace) ``raw.sales`` from a CSV feed.
@@ -151,8 +170,9 @@ def load_csv(spark: SparkSession, path: str, table_path: str, truncate: bool = F
     parsed once: the coerced rows are persisted on executor disk (a lost executor's
     blocks are recomputed from the file), then the accepted and the rejected rows are
     written from that copy. The audit takes no further pass: loaded rows are counted
-    while they are written, skipped rows by reason from the written rejected rows. Replacing writes the full new content in one
-    overwrite commit, so a failed parse never leaves an emptied table behind.
+    while they are written, skipped rows by reason from the written rejected rows.
+    Replacing writes the new content to a sibling folder that is renamed into place only
+    after its write has committed, so a failed load never leaves an emptied table behind.
     """
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -161,17 +181,20 @@ def load_csv(spark: SparkSession, path: str, table_path: str, truncate: bool = F
     df, header = read_feed(spark, path)
     missing = [h for h in CSV_HEADERS if h not in header]
     rows = coerce_feed(df, header).persist(StorageLevel.DISK_ONLY)
+    dest = f"{table_path.rstrip('/')}.loading-{uuid.uuid4().hex[:12]}" if truncate else table_path
     try:
         accepted = (rows.where(F.col("_reject_reason").isNull())
                     .select(*RAW_COLUMNS, F.localtimestamp().alias("_ingested_at")))
         loaded_rows = Observation("loaded_rows")
         (accepted.observe(loaded_rows, F.count(F.lit(1)).alias("rows"))
-         .write.mode("overwrite" if truncate else "append").parquet(table_path))
+         .write.mode("errorifexists" if truncate else "append").parquet(dest))
         rejected = rows.where(F.col("_reject_reason").isNotNull()).select("_source.*", "_reject_reason")
         rejected_target = rejected_path or scratch_path(spark, "ingest-rejected")
         rejected.write.mode("overwrite").parquet(rejected_target)
     finally:
         rows.unpersist()
+    if truncate:
+        _swap_in(spark, dest, table_path)
     # the audit: loaded rows observed during their write; skipped rows by reason from the
     # written rejected rows (one column read, one row per reason)
     counts = {r["_reject_reason"]: r["count"] for r in

@@ -128,3 +128,14 @@ def test_load_append_truncate_and_audit(spark, tmp_dir):
     assert spark.read.parquet(os.path.join(tmp_dir, "rejected")).first()._reject_reason == "Units Sold: not an integer"
     with pytest.raises(FileNotFoundError):
         load_csv(spark, os.path.join(tmp_dir, "absent.csv"), table)
+
+
+def test_truncate_swaps_in_the_new_content(spark, tmp_dir):
+    feed = _write(tmp_dir, [HEADER, _row()])
+    table = os.path.join(tmp_dir, "raw_sales")
+    load_csv(spark, feed, table, truncate=True)       # no table yet
+    load_csv(spark, feed, table)
+    assert spark.read.parquet(table).count() == 2
+    load_csv(spark, feed, table, truncate=True)       # written beside, then renamed into place
+    assert spark.read.parquet(table).count() == 1
+    assert [n for n in os.listdir(tmp_dir) if ".loading-" in n or ".replaced-" in n] == []
