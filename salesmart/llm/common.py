@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ def lower_ascii(text: Column) -> Column:
 
 def byte_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """Row ranges [lo, hi) of about ``most`` bytes each; a longer text stands alone."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     lo, held = 0, 0
     for i, size in enumerate(sizes):
         if i > lo and held + size > most:

@@ -13,6 +13,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -77,7 +78,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, id_col: str = "d
             texts = batch.column("text")
             for lo, hi in byte_slices(texts, SLICE_BYTES):
                 part = texts.slice(lo, hi - lo)
-                size = pa.compute.fill_null(pa.compute.binary_length(part), 0)
+                size = pc.fill_null(pc.binary_length(part), 0)
                 n = count([t or "" for t in part.to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo), size.cast(pa.int64()), pa.array(n, pa.int64())],
