@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, ppm_langid, token_counts
+from salesmart.llm import bpe, ppm_langid, style_tree, token_counts
 from salesmart.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return style_tree.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
                       ("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -33,6 +37,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
+    "op4_main_text": op4_main_text,
     "op10_bpe": op10_bpe,
 }
 ORACLE: dict[str, str] = {}
