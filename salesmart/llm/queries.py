@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, ppm_langid, style_tree, token_counts
+from salesmart.llm import bpe, llr_quality, ppm_langid, style_tree, token_counts
 from salesmart.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.extract(table(spark, sf_dir, "pages"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return llr_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
                       ("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -38,6 +42,7 @@ QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op4_main_text": op4_main_text,
+    "op7_quality_rules": op7_quality_rules,
     "op10_bpe": op10_bpe,
 }
 ORACLE: dict[str, str] = {}
