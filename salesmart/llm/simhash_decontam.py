@@ -54,17 +54,30 @@ def simhash(window: Column) -> Column:
             "shiftleft", F.when(2 * ones(bit) > half, F.lit(1)).otherwise(F.lit(0)).cast("long"), bit)))
 
 
-def blocks(fingerprint: Column, radius: int) -> Column:
-    """(block, bits) of the ``radius`` + 1 blocks that 64 bits are cut into."""
+def _edges(radius: int) -> list[tuple[int, int]]:
+    """Lowest bit and mask of the ``radius`` + 1 blocks that 64 bits are cut into."""
     edges = [round(64 * i / (radius + 1)) for i in range(radius + 2)]
+    return [(lo, (1 << (hi - lo)) - 1) for lo, hi in zip(edges, edges[1:])]
+
+
+def blocks(fingerprint: Column, radius: int) -> Column:
+    """The blocks of a fingerprint, each with its number."""
     return F.array(*(F.struct(F.lit(n).alias("block"), F.shiftrightunsigned(fingerprint, lo).bitwiseAND(
-        F.lit((1 << (hi - lo)) - 1)).alias("bits")) for n, (lo, hi) in enumerate(zip(edges, edges[1:]))))
+        F.lit(mask)).alias("bits")) for n, (lo, mask) in enumerate(_edges(radius))))
+
+
+def first_equal(differing: Column, radius: int) -> Column:
+    """The first block without a differing bit."""
+    return F.coalesce(*(F.when(F.shiftrightunsigned(differing, lo).bitwiseAND(F.lit(mask)) == 0, F.lit(n))
+                        for n, (lo, mask) in enumerate(_edges(radius))))
 
 
 def similarity(a: Column, b: Column) -> Column:
     """Weighted similarity of two arrays of shingle hashes as multisets."""
-    both = F.aggregate(F.array_distinct(a), F.lit(0), lambda n, h: n + F.least(
+    counted = F.aggregate(F.array_distinct(a), F.lit(0), lambda n, h: n + F.least(
         F.size(F.filter(a, lambda x: x == h)), F.size(F.filter(b, lambda x: x == h))))
+    plain = (F.size(F.array_distinct(a)) == F.size(a)) | (F.size(F.array_distinct(b)) == F.size(b))
+    both = F.when(plain, F.size(F.array_intersect(a, b))).otherwise(counted)
     return F.try_divide(both.cast("double"), F.size(a) + F.size(b) - both)
 
 
@@ -107,15 +120,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
         "benchmark-items")
     known = items.select("k", F.explode("item").alias("h")).distinct()
     per_k = dict(known.groupBy("k").count().collect())  # five rows at most
+    # The row number names a row until the hits are written. Being no function of the row, it also keeps
+    # Catalyst from moving the test for hits below the shingles, which would hash them anew for each one.
     source = with_hashes(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "text").select(
-        "doc_id", F.xxhash64("text").alias("t"), "h1")
+        "doc_id", "h1")
     if not per_k:
         per_k = {SHINGLE: 0}
 
     hit_docs = None
     for n in sorted(per_k):
         table, bits = _bit_table(known.where(F.col("k") == n).select("h"), per_k[n])
-        rows = source.withColumn("doc", shingles("h1", n))
+        rows = source.select("doc_id", shingles("h1", n).alias("doc"), F.monotonically_increasing_id().alias("row"))
 
         def hit(h: Column) -> Column:
             test = F.lit(True)
@@ -125,44 +140,41 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
 
         found = F.filter(F.transform("doc", lambda h, i: F.struct(h.alias("h"), i.alias("p"), hit(h).alias("hit"))),
                          lambda x: x["hit"])
-        rows = rows.withColumn("found", found).where(F.size("found") > 0).select(
-            F.lit(n).alias("k"), "doc_id", "t", "doc", "found")
+        rows = rows.select(F.lit(n).alias("k"), "row", "doc_id", "doc", found.alias("found"),
+                           F.monotonically_increasing_id().alias("again"))
+        rows = rows.where((F.size("found") > 0) & (F.col("again") >= 0)).drop("again")
         hit_docs = rows if hit_docs is None else hit_docs.unionByName(rows)
     hit_docs = materialize(hit_docs, "benchmark-hits")
 
     # Shingles go to all tasks while they are few; beyond, the join shuffles the hits.
     places = items.select("item_id", "n_words", "k", F.size("item").alias("n_item"), F.explode("item").alias("h"))
     small = sum(per_k.values()) <= broadcast_rows
-    hits = hit_docs.select("doc_id", "t", "k", F.explode("found").alias("x")).select(
-        "doc_id", "t", "k", F.col("x.h").alias("h"), F.col("x.p").alias("p")).distinct()
+    hits = hit_docs.select("row", "k", F.explode("found").alias("x")).select(
+        "row", "k", F.col("x.h").alias("h"), F.col("x.p").alias("p"))
     lengths = places.groupBy("k", "h", "n_words").agg(F.min("n_item").alias("n_item"))
-    near = hits.join(F.broadcast(lengths) if small else lengths, ["k", "h"]).groupBy("doc_id", "t", "k", "n_words").agg(
+    near = hits.join(F.broadcast(lengths) if small else lengths, ["k", "h"]).groupBy("row", "k", "n_words").agg(
         F.min("n_item").alias("n_item"), F.array_sort(F.collect_list("p")).alias("ps"))
     # A window starting at s covers shingles s .. s + n - 1; it starts at most n - 1 before its first hit.
     span = F.col("n_words") - F.col("k")
     starts = F.array_distinct(F.flatten(F.transform("ps", lambda p: F.sequence(F.greatest(p - span, F.lit(0)), p))))
     enough = F.filter(starts, lambda s: F.size(F.filter("ps", lambda p: (p >= s) & (p <= s + span)))
                       >= F.ceil(F.lit(least) * F.col("n_item")))
-    windows = near.select("doc_id", "t", "k", "n_words", F.explode(enough).alias("start"))
-    shingled = hit_docs.select("doc_id", "t", "k", "doc").dropDuplicates(["doc_id", "t", "k"])
-    same = (F.col("w.doc_id").eqNullSafe(F.col("d.doc_id"))) & (F.col("w.t") == F.col("d.t")) & (
-        F.col("w.k") == F.col("d.k"))
-    windows = windows.alias("w").join(shingled.alias("d"), same).select(
-        "w.doc_id", "w.t", "w.k", "w.n_words", "w.start",
-        F.slice("d.doc", F.col("w.start") + 1, F.col("w.n_words") - F.col("w.k") + 1).alias("window")).where(
+    windows = near.select("row", "k", "n_words", F.explode(enough).alias("start"))
+    windows = windows.join(hit_docs.select("row", "k", "doc_id", "doc"), ["row", "k"]).select(
+        "doc_id", "k", "n_words", "start",
+        F.slice("doc", F.col("start") + 1, F.col("n_words") - F.col("k") + 1).alias("window")).where(
         F.size("window") == F.col("n_words") - F.col("k") + 1)
+    prints = materialize(windows.withColumn("fingerprint", simhash(F.col("window"))), "benchmark-windows")
 
-    prints = windows.withColumn("fingerprint", simhash(F.col("window")))
     item_prints = items.withColumn("item_print", simhash(F.col("item")))
     left = prints.withColumn("b", F.explode(blocks(F.col("fingerprint"), radius)))
     right = item_prints.withColumn("b", F.explode(blocks(F.col("item_print"), radius)))
+    differing = F.col("fingerprint").bitwiseXOR(F.col("item_print"))
+    # A pair that agrees in several blocks is taken at the first of them.
     pairs = left.join(F.broadcast(right) if small else right, ["k", "n_words", "b"]).where(
-        F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= radius)
-    first = F.filter(F.transform(F.arrays_zip(blocks(F.col("fingerprint"), radius).alias("x"), blocks(
-        F.col("item_print"), radius).alias("y")), lambda z: F.when(z["x"] == z["y"], z["x"]["block"])),
-        lambda b: b.isNotNull())
-    checked = pairs.where(F.col("b.block") == F.get(first, F.lit(0))).withColumn(
-        "similarity", similarity(F.col("window"), F.col("item"))).where(F.col("similarity") >= least)
+        (F.bit_count(differing) <= radius) & (F.col("b.block") == first_equal(differing, radius)))
+    checked = pairs.withColumn("similarity", similarity(F.col("window"), F.col("item"))).where(
+        F.col("similarity") >= least)
     best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "n_words")).alias("best")
     return checked.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.s")).alias("start"), F.col("best.n_words").alias("n_words"),
