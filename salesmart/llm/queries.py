@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, llr_quality, ppm_langid, simhash_decontam, style_tree, token_counts
+from salesmart.llm import bpe, llr_quality, odd_sketch, ppm_langid, simhash_decontam, style_tree, token_counts
 from salesmart.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return llr_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return odd_sketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -47,6 +51,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_counts": op3_token_counts,
     "op4_main_text": op4_main_text,
     "op7_quality_rules": op7_quality_rules,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
