@@ -52,12 +52,11 @@ def _cells(hashes: str, buckets: int) -> Column:
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> Column:
     """ln(P target / P raw) of every cell in millionths, as a constant array, both with one added to each cell."""
     marked = docs.join(F.broadcast(trusted), "doc_id", "left")
-    # The row number is no function of the row, so Catalyst leaves the filter it derives from the
-    # explode above the hashes instead of hashing anew for it.
+    # explode_outer, because from an explode Catalyst derives a filter on the size of the cells, which it
+    # moves below the hashes, where every word would be hashed anew for each of its neighbours.
     cells = with_words(marked, "text").select(
-        F.concat(_cells("h1", buckets), _cells("h2", buckets)).alias("cells"), "trusted",
-        F.monotonically_increasing_id().alias("row")).select(F.explode("cells").alias("cell"), "trusted", "row")
-    counts = cells.groupBy("cell").agg(F.count("row").alias("raw"), F.count("trusted").alias("target"))
+        F.explode_outer(F.concat(_cells("h1", buckets), _cells("h2", buckets))).alias("cell"), "trusted")
+    counts = cells.groupBy("cell").agg(F.count("cell").alias("raw"), F.count("trusted").alias("target"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("cell")).join(
         counts, "cell", "left").na.fill(0)
     totals = every.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))

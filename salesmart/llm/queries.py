@@ -8,7 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salesmart.llm import bpe, llr_quality, odd_sketch, ppm_langid, simhash_decontam, style_tree, token_counts
+from salesmart.llm import (
+    bpe,
+    fm_dedup,
+    llr_quality,
+    odd_sketch,
+    ppm_langid,
+    simhash_decontam,
+    style_tree,
+    suffix_dedup,
+    token_counts,
+)
 from salesmart.llm.common import crc_mod, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +39,16 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return style_tree.extract(table(spark, sf_dir, "pages"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_dedup.remove_repeated_words(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return llr_quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,6 +70,8 @@ QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op4_main_text": op4_main_text,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_decontamination": op9_decontamination,

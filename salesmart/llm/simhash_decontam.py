@@ -159,7 +159,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     starts = F.array_distinct(F.flatten(F.transform("ps", lambda p: F.sequence(F.greatest(p - span, F.lit(0)), p))))
     enough = F.filter(starts, lambda s: F.size(F.filter("ps", lambda p: (p >= s) & (p <= s + span)))
                       >= F.ceil(F.lit(least) * F.col("n_item")))
-    windows = near.select("row", "k", "n_words", F.explode(enough).alias("start"))
+    windows = near.select("row", "k", "n_words", F.explode_outer(enough).alias("start")).where(
+        F.col("start").isNotNull())
     windows = windows.join(hit_docs.select("row", "k", "doc_id", "doc"), ["row", "k"]).select(
         "doc_id", "k", "n_words", "start",
         F.slice("doc", F.col("start") + 1, F.col("n_words") - F.col("k") + 1).alias("window")).where(

@@ -16,6 +16,7 @@ from salesmart.llm.common import mix64
 BASE = 0x9E3779B97F4A7C15 | 1
 _RANDOM = np.random.default_rng(20240607)
 _VALUES = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
+BYTE_HASHES = _VALUES
 _LOWERED = _VALUES.copy()
 _LOWERED[65:91] = _VALUES[97:123]
 _BLANK = np.zeros(256, bool)
@@ -23,7 +24,7 @@ _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power_table(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** (n - 1) modulo 2 ** 64, kept for the next call."""
     have = _powers.get(base, np.ones(1, np.uint64))
     while len(have) < n:
@@ -47,8 +48,8 @@ def hash_words(texts: list[bytes], lower: bool) -> tuple[np.ndarray, np.ndarray,
     n = len(data)
     inverse = pow(BASE, -1, 1 << 64)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_LOWERED if lower else _VALUES)[data] * _power_table(BASE, n), out=sums[1:])
-    hashes = mix64((sums[ends] - sums[starts]) * _power_table(inverse, n)[starts])
+    np.cumsum((_LOWERED if lower else _VALUES)[data] * powers(BASE, n), out=sums[1:])
+    hashes = mix64((sums[ends] - sums[starts]) * powers(inverse, n)[starts])
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     bounds = np.concatenate([[0], np.cumsum(sizes)])
     counts = np.diff(np.searchsorted(starts, bounds))
