@@ -84,7 +84,7 @@ def with_repeat_places(rows: DataFrame) -> DataFrame:
     return rows.withColumn("places", F.array_sort(F.array_compact(same)))
 
 
-def score(docs: DataFrame, labels: DataFrame, threshold: float = -0.08, buckets: int = BUCKETS,
+def score(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, buckets: int = BUCKETS,
           trusted_rows: int = TRUSTED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, counts, ``base_failed``, ``llr`` and ``kept``.
 
