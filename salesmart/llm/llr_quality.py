@@ -15,38 +15,34 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import SPACE
-
 BUCKETS = 1 << 16
 TRUSTED = 20_000
 LEAST_WORDS = 20
 WINDOW = 8
 UNIT = 1_000_000
 SEPARATORS = " \t\n\x0b\f\r"
-SYMBOLS = "#*$%&|<>"
-
-
-def _without(text: Column, characters: str) -> Column:
-    for c in characters:
-        text = F.replace(text, F.lit(c), F.lit(""))
-    return text
+SYMBOLS = r"[#*$%&|<>]"
 
 
-def _pairs(hashes: Column, apart: int) -> Column:
-    """Each hash combined with the one ``apart`` places on; alone where the array ends."""
-    return F.transform(hashes, lambda x, i: F.xxhash64(x, F.get(hashes, i + apart)))
+def _pairs(hashes: Column | str, apart: int) -> Column:
+    """Each hash combined with the one ``apart`` places on; with itself where the array ends."""
+    return F.transform(hashes, lambda x, i: x.bitwiseXOR(F.shiftleft(F.coalesce(F.get(hashes, i + apart), x), apart)))
 
 
 def with_words(docs: DataFrame, text_col: str) -> DataFrame:
     """Adds ``words``, ``h1`` (their hashes) and ``h2`` (hashes of adjacent pairs)."""
-    trimmed = F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(SEPARATORS))
-    words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
+    spaced = F.coalesce(F.col(text_col), F.lit(""))
+    for c in SEPARATORS[1:]:
+        spaced = F.replace(spaced, F.lit(c), F.lit(" "))
+    # A single character is split without a regular expression.
+    words = F.array_remove(F.split(spaced, " "), "")
     return docs.withColumn("words", words).withColumn("h1", F.transform("words", lambda w: F.xxhash64(w))).withColumn(
-        "h2", _pairs(F.col("h1"), 1))
+        "h2", _pairs("h1", 1))
 
 
-def _cells(hashes: str, buckets: int) -> Column:
-    return F.transform(hashes, lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def _cell(h: Column, buckets: int) -> Column:
+    """The low bits of a hash; ``buckets`` is a power of two."""
+    return h.bitwiseAND(F.lit(buckets - 1)).cast("int")
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> Column:
@@ -55,7 +51,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> Column:
     # explode_outer, because from an explode Catalyst derives a filter on the size of the cells, which it
     # moves below the hashes, where every word would be hashed anew for each of its neighbours.
     cells = with_words(marked, "text").select(
-        F.explode_outer(F.concat(_cells("h1", buckets), _cells("h2", buckets))).alias("cell"), "trusted")
+        F.explode_outer(F.concat("h1", "h2")).alias("h"), "trusted").select(
+        _cell(F.col("h"), buckets).alias("cell"), "trusted")
     counts = cells.groupBy("cell").agg(F.count("cell").alias("raw"), F.count("trusted").alias("target"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("cell")).join(
         counts, "cell", "left").na.fill(0)
@@ -102,11 +99,10 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, buckets:
     trusted = good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(trusted_rows).withColumn("trusted", F.lit(True))
     ratios = log_ratios(source, trusted, buckets)
 
-    h2 = F.col("h2")
     rows = with_words(source, "text")
-    windows = F.when(F.size("words") >= WINDOW, F.slice(_pairs(F.col("h4"), 4), F.lit(1), F.size(
+    windows = F.when(F.size("words") >= WINDOW, F.slice(_pairs("h4", 4), F.lit(1), F.size(
         "words") - (WINDOW - 1))).otherwise(F.array().cast("array<bigint>"))
-    rows = rows.withColumn("h4", _pairs(h2, 2)).withColumn("windows", windows)
+    rows = rows.withColumn("h4", _pairs("h2", 2)).withColumn("windows", windows)
     rows = with_repeat_places(rows)
     covered = F.aggregate(
         F.transform("places", lambda x, k: F.least(F.lit(WINDOW), F.coalesce(F.get("places", k + 1) - x, F.lit(WINDOW)))),
@@ -114,14 +110,14 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, buckets:
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(SEPARATORS)) != "")
     n = F.size("words").cast("long")
-    summed = F.aggregate(
-        F.concat(_cells("h1", buckets), _cells("h2", buckets)), F.lit(0).cast("long"),
-        lambda total, cell: total + F.get(ratios, cell))
+    zero = F.lit(0).cast("long")
+    add = lambda total, h: total + F.get(ratios, _cell(h, buckets))
     rows = rows.select(
-        "doc_id", n.alias("n_words"), F.length(_without(text, SEPARATORS)).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(_without(text, SYMBOLS))).cast("long").alias("n_symbols"),
+        "doc_id", n.alias("n_words"),
+        F.aggregate("words", zero, lambda total, w: total + F.length(w)).alias("word_chars"),
+        F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        covered.alias("n_repeat_words"), summed.alias("sum"))
+        covered.alias("n_repeat_words"), F.aggregate("h2", F.aggregate("h1", zero, add), add).alias("sum"))
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     limit = round(threshold * UNIT)
     return rows.select(
