@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from salesmart.llm import (
     bpe,
+    brown_lm,
     fm_dedup,
     llr_quality,
     odd_sketch,
@@ -25,6 +26,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    return brown_lm.score(docs, brown_lm.fit(docs, ~held_out)).withColumn("held_out", held_out)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -67,6 +74,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_brown_lm": op1_brown_lm,
     "op2_language_id": op2_language_id,
     "op3_token_counts": op3_token_counts,
     "op4_main_text": op4_main_text,
