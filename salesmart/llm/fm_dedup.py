@@ -118,7 +118,8 @@ class WordMatcher:
         return np.split(out, np.cumsum(windows)[:-1])
 
 
-def remove_repeated_words(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeated_words(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text",
+                          carry: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, spans, kept_text, kept_sha256.
 
     Removed is every word covered by a window of ``window`` consecutive words that also starts
@@ -127,9 +128,11 @@ def remove_repeated_words(docs: DataFrame, window: int = 13, id_col: str = "doc_
     or the text as it was where nothing is removed; the digest is always of the joined words.
     Null texts count as empty. A row without an id is kept whole and removes nothing
     elsewhere; rows with the same id do not affect each other; other columns, whatever their
-    names, are not looked at. Ids are whole numbers.
+    names, are not looked at. Ids are whole numbers. With ``carry`` the rows keep their
+    columns but the text too, as the struct ``row``.
     """
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    row = [F.struct(*(docs[c] for c in docs.columns if c != text_col)).alias("row")] if carry else []
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *row)
 
     def finish(block: Block, covered: np.ndarray) -> dict:
         spans = spans_of(covered, block.counts)

@@ -232,7 +232,8 @@ def across(members: DataFrame, most: int) -> DataFrame:
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
+                    text_hash: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Documents are linked where 100 * intersection >= ``percent`` * union of their shingle sets;
@@ -240,7 +241,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     kept. Null, empty and blank texts have no shingles, link with nothing and are kept. A
     null id is less than none: its row joins the component of its text, and is kept only
     where every id of it is null. Rows with the same id and text share all results; other
-    columns, whatever their names, are not looked at.
+    columns, whatever their names, are not looked at. ``text_hash`` adds ``t``, xxhash64 of the text.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
     rows = materialize(signatures(source), "near-signatures")
@@ -276,10 +277,21 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     named = firsts.join(least, "root").select(F.col("node").alias("class"), "component_id")
     named = classes.select("class", "first").join(named, "class", "left").select(
         "class", F.coalesce("component_id", "first").alias("component_id"))
-    placed = rows.select("doc_id", "n_shingles", "class").join(named, "class", "left")
+    placed = rows.select("doc_id", "t", "n_shingles", "class").join(named, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return placed.select("doc_id", "n_shingles", component.alias("component_id"),
-                         F.col("doc_id").eqNullSafe(component).alias("kept"))
+                         F.col("doc_id").eqNullSafe(component).alias("kept"), *(["t"] if text_hash else []))
+
+
+def without_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
+                       broadcast_rows: int = 200_000) -> DataFrame:
+    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    found = near_duplicates(docs, percent, id_col, text_col, text_hash=True)
+    gone = materialize(found.where(~F.col("kept")).select(
+        F.col("doc_id").alias("__id"), F.col("t").alias("__t")).distinct(), "near-gone")
+    few = gone.count() <= broadcast_rows  # 16 bytes each; beyond, the texts are shuffled
+    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__t"))
+    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
 
 
 def confirmed(pairs: DataFrame, rows: DataFrame, source: DataFrame, percent: int, name: str,

@@ -165,18 +165,20 @@ def fit(docs: DataFrame, use: Column, order: int = 3, sample_bytes: int = 1 << 2
 
 
 def predict(docs: DataFrame, model: Model, most_bytes: int = 192 << 20, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
+            text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per input row: doc_id, lang_pred, score (0 to 1), bits (the winning code length).
 
     ``score`` is the winner's share of the weights 2 ** -(code length), with the lengths of
     texts beyond 64 bytes scaled to that many, so that it stays informative for long ones. A
     text that is null, empty or without a letter is ``und`` with score 0, as is every text
     where the model knows no language. Ties go to the first language by name. Repeated rows
-    are judged each; other columns, whatever their names, are not looked at.
+    are judged each; other columns, whatever their names, are not looked at. With ``carry``
+    the rows keep all their columns, as the struct ``row``, in place of doc_id.
     """
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    schema = (f"doc_id {source.schema['doc_id'].dataType.simpleString()}, lang_pred string, "
-              "score double, bits double")
+    kept = F.struct(*(docs[c] for c in docs.columns)).alias("row") if carry else F.col(id_col).alias("doc_id")
+    source = docs.select(kept, F.col(text_col).alias("text"))
+    first = source.schema[0]
+    schema = f"{first.name} {first.dataType.simpleString()}, lang_pred string, score double, bits double"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,9 +198,18 @@ def predict(docs: DataFrame, model: Model, most_bytes: int = 192 << 20, id_col:
                 scale = np.minimum(1.0, EVIDENCE / np.maximum([len(d) for d in data], 1))
                 share = 1 / np.exp2(-(bits - bits.min(1, keepdims=True)) * scale[:, None]).sum(1)
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("doc_id").slice(lo, hi - lo),
+                    batch.column(first.name).slice(lo, hi - lo),
                     pa.array(names[np.where(lettered, best, len(known.langs))], pa.string()),
                     pa.array(np.where(lettered, share, 0.0)), pa.array(np.where(lettered, bits.min(1), 0.0))],
-                    ["doc_id", "lang_pred", "score", "bits"])
+                    [first.name, "lang_pred", "score", "bits"])
 
     return source.mapInArrow(run, schema)
+
+
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.3, **options) -> DataFrame:
+    """The rows whose language is found with a score of ``least`` or more, with all their columns.
+
+    Texts without a letter, empty and null ones go.
+    """
+    judged = predict(docs, model, carry=True, **options)
+    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")

@@ -191,7 +191,7 @@ def _answer_segments(rows: pa.Table, matcher: Matcher) -> pa.Table:
 
 def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Block", np.ndarray], dict],
                        schema: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row per row of (doc_id long, text): doc_id and the columns of ``schema``.
+    """One row per row of (doc_id long, text): doc_id, any further columns, and those of ``schema``.
 
     ``finish`` gets a block and whether each of its symbols is covered, and returns the
     columns in the order of the block's texts. Rows without an id are neither earlier nor
@@ -200,9 +200,11 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
     """
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text").repartition(
-        blocks, "block")
+    more = [c for c in docs.columns if c not in ("doc_id", "text")]
+    carried = ["doc_id long", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in more)]
+    texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *more).select(
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text", *more
+    ).repartition(blocks, "block")
 
     def send_seeds(rows: pa.Table) -> pa.Table:
         block = Block(rows, matcher, blocks)
@@ -245,8 +247,6 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
         return pa.table({n: pa.array(out[n], k) for n, k in zip(names, kinds, strict=True)})
 
     def conclude(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        if not len(rows):
-            return None
         block = Block(rows, matcher, blocks)
         edges = np.zeros(len(block.hashes) + 1, np.int64)
         firsts = np.cumsum(block.counts) - block.counts
@@ -254,7 +254,7 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
             text, begin, end = spans.astype(np.int64).reshape(3, -1)
             np.add.at(edges, firsts[text] + begin, 1)
             np.add.at(edges, firsts[text] + end, -1)
-        return pa.table({"doc_id": block.rows.column("doc_id"), **finish(block, np.cumsum(edges)[:-1] > 0)})
+        return pa.table({**{c: block.rows.column(c) for c in ("doc_id", *more)}, **finish(block, np.cumsum(edges)[:-1] > 0)})
 
     by_block = texts.groupBy("block")
     seeds = by_block.applyInArrow(send_seeds, "bin int, block int, seeds binary, several binary")
@@ -264,7 +264,7 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
         "bin int, block int, doc binary, at binary, text binary, seg binary, sizes binary, texts binary")
     spans = segments.groupBy("bin").applyInArrow(
         lambda rows: _answer_segments(rows, matcher), "block int, spans binary")
-    return by_block.cogroup(spans.groupBy("block")).applyInArrow(conclude, f"doc_id long, {schema}")
+    return by_block.cogroup(spans.groupBy("block")).applyInArrow(conclude, ", ".join([*carried, schema]))
 
 
 def spans_of(covered: np.ndarray, counts: Sequence[int]) -> list[list[tuple[int, int]]]:

@@ -182,11 +182,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
         F.col("best.similarity").alias("similarity"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          broadcast_rows: int = 200_000, **options) -> DataFrame:
     """The documents without a contaminated window, with all their columns.
 
     Rows with a null id stay unless some row with a null id is contaminated.
     """
-    bad = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(
-        F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["__bad"]), "left_anti")
+    bad = materialize(contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(
+        F.col("doc_id").alias("__bad")).distinct(), "benchmark-bad")
+    few = bad.count() <= broadcast_rows  # 8 bytes each; beyond, the texts are shuffled
+    return docs.join(F.broadcast(bad) if few else bad, docs[id_col].eqNullSafe(F.col("__bad")), "left_anti")
