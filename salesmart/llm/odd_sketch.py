@@ -8,11 +8,12 @@ population count d estimates the similarity as 1 + n / (4 k) * ln(1 - 2 d / n).
 
 Links are found in two rounds, since only the components of the link graph are asked for:
 
-1. each bucket of a band names one of its members as centre, by a hash; each class is checked
-   against the one of its centres that the sketches call most similar;
-2. where a bucket still holds classes of different components, all its pairs across
-   components are looked at, sketch against sketch, within blocks of a bucket of bounded size,
-   and all that the estimate does not rule out are checked.
+1. each bucket of a band names one of its members as centre, by a hash of the class; each class
+   is checked against the centre that it shares most buckets with;
+2. where a bucket still holds classes of different components, its pairs across components are
+   looked at, sketch against sketch, within blocks of a bucket of bounded size. These classes
+   get sketches of ``SHARP`` samples, so that little but true links is left to check; a pair
+   that meets in several bands is looked at in the first.
 
 Every check counts the intersection of the full sets. Pairs within a component need none.
 """
@@ -35,13 +36,14 @@ from salesmart.session import materialize
 SHINGLE = 5
 BANDS, ROWS = 32, 4  # at similarity 0.75 all bands miss with probability 5e-6
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
-MARGIN = 0.2  # below the threshold, over five deviations of the estimate
+SHARP = 1024
+BITS_PER_SAMPLE = 4
+DEVIATIONS = 5  # of the estimate, by which a pair may stay below the threshold
 BLOCK = 512
 SLICE_BYTES = 1 << 19
 _RANDOM = np.random.default_rng(711)
-_FACTORS = _RANDOM.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _RANDOM.integers(0, 1 << 63, SAMPLES, dtype=np.uint64)
+_FACTORS = _RANDOM.integers(1, 1 << 63, SHARP, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFTS = _RANDOM.integers(0, 1 << 63, SHARP, dtype=np.uint64)
 
 
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -64,28 +66,31 @@ def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
 
 
-def minhash(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
+def minhash(hashes: np.ndarray, counts: np.ndarray, samples: int) -> np.ndarray:
     """Texts x samples; only texts with shingles."""
     some = counts[counts > 0]
     starts = np.cumsum(some) - some
-    out = np.empty((len(some), SAMPLES), np.uint64)
-    for i in range(SAMPLES):
+    out = np.empty((len(some), samples), np.uint64)
+    for i in range(samples):
         out[:, i] = np.minimum.reduceat(hashes * _FACTORS[i] + _SHIFTS[i], starts) if len(some) else 0
     return out
 
 
 def fold(samples: np.ndarray) -> np.ndarray:
-    """The odd sketches of rows of MinHash samples, as rows of bytes."""
-    bits = np.zeros((len(samples), SKETCH_BITS), bool)
+    """The odd sketches of rows of MinHash samples, as rows of 64-bit words."""
+    size = samples.shape[1] * BITS_PER_SAMPLE
+    bits = np.zeros((len(samples), size), bool)
     rows = np.arange(len(samples))
-    for i in range(SAMPLES):
-        bits[rows, (mix64(samples[:, i] + np.uint64(i)) % np.uint64(SKETCH_BITS)).astype(np.int64)] ^= True
-    return np.packbits(bits, axis=1)
+    for i in range(samples.shape[1]):
+        bits[rows, (mix64(samples[:, i] + np.uint64(i)) % np.uint64(size)).astype(np.int64)] ^= True
+    return np.packbits(bits, axis=1).view("<i8")
 
 
-def most_different(similarity: float) -> int:
-    """The population count at which the estimate equals ``similarity``."""
-    return int(SKETCH_BITS / 2 * (1 - np.exp(4 * SAMPLES / SKETCH_BITS * (similarity - 1))))
+def most_different(similarity: float, samples: int) -> int:
+    """The population count that a pair of ``similarity`` exceeds by chance of ``DEVIATIONS`` deviations only."""
+    low = similarity - DEVIATIONS * 1.1 * (similarity * (1 - similarity) / samples) ** 0.5
+    size = samples * BITS_PER_SAMPLE
+    return int(size / 2 * (1 - np.exp(4 * samples / size * (low - 1))))
 
 
 def class_of(shingles: np.ndarray) -> bytes | None:
@@ -94,7 +99,7 @@ def class_of(shingles: np.ndarray) -> bytes | None:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """Per row of (doc_id, t, text): doc_id, t, n_shingles, class (null without shingles), bands, sketch (eight longs)."""
+    """Per row of (doc_id, t, text): doc_id, t, n_shingles, class (null without shingles), bands, sketch."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,8 +111,8 @@ def signatures(docs: DataFrame) -> DataFrame:
                     part = np.unique(part)
                     sizes.append(len(part))
                     classes.append(class_of(part))
-                samples = minhash(hashes, counts)
-                sketches = fold(samples).view("<i8")
+                samples = minhash(hashes, counts, SAMPLES)
+                sketches = fold(samples)
                 bands = np.full((len(samples), BANDS), 0, np.uint64)
                 for row in range(ROWS):
                     bands = mix64(bands * np.uint64(31) + samples[:, row::ROWS])
@@ -126,26 +131,32 @@ def signatures(docs: DataFrame) -> DataFrame:
         run, f"doc_id {kind}, t long, n_shingles long, class binary, bands array<long>, sketch array<long>")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """Class and distinct shingle hashes of each row of (class, text) whose text is of that class."""
+def of_classes(texts: DataFrame, what: str) -> DataFrame:
+    """One row for each class among the rows of (class, text) whose text is of that class.
+
+    ``what`` is ``set``, its distinct shingle hashes, or ``sharp``, its sketch of ``SHARP`` samples.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi in byte_slices(batch.column("text"), SLICE_BYTES):
                 hashes, counts = shingle_sets(utf8(batch.column("text").slice(lo, hi - lo)))
                 wanted = batch.column("class").slice(lo, hi - lo).to_pylist()
-                sets = {w: x.view(np.int64) for w, x in zip(
+                sets = {w: x for w, x in zip(
                     wanted, map(np.unique, np.split(hashes, np.cumsum(counts)[:-1])), strict=True) if class_of(x) == w}
+                values = [x.view(np.int64) for x in sets.values()]
+                if what == "sharp" and sets:
+                    sizes = np.fromiter(map(len, values), np.int64, len(values))
+                    values = list(fold(minhash(np.concatenate(list(sets.values())), sizes, SHARP)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(sets), pa.binary()), pa.array(list(sets.values()), pa.list_(pa.int64()))],
-                    ["class", "set"])
+                    [pa.array(list(sets), pa.binary()), pa.array(values, pa.list_(pa.int64()))], ["class", what])
 
-    return docs.mapInArrow(run, "class binary, set array<long>").dropDuplicates(["class"])
+    return texts.mapInArrow(run, f"class binary, {what} array<long>").dropDuplicates(["class"])
 
 
 def different(a: str, b: str) -> Column:
     """Population count of the XOR of two sketches."""
-    bits = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SKETCH_BITS // 64)]
+    bits = [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(SAMPLES * BITS_PER_SAMPLE // 64)]
     return sum(bits[1:], bits[0])
 
 
@@ -182,27 +193,30 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def across(members: DataFrame, most: int) -> DataFrame:
     """Pairs (a, b) of one bucket, of different components, whose sketches differ in at most ``most`` bits.
 
-    Members are (h, m: size of the bucket, class, root, sketch). A bucket is cut into blocks
-    of about ``BLOCK`` members, and every two blocks meet in one group, so no group grows
-    with the bucket.
+    Members are (h, m: size of the bucket, class, root, bands, sharp). A bucket is cut into
+    blocks of about ``BLOCK`` members, and every two blocks meet in one group, so no group
+    grows with the bucket.
     """
     n = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("class"), n).cast("int")
     met = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select(
-        "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "root", "sketch")
+        "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "root", "bands", "sharp")
     dealt = met.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "own")
 
     def pairs(rows: pa.Table) -> tuple[list, list]:
         names = rows.column("class").to_pylist()
         _, roots = np.unique(np.array([x.hex() for x in rows.column("root").to_pylist()]), return_inverse=True)
         own, i, j = (rows.column(c).to_numpy() for c in ("own", "i", "j"))
-        sketch = pc.list_flatten(rows.column("sketch")).to_numpy().reshape(len(names), -1).view(np.uint64)
+        sketch = pc.list_flatten(rows.column("sharp")).to_numpy().reshape(len(names), -1).view(np.uint64)
+        bands = pc.list_flatten(rows.column("bands")).to_numpy().reshape(len(names), -1)
+        here = (bands[0] == rows.column("h")[0].as_py()).argmax()
         left, right = [], []
         for at in range(len(names)):
             # within a block, or from the first block to the second
             rest = np.arange(at + 1, len(names))
             rest = rest[(roots[rest] != roots[at]) & ((i[at] == j[at]) | (own[rest] != own[at]))]
-            near = rest[np.bitwise_count(sketch[rest] ^ sketch[at]).sum(1) <= most]
+            rest = rest[(bands[rest] == bands[at]).argmax(1) == here]
+            near = rest[np.bitwise_count(sketch[rest] ^ sketch[at]).sum(1, dtype=np.int64) <= most]
             left += [names[at]] * len(near)
             right += [names[x] for x in near]
         return left, right
@@ -250,27 +264,27 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         F.max("sketch").alias("sketch")), "near-classes")
     banded = classes.select("class", F.explode("bands").alias("h"))
     centres = banded.groupBy("h").agg(
-        F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("class", "h").alias("x"), F.col("class"))).alias("c")
+        F.count(F.lit(1)).alias("m"), F.min(F.struct(F.xxhash64("class").alias("x"), F.col("class"))).alias("c")
     ).where("m > 1").select("h", "m", F.col("c.class").alias("centre"))
     buckets = materialize(banded.join(centres, "h"), "near-buckets")  # only buckets of two and more
-    most = most_different(percent / 100 - MARGIN)
-
-    def sketched(pairs: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            pairs = pairs.join(classes.select(F.col("class").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
-        return pairs.withColumn("d", different("sketch_a", "sketch_b")).drop("sketch_a", "sketch_b")
 
-    starred = buckets.where(F.col("class") != F.col("centre")).select(
-        F.col("class").alias("a"), F.col("centre").alias("b")).distinct()
-    nearest = sketched(starred).where(F.col("d") <= most).groupBy("a").agg(
-        F.min(F.struct("d", "b")).alias("x")).select("a", F.col("x.b").alias("b"))
+    # One centre for each class: that of most of its buckets.
+    shared = buckets.where(F.col("class") != F.col("centre")).groupBy("class", "centre").agg(F.count(F.lit(1)).alias("n"))
+    nearest = shared.groupBy("class").agg(F.max(F.struct("n", "centre")).alias("x")).select(
+        F.col("class").alias("a"), F.col("x.centre").alias("b"))
+    for side in ("a", "b"):
+        nearest = nearest.join(classes.select(F.col("class").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
+    nearest = nearest.where(different("sketch_a", "sketch_b") <= most_different(percent / 100, SAMPLES)).select("a", "b")
     links = confirmed(nearest, rows, source, percent, "near-links-1")
     labels = components(links, "near-components-1")
     known = buckets.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
         "h", "m", "class", F.coalesce("root", "class").alias("root"))
     mixed = known.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    members = known.join(mixed, "h").join(classes.select("class", "sketch"), "class")
-    links = links.unionByName(confirmed(across(members, most), rows, source, percent, "near-links-2"))
+    open_ = materialize(known.join(mixed, "h"), "near-open")
+    sharp = of_classes(texts_of(open_.select("class").distinct(), rows, source, "near-open-rows"), "sharp")
+    members = open_.join(sharp, "class").join(classes.select("class", "bands"), "class")
+    links = links.unionByName(confirmed(
+        across(members, most_different(percent / 100, SHARP)), rows, source, percent, "near-links-2"))
     labels = components(links, "near-components")
     firsts = labels.join(classes.select(F.col("class").alias("node"), "first"), "node")
     least = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -294,22 +308,22 @@ def without_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id
     return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
 
 
-def confirmed(pairs: DataFrame, rows: DataFrame, source: DataFrame, percent: int, name: str,
-              broadcast_rows: int = 200_000) -> DataFrame:
-    """Those of the pairs (a, b) of classes whose full sets are alike enough.
-
-    The sets are taken again from the texts of the classes that are in a pair, one row of
-    the documents each, found by id and hash of the text.
-    """
-    pairs = materialize(pairs, f"{name}-pairs")
-    named = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    where = materialize(named.join(rows.select("class", "doc_id", "t"), "class").groupBy("class").agg(
-        F.min(F.struct("doc_id", "t")).alias("x")).select("class", "x.doc_id", "x.t"), f"{name}-rows")
+def texts_of(classes: DataFrame, rows: DataFrame, source: DataFrame, name: str,
+             broadcast_rows: int = 200_000) -> DataFrame:
+    """(class, text) of one row of the documents for each class, found by id and hash of the text."""
+    where = materialize(classes.join(rows.select("class", "doc_id", "t"), "class").groupBy("class").agg(
+        F.min(F.struct("doc_id", "t")).alias("x")).select("class", "x.doc_id", "x.t"), name)
     few = where.count() <= broadcast_rows  # 40 bytes each; beyond, the texts are shuffled once
     w, d = (F.broadcast(where) if few else where).alias("w"), source.alias("d")
-    texts = d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.t") == F.col("w.t"))).select(
+    return d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.t") == F.col("w.t"))).select(
         "w.class", "d.text")
-    sets = materialize(full_sets(texts), f"{name}-sets")
+
+
+def confirmed(pairs: DataFrame, rows: DataFrame, source: DataFrame, percent: int, name: str) -> DataFrame:
+    """Those of the pairs (a, b) of classes whose full sets, taken again from the texts, are alike enough."""
+    pairs = materialize(pairs, f"{name}-pairs")
+    named = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    sets = materialize(of_classes(texts_of(named, rows, source, f"{name}-rows"), "set"), f"{name}-sets")
     for side in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("class").alias(side), F.col("set").alias(f"set_{side}")), side)
     both = F.size(F.array_intersect("set_a", "set_b"))

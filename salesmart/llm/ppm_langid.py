@@ -183,17 +183,17 @@ def predict(docs: DataFrame, model: Model, most_bytes: int = 192 << 20, id_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        if known.name not in _TABLES:
+        if known.langs and known.name not in _TABLES:
             _TABLES.clear()
             _TABLES[known.name] = Table(known, most_bytes)
-        trees = _TABLES[known.name]
+        trees = _TABLES.get(known.name)
         names = np.array([*known.langs, UNKNOWN], object)
         for batch in batches:
             for lo, hi in byte_slices(batch.column("text"), SLICE_BYTES):
                 part = batch.column("text").slice(lo, hi - lo)
                 strings, data = part.to_pylist(), utf8(part)
                 lettered = np.array([bool(known.langs) and any(map(str.isalpha, t or "")) for t in strings], bool)
-                bits = trees.bits(data) if known.langs else np.zeros((len(data), 1))
+                bits = trees.bits(data) if trees else np.zeros((len(data), 1))
                 best = bits.argmin(1)
                 scale = np.minimum(1.0, EVIDENCE / np.maximum([len(d) for d in data], 1))
                 share = 1 / np.exp2(-(bits - bits.min(1, keepdims=True)) * scale[:, None]).sum(1)
