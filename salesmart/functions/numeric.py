@@ -39,12 +39,17 @@ def divide(numerator: Column, denominator: Column, alternate: Column | float | N
             .otherwise(numerator.cast("double") / denominator.cast("double")))
 
 
+def _one_decimal(c: Column) -> Column:
+    """One decimal with thousands separators, halves away from zero: rounded as a decimal, since
+    ``format_number`` alone rounds halves to the even digit."""
+    return F.format_number(F.round(c.cast("decimal(30,10)"), 1), 1)
+
+
 def format_percent(c: Column) -> Column:
     """``FORMAT(x, "0.0%")``: one decimal, no group separator."""
-    return F.when(c.isNotNull(),
-                  F.concat(F.regexp_replace(F.format_number(c * 100, 1), ",", ""), F.lit("%")))
+    return F.when(c.isNotNull(), F.concat(F.regexp_replace(_one_decimal(c * 100), ",", ""), F.lit("%")))
 
 
 def format_millions(c: Column) -> Column:
     """``FORMAT(x / 1e6, "#,##0.0") & "M"``."""
-    return F.when(c.isNotNull(), F.concat(F.format_number(c / 1_000_000, 1), F.lit("M")))
+    return F.when(c.isNotNull(), F.concat(_one_decimal(c / 1_000_000), F.lit("M")))

@@ -23,6 +23,8 @@ def bounded_count(df: DataFrame, limit: int) -> int:
         n = df.limit(limit + 1).count()
         if key is None:
             return n
+        if len(_COUNTED) >= 256:
+            _COUNTED.clear()
         _COUNTED[key] = n
     return _COUNTED[key]
 

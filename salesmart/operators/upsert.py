@@ -2,21 +2,18 @@
 
 ``upsert`` is delete+insert by key: target rows whose key appears in the batch are
 dropped (left anti join against the batch's distinct keys), the batch is appended.
-The result is written to a new version folder and the table pointer switched after
-the write succeeds, so a failed run never leaves a half-written or emptied table and a
-path is never overwritten while it is being read.
+Tables are stored in folders that never change once they are committed, so a failed run
+never leaves a half-written or emptied table and no path is overwritten while it is read.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
 import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_of_date
 from .keys import assign_row_numbers
 
 
@@ -48,18 +45,18 @@ def append_new_ids(existing: DataFrame, candidates: DataFrame, natural_key: list
     return existing.select(id_col, *natural_key).unionByName(numbered.select(id_col, *natural_key))
 
 
-def recent_fact_keys_filter(as_of: str | _dt.date | None, days: int = 30):
-    """Predicate for the incremental mart's literal source slice (ORDER_DATE_KEY)."""
-    return F.col("ORDER_DATE_KEY") >= F.date_format(
-        F.date_sub(as_of_date(as_of), days), "yyyyMMdd").cast("int")
-
-
 # ---------------------------------------------------------------------------------------
-# Versioned table storage: <root>/<name>/v-<id>/ plus a CURRENT pointer file, through the
-# Hadoop FileSystem API so the same code works on local disk, HDFS or an object store.
+# Versioned table storage, through the Hadoop FileSystem API so that the same code works on
+# local disk, HDFS or an object store:
+#   <root>/<name>/v-<id>/                 data folders, never changed once committed
+#   <root>/<name>/_commits/<number>.json  which folders, and which partition values of each,
+#                                         make up the table; the highest number holds
+# A commit is one rename to a name that does not exist yet. Whatever stops before it leaves
+# the table as it was, whatever stops after it only leaves folders that the next sweep drops.
 # ---------------------------------------------------------------------------------------
 
 MAX_RECORDS_PER_FILE = 5_000_000
+KEPT_COMMITS = 2
 
 
 def _fs(spark: SparkSession, path: str):
@@ -68,29 +65,104 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def current_version(spark: SparkSession, root: str, name: str) -> str | None:
-    fs, pointer = _fs(spark, f"{root.rstrip('/')}/{name}/CURRENT")
-    if not fs.exists(pointer):
-        return None
-    stream = fs.open(pointer)
+def _table(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}"
+
+
+def _commit_numbers(spark: SparkSession, table: str) -> list[int]:
+    fs, folder = _fs(spark, f"{table}/_commits")
+    if not fs.exists(folder):
+        return []
+    names = [st.getPath().getName() for st in fs.listStatus(folder)]
+    return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+
+def _read_commit(spark: SparkSession, table: str, number: int) -> list[dict]:
+    fs, path = _fs(spark, f"{table}/_commits/{number:08d}.json")
+    stream = fs.open(path)
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return json.loads(reader.readLine())["path"]
+        jvm = spark.sparkContext._jvm
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+        return json.loads(reader.readLine())
     finally:
         stream.close()
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    path = current_version(spark, root, name)
-    return spark.read.parquet(path) if path else None
+def table_parts(spark: SparkSession, root: str, name: str) -> list[dict]:
+    """The committed parts: ``path``, and of its partition values ``only`` some or all ``but`` some."""
+    numbers = _commit_numbers(spark, _table(root, name))
+    return _read_commit(spark, _table(root, name), numbers[-1]) if numbers else []
+
+
+def current_version(spark: SparkSession, root: str, name: str) -> str | None:
+    """The folder written last, or None where nothing is committed."""
+    parts = table_parts(spark, root, name)
+    return parts[-1]["path"] if parts else None
+
+
+def read_table(spark: SparkSession, root: str, name: str, part_col: str | None = None) -> DataFrame | None:
+    """The committed table. Parts replaced in some partitions are read without these: a literal
+    filter on ``part_col``, so that their folders are never listed into the scan."""
+    out = None
+    for part in table_parts(spark, root, name):
+        df = spark.read.parquet(part["path"])
+        if part.get("only") is not None:
+            df = df.where(F.col(part_col).isin(part["only"]))
+        elif part.get("but"):
+            df = df.where(~F.col(part_col).isin(part["but"]))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def _commit(spark: SparkSession, table: str, parts: list[dict]) -> None:
+    numbers = _commit_numbers(spark, table)
+    fs, tmp = _fs(spark, f"{table}/_commits/.{uuid.uuid4().hex}")
+    stream = fs.create(tmp, True)
+    try:
+        stream.write(bytearray(json.dumps(parts).encode("utf-8")))
+    finally:
+        stream.close()
+    _, final = _fs(spark, f"{table}/_commits/{(numbers[-1] if numbers else 0) + 1:08d}.json")
+    if fs.exists(final) or not fs.rename(tmp, final):
+        fs.delete(tmp, False)
+        raise OSError(f"another writer committed to {table}")
+
+
+def sweep(spark: SparkSession, root: str, name: str, keep: int = KEPT_COMMITS) -> None:
+    """Drop commits but the last ``keep``, and data folders that none of these names."""
+    table = _table(root, name)
+    numbers = _commit_numbers(spark, table)
+    named = {part["path"].rsplit("/", 1)[-1] for n in numbers[-keep:] for part in _read_commit(spark, table, n)}
+    fs, folder = _fs(spark, table)
+    for n in numbers[:-keep]:
+        fs.delete(_fs(spark, f"{table}/_commits/{n:08d}.json")[1], False)
+    for status in fs.listStatus(folder):
+        path = status.getPath()
+        if path.getName().startswith("v-") and path.getName() not in named:
+            fs.delete(path, True)
+
+
+def _write_folder(df: DataFrame, table: str, partition_by: list[str] | None, sort_within: list[str] | None,
+                  rebalance_by: list[str] | None) -> str:
+    folder = f"{table}/v-{uuid.uuid4().hex[:12]}"
+    out = df.hint("rebalance", *rebalance_by) if rebalance_by else df
+    order = list(partition_by or []) + list(sort_within or [])
+    if order:
+        out = out.sortWithinPartitions(*order)
+    writer = out.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(folder)
+    return folder
 
 
 def write_version(df: DataFrame, root: str, name: str,
                   partition_by: list[str] | None = None,
                   sort_within: list[str] | None = None,
-                  rebalance_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version folder, then switch the pointer to it.
+                  rebalance_by: list[str] | None = None, made_from: str | None = None) -> str:
+    """Write ``df`` as the whole new content of a table and commit it.
+
+    ``made_from`` is kept in the commit: the version of another table that ``df`` goes back to.
 
     With ``rebalance_by`` (the partition columns) the rows are shuffled once by those
     columns under a ``REBALANCE`` hint: AQE then merges small partition values into
@@ -99,22 +171,31 @@ def write_version(df: DataFrame, root: str, name: str,
     partition value it holds (tasks x values small files).
     """
     spark = df.sparkSession
-    folder = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex[:12]}"
-    out = df.hint("rebalance", *rebalance_by) if rebalance_by else df
-    order = list(partition_by or []) + list(sort_within or [])
-    if order:
-        out = out.sortWithinPartitions(*order)
-    writer = out.write.mode("errorifexists").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(folder)
-    fs, tmp = _fs(spark, f"{root.rstrip('/')}/{name}/.CURRENT-{uuid.uuid4().hex[:8]}")
-    stream = fs.create(tmp, True)
-    try:
-        stream.write(bytearray(json.dumps({"path": folder}).encode("utf-8")))
-    finally:
-        stream.close()
-    _, final = _fs(spark, f"{root.rstrip('/')}/{name}/CURRENT")
-    fs.delete(final, False)
-    fs.rename(tmp, final)
+    folder = _write_folder(df, _table(root, name), partition_by, sort_within, rebalance_by)
+    _commit(spark, _table(root, name), [{"path": folder} | ({"made_from": made_from} if made_from else {})])
+    sweep(spark, root, name)
+    return folder
+
+
+def replace_partitions(df: DataFrame, root: str, name: str, part_col: str, values: list,
+                       sort_within: list[str] | None = None) -> str:
+    """Make ``df`` the content of the partitions ``values`` of a table; other partitions stay as they are.
+
+    The content goes to a new folder with the layout of a full write; the commit takes the
+    values from the parts that held them. A value without rows in ``df`` is then empty. The
+    parts in use stay below the number of partitions, since one that holds none is dropped.
+    """
+    spark = df.sparkSession
+    table = _table(root, name)
+    parts = []
+    for part in table_parts(spark, root, name):
+        if part.get("only") is not None:
+            left = [v for v in part["only"] if v not in set(values)]
+            if left:
+                parts.append({"path": part["path"], "only": left})
+        else:
+            parts.append({"path": part["path"], "but": sorted({*part.get("but", []), *values})})
+    folder = _write_folder(df, table, [part_col], sort_within, [part_col])
+    _commit(spark, table, [*parts, {"path": folder, "only": sorted(values)}])
+    sweep(spark, root, name)
     return folder

@@ -8,13 +8,13 @@ layer is a Parquet table under ``warehouse``:
     marts/dim_*/v-*                first run: full build; later runs keep ids, append keys
     marts/fact_sales/v-*/ORDER_MONTH_KEY=yyyymm/
                                    first run: full build; later runs upsert by ORDER_ID,
-                                   rewriting only the month partitions the batch touches
+                                   writing the months the batch touches to a new folder
     consumption/sales_performance/v-*
-                                   whole touched months re-aggregated, windows recomputed
-    dq/<test>                      failing rows of failed tests (store-failures)
+                                   the same months re-aggregated, windows recomputed
+    dq/<test>                      failing rows of every failed test (store-failures)
 
-Versioned tables are written to a new folder and switched by a pointer file after the
-write succeeds, so a failed run leaves the previous version readable.
+Tables are committed after their write (``operators.upsert``): a run that stops anywhere
+leaves each table as its last commit has it, and may simply be run again.
 """
 
 from __future__ import annotations
@@ -25,21 +25,24 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import quality as Q
-from ..operators.upsert import append_new_ids, current_version, read_table, write_version
+from ..operators.joins import checked_broadcast
+from ..operators.upsert import append_new_ids, current_version, read_table, replace_partitions, table_parts, write_version
 from ..session import materialize
 from . import dims as DM
 from . import incremental as INC
-from .fact import FACT_COLUMNS, build_fact
+from .fact import FACT_COLUMNS, PART_COL, build_fact
 from .mart import build_performance, enrich
 from .staging import build_staging
 
 log = logging.getLogger(__name__)
 
-PART_COL = "ORDER_MONTH_KEY"
+FACT = "marts/fact_sales"
+PERF = "consumption/sales_performance"
+FACT_SORT = ["GEOGRAPHY_ID"]
 DIM_KEYS = {
     "dim_geography": (["REGION", "COUNTRY"], "GEOGRAPHY_ID", DM.geography_keys,
                       {"region": "REGION", "country": "COUNTRY"}),
@@ -73,55 +76,40 @@ class RunReport:
 
 
 def _with_part(fact: DataFrame) -> DataFrame:
-    return fact.withColumn(PART_COL, (F.col("ORDER_DATE_KEY") / 100).cast("int"))
+    return fact.withColumn(PART_COL, INC.month_key())
 
 
-def read_fact(spark: SparkSession, warehouse: str) -> DataFrame | None:
-    t = read_table(spark, warehouse, "marts/fact_sales")
-    return None if t is None else t.select(*FACT_COLUMNS)
+def read_fact(spark: SparkSession, warehouse: str, with_month: bool = False) -> DataFrame | None:
+    t = read_table(spark, warehouse, FACT, PART_COL)
+    return None if t is None else t.select(*FACT_COLUMNS, *([PART_COL] if with_month else []))
 
 
-def upsert_fact_partitions(spark: SparkSession, folder: str, batch: DataFrame) -> None:
-    """Delete+insert by ORDER_ID, rewriting only affected month partitions.
+def upsert_fact_partitions(spark: SparkSession, warehouse: str, batch: DataFrame) -> list[int]:
+    """Delete+insert by ORDER_ID, rewriting only affected months; returns these (yyyymm).
 
-    Affected = months the batch writes to, plus months that now hold one of its ids (an
-    order whose date changed moves partition). The month list is bounded by the number of
-    partitions (one row each), so it comes to the driver and becomes a literal partition
-    filter: only the affected month directories are read. Their new content is written
-    back with a dynamic partition overwrite, which stages the output and replaces each
-    written month directory only at job commit, after every task has read its input; a
-    failed job leaves the table as it was, and other months are never touched.
+    Affected are the months the batch writes to and those that hold one of its ids before (an
+    order whose date changed moves). There is one number per month, so they come to the driver
+    and become a literal partition filter: only their folders are read. The new content is
+    written beside them and replaces them in one commit.
     """
-    existing = spark.read.parquet(folder)
-    # Written once: the keys, the month list and the new content all read it.
+    existing = read_table(spark, warehouse, FACT, PART_COL)
+    # Written once: the month list and the new content both read it.
     batch = materialize(_with_part(batch), "fact-batch")
-    batch_keys = batch.select("ORDER_ID").distinct()
-    holders = existing.join(batch_keys, "ORDER_ID", "left_semi").select(PART_COL)
-    touched = (holders.select(PART_COL, F.lit(False).alias("_in_batch"))
-               .union(batch.select(PART_COL, F.lit(True).alias("_in_batch")))
-               .groupBy(PART_COL).agg(F.max("_in_batch").alias("_in_batch")).collect())
-    if not touched:
-        return
-    months = sorted(r[PART_COL] for r in touched)
-    # a month only the batch's ids were taken from may be left with no rows
-    maybe_empty = sorted(r[PART_COL] for r in touched if not r["_in_batch"])
-    kept = (existing.where(F.col(PART_COL).isin(months))
-            .join(batch_keys, "ORDER_ID", "left_anti"))
-    out = kept.unionByName(batch.select(*existing.columns)).hint("rebalance", PART_COL)
-    rows_in = Observation("upsert_months")
-    if maybe_empty:  # rows written per such month, counted by the write itself
-        out = out.observe(rows_in, *[F.sum((F.col(PART_COL) == m).cast("long")).alias(f"m{m}")
-                                     for m in maybe_empty])
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(PART_COL).parquet(folder))
-    # A month left with no rows is not replaced by a dynamic overwrite: drop it.
-    written = rows_in.get if maybe_empty else {}
-    emptied = [m for m in maybe_empty if not written.get(f"m{m}")]
-    if emptied:
-        jvm = spark.sparkContext._jvm
-        for month in emptied:
-            p = jvm.org.apache.hadoop.fs.Path(f"{folder}/{PART_COL}={month}")
-            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    months = INC.touched_months(existing, batch)
+    if not months:
+        return []
+    kept = existing.where(F.col(PART_COL).isin(months)).join(
+        checked_broadcast(batch.select("ORDER_ID")), "ORDER_ID", "left_anti")
+    replace_partitions(kept.unionByName(batch.select(*existing.columns)), warehouse, FACT, PART_COL, months, FACT_SORT)
+    return months
+
+
+class RunFailure(RuntimeError):
+    """A failed step; ``report`` tells how far the run came."""
+
+    def __init__(self, message: str, report: RunReport):
+        super().__init__(message)
+        self.report = report
 
 
 def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
@@ -130,7 +118,8 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
               timings: dict | None = None) -> RunReport:
     """Run the layers in order; ``timings`` (if given) receives seconds per step."""
     clock = _Clock(timings)
-    is_incremental = (not full_refresh) and current_version(spark, warehouse, "marts/fact_sales") is not None
+    fact_before = current_version(spark, warehouse, FACT)
+    is_incremental = not full_refresh and fact_before is not None
     report = RunReport(mode="incremental" if is_incremental else "full")
 
     # 1. source gates: one scan, all six evaluated, then stop if any failed
@@ -138,7 +127,9 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
     report.gates = [r.asDict() for r in Q.run_gates(raw, as_of, raise_on_failure=False)]
     if enforce_gates and any(g["FAILED"] for g in report.gates):
         report.failed_step = "validate_source"
-        raise Q.GateFailure([(g["GATE"], g["VALUE"]) for g in report.gates if g["FAILED"]])
+        failure = Q.GateFailure([(g["GATE"], g["VALUE"]) for g in report.gates if g["FAILED"]])
+        failure.report = report
+        raise failure
 
     # 2. staging (persisted for this run: six models read it)
     clock.start("staging")
@@ -176,23 +167,26 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
     if not is_incremental:
         fact = build_fact(stg, dims["dim_product"], dims["dim_geography"], dims["dim_channel"],
                           dims["dim_priority"], dims["dim_date"])
-        write_version(_with_part(fact), warehouse, "marts/fact_sales", partition_by=[PART_COL],
-                      sort_within=["GEOGRAPHY_ID"], rebalance_by=[PART_COL])
+        write_version(_with_part(fact), warehouse, FACT, partition_by=[PART_COL],
+                      sort_within=FACT_SORT, rebalance_by=[PART_COL])
+        months = None
     else:
-        batch = INC.fact_increment(stg, dims, as_of)
-        upsert_fact_partitions(spark, current_version(spark, warehouse, "marts/fact_sales"), batch)
+        months = upsert_fact_partitions(spark, warehouse, INC.fact_increment(stg, dims, as_of))
     fact = read_fact(spark, warehouse)
 
     # 5. consumption mart
     clock.start("consumption")
-    prev_perf = read_table(spark, warehouse, "consumption/sales_performance") if is_incremental else None
-    if prev_perf is None:
+    stored = table_parts(spark, warehouse, PERF)
+    # A run that stopped between fact and mart left months that only the fact has: the mart's commit
+    # names the fact it was made from, and where that was not the last, the whole mart is made anew.
+    if is_incremental and stored and stored[-1].get("made_from") == fact_before:
+        perf = INC.refresh_mart(read_table(spark, warehouse, PERF), read_fact(spark, warehouse, with_month=True),
+                                dims, months)
+    else:
         perf = build_performance(enrich(fact, dims["dim_product"], dims["dim_geography"],
                                         dims["dim_channel"], dims["dim_priority"], dims["dim_date"]))
-    else:
-        perf = INC.refresh_mart(prev_perf, fact, dims, as_of)
-    write_version(perf, warehouse, "consumption/sales_performance")
-    perf = read_table(spark, warehouse, "consumption/sales_performance")
+    write_version(perf, warehouse, PERF, made_from=current_version(spark, warehouse, FACT))
+    perf = read_table(spark, warehouse, PERF)
 
     # 6. data tests (declared tests + financial integrity), failing rows stored
     clock.start("data_tests")
@@ -203,12 +197,12 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
     report.tests = [r.asDict() for r in results] + [
         {"TEST_NAME": "test_fact_sales_costs", "FAILURES": n_integrity, "PASSED": n_integrity == 0}]
     report.tables = {"stg_sales": current_version(spark, warehouse, "staging/stg_sales"),
-                     "fact_sales": current_version(spark, warehouse, "marts/fact_sales"),
-                     "sales_performance": current_version(spark, warehouse, "consumption/sales_performance")}
+                     "fact_sales": current_version(spark, warehouse, FACT),
+                     "sales_performance": current_version(spark, warehouse, PERF)}
     clock.stop()
     failed = [t["TEST_NAME"] for t in report.tests if not t["PASSED"]]
     if failed and enforce_tests:
         report.failed_step = "dbt_test"
-        raise RuntimeError(f"{len(failed)} data test(s) failed: {failed}")
+        raise RunFailure(f"{len(failed)} data test(s) failed: {failed}", report)
     log.info("daily run (%s) done", report.mode)
     return report

@@ -17,6 +17,9 @@ from ..functions import dates as D
 from ..operators.joins import checked_broadcast
 from ..schemas import AMOUNT
 
+# Partition column of the stored fact: the month (yyyymm) of the order date.
+PART_COL = "ORDER_MONTH_KEY"
+
 FACT_COLUMNS = ["ORDER_ID", "UNITS_SOLD", "UNIT_PRICE", "UNIT_COST", "TOTAL_REVENUE",
                 "TOTAL_COST", "TOTAL_PROFIT", "PRODUCT_ID", "GEOGRAPHY_ID", "CHANNEL_ID",
                 "PRIORITY_ID", "ORDER_DATE_KEY", "SHIP_DATE_KEY", "SHIPPING_DAYS"]

@@ -58,19 +58,38 @@ def total_units(perf, by=None):
     return _group(perf, by, F.sum("TOTAL_UNITS_SOLD").cast("bigint").alias("TOTAL_UNITS"))
 
 
+# The time attributes of the mart. Within a comparison of periods only YEAR, QUARTER and MONTH
+# name the period; the others are labels of it and take no part in joins or windows.
+TIME_COLUMNS = ["YEAR", "QUARTER", "MONTH", "MONTH_NAME", "YEAR_QUARTER", "YEAR_MONTH"]
+
+
+def _period(by: list[str]) -> list[str]:
+    """The columns that name the finest period of a context: year, and quarter or month where given."""
+    if {"MONTH", "MONTH_NAME", "YEAR_MONTH"} & set(by):
+        return ["YEAR", "MONTH"]
+    return ["YEAR", "QUARTER"] if {"QUARTER", "YEAR_QUARTER"} & set(by) else ["YEAR"]
+
+
+def _others(by: list[str]) -> list[str]:
+    return [c for c in by if c not in TIME_COLUMNS]
+
+
 def yoy_revenue_growth(perf, by=None):
-    """Revenue against the same month a year earlier (BLANK = NULL when none).
+    """Revenue against the same period a year earlier (BLANK = NULL when none).
 
-    ``by`` must contain YEAR and MONTH; the prior period is found by a join on
-    (YEAR - 1, MONTH, other keys), so missing months never shift the comparison.
+    The context must name the year. The period compared is its finest one (month, quarter or
+    year), found by a join on (YEAR - 1, period, other columns), so missing months never
+    shift the comparison and labels such as YEAR_MONTH do not prevent it.
     """
     by = _by(by) or ["YEAR", "MONTH"]
-    if "YEAR" not in by:
-        raise ValueError("yoy_revenue_growth needs YEAR in the context")
-    cur = _group(perf, by, total("TOTAL_REVENUE").alias("TOTAL_REVENUE"))
-    prior = cur.select(*[(F.col(c) + 1).alias(c) if c == "YEAR" else F.col(c) for c in by],
-                       F.col("TOTAL_REVENUE").alias("PRIOR_YEAR_REVENUE"))
-    out = cur.join(prior, by, "left")
+    if not {"YEAR", "YEAR_QUARTER", "YEAR_MONTH"} & set(by):
+        raise ValueError("yoy_revenue_growth needs the year in the context")
+    period = _period(by)
+    keys = list(dict.fromkeys(by + period))
+    cur = _group(perf, keys, total("TOTAL_REVENUE").alias("TOTAL_REVENUE"))
+    prior = _group(perf, period + _others(by), total("TOTAL_REVENUE").alias("PRIOR_YEAR_REVENUE")).withColumn(
+        "YEAR", F.col("YEAR") + 1)
+    out = cur.join(prior, period + _others(by), "left")
     growth = F.when(F.col("PRIOR_YEAR_REVENUE").isNotNull() & (F.col("PRIOR_YEAR_REVENUE") != 0),
                     (F.col("TOTAL_REVENUE") - F.col("PRIOR_YEAR_REVENUE")).cast("double")
                     / F.col("PRIOR_YEAR_REVENUE").cast("double"))
@@ -91,11 +110,14 @@ def rolling_3m_profit(perf, by=None):
 
 
 def _to_date(perf, by, period: list[str], out: str):
-    """Running revenue within ``period`` (YEAR, or YEAR + QUARTER), ordered by MONTH."""
+    """Running revenue within ``period`` (YEAR, or YEAR + QUARTER), ordered by MONTH.
+
+    One row per month of the context; only ``period`` restarts the sum, whatever time
+    attributes the context holds besides."""
     by = _by(by)
     keys = list(dict.fromkeys(by + period + ["MONTH"]))
     monthly = _group(perf, keys, total("TOTAL_REVENUE").alias("TOTAL_REVENUE"))
-    part = [c for c in keys if c != "MONTH"]
+    part = _others(by) + period
     w = Window.partitionBy(*part).orderBy("MONTH").rowsBetween(Window.unboundedPreceding, 0)
     return monthly.select(*keys, "TOTAL_REVENUE", F.sum("TOTAL_REVENUE").over(w).cast(TOTAL).alias(out))
 

@@ -157,12 +157,20 @@ def f17(spark, sf):
             .agg(divide(F.sum("TOTAL_REVENUE"), F.sum("ORDER_COUNT"), 0.0).alias("REVENUE_PER_ORDER")))
 
 
+def _tenths_sql(x: str, group: str) -> str:
+    """``x`` as text with one decimal, halves away from zero: from whole tenths of a decimal."""
+    tenths = f"CAST(ROUND(CAST({x} AS DECIMAL(30,10)) * 10, 0) AS BIGINT)"
+    return (f"(CASE WHEN {tenths} < 0 THEN '-' ELSE '' END || format('{{{{:{group}}}}}', abs({tenths}) // 10) "
+            f"|| '.' || CAST(abs({tenths}) % 10 AS VARCHAR))").replace("{{", "{").replace("}}", "}")
+
+
 def _fmt_pct_sql(x: str) -> str:
-    return f"(CASE WHEN {x} IS NULL THEN NULL ELSE format('{{:.1f}}', ({x}) * 100) || '%' END)"
+    return f"(CASE WHEN {x} IS NULL THEN NULL ELSE {_tenths_sql(f'({x}) * 100', 'd')} || '%' END)"
 
 
 def _fmt_millions_sql(x: str) -> str:
-    return f"(CASE WHEN {x} IS NULL THEN NULL ELSE format('{{:,.1f}}', CAST({x} AS DOUBLE) / 1000000) || 'M' END)"
+    return (f"(CASE WHEN {x} IS NULL THEN NULL ELSE {_tenths_sql(f'CAST({x} AS DOUBLE) / 1000000', ',')} "
+            f"|| 'M' END)")
 
 
 @register("f18_format_percent", W(f"""

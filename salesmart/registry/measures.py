@@ -123,6 +123,42 @@ for _depth in (1, 2, 3, 4):
     register(f"d2_time_drill_level{_depth}", W(_kpi_sql(_by)))(
         (lambda d: lambda spark, sf: MS.drill(_perf(spark, sf), MS.TIME_PATH, d))(_depth))
 
+# The time measures at every level of the time path. The SQL looks each value up in the months of
+# the mart by definition: the same period a year before, and all months since the period began.
+_MONTHS = f"""months AS (SELECT YEAR, QUARTER, MONTH, YEAR_QUARTER, YEAR_MONTH, SUM(TOTAL_REVENUE) AS R
+                 FROM {SP} GROUP BY YEAR, QUARTER, MONTH, YEAR_QUARTER, YEAR_MONTH)"""
+_PERIOD = {1: "b.YEAR = a.YEAR - 1", 2: "b.YEAR = a.YEAR - 1 AND b.QUARTER = a.QUARTER",
+           3: "b.YEAR = a.YEAR - 1 AND b.MONTH = a.MONTH", 4: "b.YEAR = a.YEAR - 1 AND b.MONTH = a.MONTH"}
+
+
+def _yoy_sql(depth: int) -> str:
+    by = MS.TIME_PATH[:depth]
+    finest = {1: "", 2: ", QUARTER", 3: ", MONTH", 4: ""}[depth]
+    return f"""
+SELECT {", ".join(by)}, TOTAL_REVENUE, PRIOR_YEAR_REVENUE,
+       CASE WHEN PRIOR_YEAR_REVENUE <> 0 THEN CAST(TOTAL_REVENUE - PRIOR_YEAR_REVENUE AS DOUBLE)
+            / CAST(PRIOR_YEAR_REVENUE AS DOUBLE) END AS YOY_REVENUE_GROWTH
+FROM (SELECT a.*, CAST((SELECT SUM(b.R) FROM months b WHERE {_PERIOD[depth]}) AS DECIMAL(18,2)) AS PRIOR_YEAR_REVENUE
+      FROM (SELECT {", ".join(by)}{finest}, CAST(SUM(R) AS DECIMAL(18,2)) AS TOTAL_REVENUE FROM months
+            GROUP BY {", ".join(by)}{finest}) a) c"""
+
+
+def _since_sql(depth: int, period: str, out: str) -> str:
+    columns = list(dict.fromkeys(MS.TIME_PATH[:depth] + (["YEAR", "QUARTER"] if "QUARTER" in period else ["YEAR"]) + ["MONTH"]))
+    return f"""
+SELECT {", ".join(columns)}, CAST(R AS DECIMAL(18,2)) AS TOTAL_REVENUE,
+       CAST((SELECT SUM(b.R) FROM months b WHERE {period} AND b.MONTH <= a.MONTH) AS DECIMAL(18,2)) AS {out}
+FROM months a"""
+
+
+for _depth in (1, 2, 3, 4):
+    for _key, _fn, _sql in (
+            ("m07_yoy", MS.yoy_revenue_growth, _yoy_sql(_depth)),
+            ("m11_ytd", MS.ytd_revenue, _since_sql(_depth, "b.YEAR = a.YEAR", "YTD_REVENUE")),
+            ("m12_qtd", MS.qtd_revenue, _since_sql(_depth, "b.YEAR = a.YEAR AND b.QUARTER = a.QUARTER", "QTD_REVENUE"))):
+        register(f"{_key}_time_drill_level{_depth}", W(_sql, extra_ctes=_MONTHS))(
+            (lambda f, d: lambda spark, sf: f(_perf(spark, sf), MS.TIME_PATH[:d]))(_fn, _depth))
+
 
 # R1-R5: report datasets.
 
