@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as _dt
 from dataclasses import dataclass
-from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,21 +28,7 @@ GATE_LEAD_TIME = "SHIP_DATE >= ORDER_DATE (no negative lead time)"
 GATE_UNITS = "UNITS_SOLD all positive"
 
 
-@dataclass(frozen=True)
-class Gate:
-    name: str
-    fails: Callable[[object], bool]
-
-
-# Fail predicates on the gate value; a NULL rate (empty table) passes.
-GATES = [
-    Gate(GATE_ROW_COUNT, lambda v: v == 0),
-    Gate(GATE_NULL_ID, lambda v: v is not None and v >= 1),
-    Gate(GATE_NULL_DATE, lambda v: v is not None and v >= 1),
-    Gate(GATE_FUTURE, lambda v: v > 0),
-    Gate(GATE_LEAD_TIME, lambda v: v > 0),
-    Gate(GATE_UNITS, lambda v: v > 0),
-]
+GATES = [GATE_ROW_COUNT, GATE_NULL_ID, GATE_NULL_DATE, GATE_FUTURE, GATE_LEAD_TIME, GATE_UNITS]
 
 
 def _count_if(cond: Column) -> Column:
@@ -66,7 +51,11 @@ def gate_metrics(raw: DataFrame, as_of: str | _dt.date | None = None) -> DataFra
 
 def gate_results(raw: DataFrame, as_of: str | _dt.date | None = None) -> DataFrame:
     """One row per gate: ``GATE_ID``, ``GATE``, ``VALUE`` (decimal), ``FAILED``."""
-    m = gate_metrics(raw, as_of)
+    return judged_gates(gate_metrics(raw, as_of))
+
+
+def judged_gates(m: DataFrame) -> DataFrame:
+    """The verdicts on a row of ``gate_metrics``; an unknown rate (empty table) does not fail."""
     val = T.DecimalType(18, 2)
     v = {
         GATE_ROW_COUNT: F.col("row_count"), GATE_NULL_ID: F.col("null_order_id_pct"),
@@ -82,8 +71,8 @@ def gate_results(raw: DataFrame, as_of: str | _dt.date | None = None) -> DataFra
         GATE_UNITS: v[GATE_UNITS] > 0,
     }
     rows = F.array(*[
-        F.struct(F.lit(i + 1).alias("GATE_ID"), F.lit(g.name).alias("GATE"),
-                 v[g.name].cast(val).alias("VALUE"), failed[g.name].alias("FAILED"))
+        F.struct(F.lit(i + 1).alias("GATE_ID"), F.lit(g).alias("GATE"), v[g].cast(val).alias("VALUE"),
+                 failed[g].alias("FAILED"))
         for i, g in enumerate(GATES)])
     return m.select(F.inline(rows))
 
@@ -220,14 +209,19 @@ def run_data_tests(tables: dict[str, DataFrame], tests: list[DataTest] = DECLARE
     return out.withColumn("PASSED", F.col("FAILURES") == 0)
 
 
+def integrity_broken() -> Column:
+    """Whether an amount is not what units and prices, or revenue and cost, make it (unknown: not broken)."""
+    differs = [F.round(F.col(a) - b, 2) != 0 for a, b in (
+        ("TOTAL_REVENUE", F.col("UNITS_SOLD") * F.col("UNIT_PRICE")),
+        ("TOTAL_COST", F.col("UNITS_SOLD") * F.col("UNIT_COST")),
+        ("TOTAL_PROFIT", F.col("TOTAL_REVENUE") - F.col("TOTAL_COST")))]
+    return differs[0] | differs[1] | differs[2]
+
+
 def integrity_failures(fact: DataFrame) -> DataFrame:
-    """Fact rows whose totals disagree with units x prices (NULL comparisons pass)."""
-    units = F.col("UNITS_SOLD")
-    ok = ((F.round("TOTAL_REVENUE", 2) == F.round(units * F.col("UNIT_PRICE"), 2))
-          & (F.round("TOTAL_COST", 2) == F.round(units * F.col("UNIT_COST"), 2))
-          & (F.round("TOTAL_PROFIT", 2) == F.round(F.col("TOTAL_REVENUE") - F.col("TOTAL_COST"), 2)))
-    return fact.where(~ok).select("ORDER_ID", "UNITS_SOLD", "UNIT_PRICE", "UNIT_COST",
-                                  "TOTAL_REVENUE", "TOTAL_COST", "TOTAL_PROFIT")
+    """Fact rows whose amounts disagree."""
+    return fact.where(integrity_broken()).select("ORDER_ID", "UNITS_SOLD", "UNIT_PRICE", "UNIT_COST",
+                                                 "TOTAL_REVENUE", "TOTAL_COST", "TOTAL_PROFIT")
 
 
 def store_failures(failing: DataFrame, path: str) -> int:
@@ -240,30 +234,39 @@ def store_failures(failing: DataFrame, path: str) -> int:
     return int(stored.get["rows"])
 
 
+# The end-to-end assertions: a table of a layer and the rule it must keep.
+FILLED, NO_NULL_ID = "has rows", "every row has an order id"
+AMOUNTS_AGREE, PRODUCTS_KNOWN = "amounts agree with units and prices", "every product is in the dimension"
+LAYER_CHECKS = [
+    ("raw_sales", FILLED), ("stg_sales", FILLED), ("stg_sales", NO_NULL_ID),
+    *((d, FILLED) for d in ("dim_date", "dim_geography", "dim_product", "dim_channel", "dim_priority")),
+    ("fact_sales", FILLED), ("sales_performance", FILLED), ("fact_sales", AMOUNTS_AGREE), ("fact_sales", PRODUCTS_KNOWN)]
+
+
+def check_name(table: str, rule: str) -> str:
+    return f"{table}: {rule}"
+
+
 def layer_checks(spark: SparkSession, layers: dict[str, DataFrame]) -> DataFrame:
-    """The twelve end-to-end assertions over the four layers, one row each."""
-    fact = layers["fact_sales"]
-    checks: list[tuple[str, DataFrame, str]] = []
-
-    def count_of(name: str, df: DataFrame, expect: str):
-        checks.append((name, df.agg(F.count(F.lit(1)).cast("bigint").alias("VALUE")), expect))
-
-    count_of("raw.sales populated", layers["raw_sales"], "positive")
-    count_of("staging.stg_sales populated", layers["stg_sales"], "positive")
-    count_of("staging.stg_sales no NULL order_id",
-             layers["stg_sales"].where(F.col("order_id").isNull()), "zero")
-    for dim in ["dim_date", "dim_geography", "dim_product", "dim_channel", "dim_priority"]:
-        count_of(f"marts.{dim} populated", layers[dim], "positive")
-    count_of("marts.fact_sales populated", fact, "positive")
-    count_of("consumption.sales_performance populated", layers["sales_performance"], "positive")
-    count_of("fact_sales financial integrity", integrity_failures(fact), "zero")
-    count_of("fact_sales no orphan product FK",
-             anti_join(fact.select("PRODUCT_ID"), layers["dim_product"], "PRODUCT_ID", "PRODUCT_ID")
-             .unionByName(fact.where(F.col("PRODUCT_ID").isNull()).select("PRODUCT_ID")), "zero")
+    """One row per assertion: its count, which must be positive for ``FILLED`` and zero else.
+
+    Each table is read once, for all its rules together.
+    """
+    known = layers["dim_product"].select("PRODUCT_ID", F.lit(True).alias("_known"))
     out = None
-    for i, (name, df, expect) in enumerate(checks):
-        passed = F.col("VALUE") > 0 if expect == "positive" else F.col("VALUE") == 0
-        row = df.select(F.lit(i + 1).alias("CHECK_ID"), F.lit(name).alias("CHECK_NAME"), "VALUE",
-                        passed.alias("PASSED"))
-        out = row if out is None else out.unionByName(row)
+    for table in dict.fromkeys(t for t, _ in LAYER_CHECKS):
+        df = layers[table]
+        rules = [(i, rule) for i, (t, rule) in enumerate(LAYER_CHECKS, 1) if t == table]
+        if any(rule == PRODUCTS_KNOWN for _, rule in rules):
+            df = df.join(checked_broadcast(known), "PRODUCT_ID", "left")
+        counted = {FILLED: F.lit(True), NO_NULL_ID: F.expr("order_id IS NULL") if "order_id" in df.columns else None,
+                   AMOUNTS_AGREE: integrity_broken() if table == "fact_sales" else None,
+                   PRODUCTS_KNOWN: F.expr("_known IS NULL") if "_known" in df.columns else None}
+        values = df.agg(*[_count_if(counted[rule]).alias(f"v{i}") for i, rule in rules])
+        rows = F.array(*[F.struct(
+            F.lit(i).alias("CHECK_ID"), F.lit(check_name(table, rule)).alias("CHECK_NAME"),
+            F.col(f"v{i}").alias("VALUE"),
+            (F.col(f"v{i}") > 0 if rule == FILLED else F.col(f"v{i}") == 0).alias("PASSED")) for i, rule in rules])
+        part = values.select(F.inline(rows))
+        out = part if out is None else out.unionByName(part)
     return out

@@ -18,25 +18,33 @@ from salesmart.plans.model import Model
 from salesmart.schemas import RAW_SALES
 
 
-def _gate(name, value):
-    return next(g for g in Q.GATES if g.name == name).fails(value)
-
-
-@pytest.mark.parametrize("name,value,fails", [
-    (Q.GATE_ROW_COUNT, 0, True), (Q.GATE_ROW_COUNT, 1, False), (Q.GATE_ROW_COUNT, 1000, False),
-    (Q.GATE_NULL_ID, 1.0, True), (Q.GATE_NULL_ID, 5.2, True), (Q.GATE_NULL_ID, 0.5, False),
-    (Q.GATE_NULL_ID, 0.0, False), (Q.GATE_NULL_ID, None, False),
-    (Q.GATE_NULL_DATE, 2.0, True), (Q.GATE_NULL_DATE, 0.0, False),
-    (Q.GATE_FUTURE, 3, True), (Q.GATE_FUTURE, 0, False),
-    (Q.GATE_LEAD_TIME, 1, True), (Q.GATE_LEAD_TIME, 0, False),
-    (Q.GATE_UNITS, 5, True), (Q.GATE_UNITS, 0, False),
-])
-def test_gate_predicates(name, value, fails):
-    assert _gate(name, value) is fails
+GATE_COLUMNS = {Q.GATE_ROW_COUNT: "row_count", Q.GATE_NULL_ID: "null_order_id_pct",
+                Q.GATE_NULL_DATE: "null_order_date_pct", Q.GATE_FUTURE: "future_orders",
+                Q.GATE_LEAD_TIME: "negative_lead_time", Q.GATE_UNITS: "nonpositive_units"}
+
+
+def test_gate_verdicts(spark):
+    cases = [
+        (Q.GATE_ROW_COUNT, 0, True), (Q.GATE_ROW_COUNT, 1, False), (Q.GATE_ROW_COUNT, 1000, False),
+        (Q.GATE_NULL_ID, 1.0, True), (Q.GATE_NULL_ID, 5.2, True), (Q.GATE_NULL_ID, 0.5, False),
+        (Q.GATE_NULL_ID, 0.0, False), (Q.GATE_NULL_ID, None, False),
+        (Q.GATE_NULL_DATE, 2.0, True), (Q.GATE_NULL_DATE, 0.0, False),
+        (Q.GATE_FUTURE, 3, True), (Q.GATE_FUTURE, 0, False),
+        (Q.GATE_LEAD_TIME, 1, True), (Q.GATE_LEAD_TIME, 0, False),
+        (Q.GATE_UNITS, 5, True), (Q.GATE_UNITS, 0, False)]
+    rows = [(i, *[value if gate == name else (1 if name == Q.GATE_ROW_COUNT else 0) for name in GATE_COLUMNS])
+            for i, (gate, value, _) in enumerate(cases)]
+    kinds = ", ".join(f"{c} {'decimal(18,2)' if c.endswith('pct') else 'long'}" for c in GATE_COLUMNS.values())
+    data = [tuple(Decimal(str(v)) if v is not None and c.endswith("pct") else v
+                  for c, v in zip(["i", *GATE_COLUMNS.values()], row)) for row in rows]
+    metrics = spark.createDataFrame(data, f"i int, {kinds}")
+    for i, (gate, value, fails) in enumerate(cases):
+        got = {r.GATE: r.FAILED for r in Q.judged_gates(metrics.where(F.col("i") == i)).collect()}
+        assert got[gate] is fails, (gate, value)
 
 
 def test_six_unique_gates():
-    assert len(Q.GATES) == 6 and len({g.name for g in Q.GATES}) == 6
+    assert len(Q.GATES) == 6 == len(set(Q.GATES))
 
 
 def _raw(spark, rows):
