@@ -6,7 +6,7 @@ coerces all fields and tags each row with the first failure reason -> two filter
 coerces its own splits, and the writer appends in parallel.
 
 Row rules (from the loader being replaced):
-* headers are matched by name; a missing header only warns, and its column takes the
+* headers are matched by name, file by file; a missing header only warns, and its column takes the
   default ('' for text, 0 for numbers, NULL for dates);
 * text is stripped of surrounding whitespace; an empty number is 0; a number that does
   not parse rejects the row; a date is tried in three formats, else NULL (row kept);
@@ -59,21 +59,52 @@ class IngestResult:
                 .agg(F.count(F.lit(1)).alias("ROWS")))
 
 
-def read_header(spark: SparkSession, path: str) -> list[str]:
+def read_header(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names from the header line (reads one line, no data pass)."""
     return spark.read.option("header", True).csv(path).columns
 
 
-def read_feed(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
-    """Scan the CSV with every column as text, named from its header.
+def header_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """The feed's files, grouped by their first line: only files with the same column order may
+    share a scan. One line per file is read, through the file system the path is on."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.getFileStatus(root).isDirectory():
+        return [[path]]
+    groups: dict[str, list[str]] = {}
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not status.isFile() or name.startswith(("_", ".")):
+            continue
+        stream = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+            spark.sparkContext._jsc.hadoopConfiguration()).getCodec(status.getPath())
+        opened = fs.open(status.getPath())
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(
+            stream.createInputStream(opened) if stream else opened, "UTF-8"))
+        try:
+            first = reader.readLine()
+        finally:
+            reader.close()
+        if first is not None:
+            groups.setdefault(first.lstrip("\ufeff").rstrip("\r"), []).append(status.getPath().toString())
+    return list(groups.values())
+
+
+def read_feed(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> tuple[DataFrame, list[str]]:
+    """Scan CSV files of one header with every column as text, named from it.
 
     BOM is dropped by the reader; quoted commas and ``""`` escapes are handled; a line
-    with fewer or more fields than the header keeps its text in ``_corrupt_record``.
+    with fewer or more fields than the header keeps its text in ``_corrupt_record``. Columns
+    are never pruned from the parser: with fewer it would not see that a line is short, and
+    the verdict on a row would depend on what is read of it. With ``multi_line`` a quoted
+    field may hold line ends; a file is then one task.
     """
     header = read_header(spark, path)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header]
                           + [T.StructField(CORRUPT, T.StringType(), True)])
-    df = (spark.read.option("header", True).option("escape", '"')
+    df = (spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+          .option("columnPruning", False)
           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
           .schema(schema).csv(path))
     return df, header
@@ -131,17 +162,34 @@ def coerce_feed(df: DataFrame, header: list[str], source_for_all: bool = False)
         *[values[c].alias(c) for c in RAW_COLUMNS], reason.alias("_reject_reason"), source.alias("_source"))
 
 
-def ingest_csv(spark: SparkSession, path: str) -> IngestResult:
+def read_coerced(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, list[str]]:
+    """The coerced rows of all files of a feed, each read by its own header, and the headers that
+    some file lacks. ``_source`` is the source fields of a rejected row as JSON, since files may differ in them."""
+    out, missing = None, set()
+    for files in header_groups(spark, path):
+        df, header = read_feed(spark, files, multi_line)
+        missing |= {h for h in CSV_HEADERS if h not in header}
+        rows = coerce_feed(df, header).withColumn("_source", F.to_json("_source"))
+        out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        raise FileNotFoundError(f"no feed file in {path}")
+    return out, [h for h in CSV_HEADERS if h in missing]
+
+
+def _outcomes(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    accepted = (rows.where(F.col("_reject_reason").isNull())
+                .select(*RAW_COLUMNS, F.localtimestamp().alias("_ingested_at")))
+    source = F.from_json("_source", ", ".join(f"`{h}` string" for h in CSV_HEADERS)).alias("_fields")
+    rejected = rows.where(F.col("_reject_reason").isNotNull()).select(source, "_reject_reason")
+    return accepted, rejected.select("_fields.*", "_reject_reason")
+
+
+def ingest_csv(spark: SparkSession, path: str, multi_line: bool = False) -> IngestResult:
     """Parse and coerce a feed; nothing is written (see ``load_csv``)."""
-    df, header = read_feed(spark, path)
-    missing = [h for h in CSV_HEADERS if h not in header]
+    rows, missing = read_coerced(spark, path, multi_line)
     if missing:
         log.warning("Missing expected columns: %s", missing)
-    coerced = coerce_feed(df, header)
-    accepted = (coerced.where(F.col("_reject_reason").isNull())
-                .select(*RAW_COLUMNS, F.localtimestamp().alias("_ingested_at")))
-    rejected = coerced.where(F.col("_reject_reason").isNotNull()).select("_source.*", "_reject_reason")
-    return IngestResult(accepted, rejected, missing)
+    return IngestResult(*_outcomes(rows), missing)
 
 
 def _swap_in(spark: SparkSession, new_folder: str, target: str) -> None:
@@ -163,7 +211,7 @@ def _swap_in(spark: SparkSession, new_folder: str, target: str) -> None:
 
 
 def load_csv(spark: SparkSession, path: str, table_path: str, truncate: bool = False,
-             rejected_path: str | None = None) -> dict:
+             rejected_path: str | None = None, multi_line: bool = False) -> dict:
     """Append (or, with ``truncate``, replace) ``raw.sales`` from a CSV feed.
 
     Missing input ends the job with an error before anything is written. The feed is
@@ -178,19 +226,18 @@ def load_csv(spark: SparkSession, path: str, table_path: str, truncate: bool = F
     p = jvm.org.apache.hadoop.fs.Path(path)
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         raise FileNotFoundError(path)
-    df, header = read_feed(spark, path)
-    missing = [h for h in CSV_HEADERS if h not in header]
-    rows = coerce_feed(df, header).persist(StorageLevel.DISK_ONLY)
+    rows, missing = read_coerced(spark, path, multi_line)
+    rows = rows.persist(StorageLevel.DISK_ONLY)
     dest = f"{table_path.rstrip('/')}.loading-{uuid.uuid4().hex[:12]}" if truncate else table_path
     try:
-        accepted = (rows.where(F.col("_reject_reason").isNull())
-                    .select(*RAW_COLUMNS, F.localtimestamp().alias("_ingested_at")))
+        accepted, rejected = _outcomes(rows)
         loaded_rows = Observation("loaded_rows")
+        # Rejects first: if their write fails nothing has been appended yet, and the load may be run again.
+        folder = rejected_path or scratch_path(spark, "ingest-rejected")
+        rejected_target = f"{folder.rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
+        rejected.write.mode("errorifexists").parquet(rejected_target)
         (accepted.observe(loaded_rows, F.count(F.lit(1)).alias("rows"))
          .write.mode("errorifexists" if truncate else "append").parquet(dest))
-        rejected = rows.where(F.col("_reject_reason").isNotNull()).select("_source.*", "_reject_reason")
-        rejected_target = rejected_path or scratch_path(spark, "ingest-rejected")
-        rejected.write.mode("overwrite").parquet(rejected_target)
     finally:
         rows.unpersist()
     if truncate:

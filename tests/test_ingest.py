@@ -125,7 +125,7 @@ def test_load_append_truncate_and_audit(spark, tmp_dir):
     assert spark.read.parquet(table).count() == 2
     load_csv(spark, feed, table, truncate=True)       # replace
     assert spark.read.parquet(table).count() == 1
-    assert spark.read.parquet(os.path.join(tmp_dir, "rejected")).first()._reject_reason == "Units Sold: not an integer"
+    assert spark.read.parquet(os.path.join(tmp_dir, "rejected", "*")).first()._reject_reason == "Units Sold: not an integer"
     with pytest.raises(FileNotFoundError):
         load_csv(spark, os.path.join(tmp_dir, "absent.csv"), table)
 
@@ -139,3 +139,44 @@ def test_truncate_swaps_in_the_new_content(spark, tmp_dir):
     load_csv(spark, feed, table, truncate=True)       # written beside, then renamed into place
     assert spark.read.parquet(table).count() == 1
     assert [n for n in os.listdir(tmp_dir) if ".loading-" in n or ".replaced-" in n] == []
+
+
+def test_verdict_does_not_depend_on_what_is_read(spark, tmp_dir):
+    short = ",".join(VALID[:9])   # ends before Unit Price: missing numbers are 0
+    path = _write(tmp_dir, [HEADER, _row(), short, "3,EU,FR"])
+    res = ingest_csv(spark, path)
+    assert (res.accepted.count(), len(res.accepted.collect()), res.accepted.select("REGION").count()) == (2, 2, 2)
+    assert (res.rejected.count(), len(res.rejected.collect())) == (1, 1)
+    assert {r.OUTCOME: r.ROWS for r in res.audit().collect()}["loaded"] == 2
+    out = load_csv(spark, path, os.path.join(tmp_dir, "raw"))
+    assert (out["loaded"], out["skipped"]) == (2, 1)
+
+
+def test_files_of_a_folder_are_read_by_their_own_headers(spark, tmp_dir):
+    folder = os.path.join(tmp_dir, "feed")
+    os.makedirs(folder)
+    turned = [h for h in CSV_HEADERS if h != "Country"]
+    turned.insert(1, "Country")
+    values = {**dict(zip(CSV_HEADERS, VALID)), "Order ID": "2", "Region": "Asia", "Country": "Japan"}
+    _write(folder, [HEADER, _row()], "a.csv")
+    _write(folder, [",".join(turned), ",".join(values[h] for h in turned)], "b.csv", bom=True)
+    _write(folder, [HEADER, "x" + _row()], "c.csv")
+    res = ingest_csv(spark, folder)
+    assert sorted((r.ORDER_ID, r.REGION, r.COUNTRY) for r in res.accepted.collect()) == [
+        (2, "Asia", "Japan"), (100001, "Europe", "France")]
+    assert [r["Order ID"] for r in res.rejected.collect()] == ["x100001"]
+
+
+def test_quoted_line_ends(spark, tmp_dir):
+    path = _write(tmp_dir, [HEADER, _row(Country='"New\nCaledonia"'), _row(**{"Order ID": "7"})])
+    res = ingest_csv(spark, path, multi_line=True)
+    assert sorted((r.ORDER_ID, r.COUNTRY) for r in res.accepted.collect()) == [
+        (7, "France"), (100001, "New\nCaledonia")]
+    assert res.rejected.count() == 0
+
+
+def test_rejects_are_kept_per_load(spark, tmp_dir):
+    path, rejects = _write(tmp_dir, [HEADER, "x" + _row()]), os.path.join(tmp_dir, "rejects")
+    for _ in range(2):
+        load_csv(spark, path, os.path.join(tmp_dir, "raw"), rejected_path=rejects)
+    assert spark.read.parquet(*[os.path.join(rejects, f) for f in os.listdir(rejects)]).count() == 2
