@@ -13,7 +13,7 @@ def _col(c: Column | str) -> Column:
 
 
 def total(c: Column | str) -> Column:
-    """``SUM`` of a money column as ``decimal(18,2)``."""
+    """``SUM`` of a money column, in the widest decimal."""
     return F.sum(_col(c)).cast(TOTAL)
 
 
@@ -28,8 +28,15 @@ def nullif_zero(c: Column) -> Column:
 
 
 def pct(numerator: Column, denominator: Column) -> Column:
-    """``ROUND(n / NULLIF(d, 0) * 100, 2)`` on decimals, half away from zero."""
-    return F.round(numerator / nullif_zero(denominator) * 100, 2).cast("decimal(18,2)")
+    """``ROUND(n / NULLIF(d, 0) * 100, 2)`` of amounts, half away from zero.
+
+    In whole cents and by integer division: a quotient of wide decimals would lose digits.
+    """
+    n, d = ((F.abs(x) * 100).cast("decimal(38,0)") for x in (numerator, denominator))
+    hundredths = F.call_function("div", n * 20000 + d, nullif_zero(d * 2))
+    negative = (numerator < 0) != (denominator < 0)
+    signed = F.when(negative, -hundredths).otherwise(hundredths)
+    return (signed.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(18,2)")
 
 
 def divide(numerator: Column, denominator: Column, alternate: Column | float | None = 0.0) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D
 from ..operators.joins import checked_broadcast
-from ..schemas import AMOUNT
+from ..schemas import FACT_AMOUNT
 
 # Partition column of the stored fact: the month (yyyymm) of the order date.
 PART_COL = "ORDER_MONTH_KEY"
@@ -59,9 +59,9 @@ def build_fact(stg: DataFrame, dim_product: DataFrame, dim_geography: DataFrame,
         units.alias("UNITS_SOLD"),
         price.alias("UNIT_PRICE"),
         cost.alias("UNIT_COST"),
-        F.round(units * price, 2).cast(AMOUNT).alias("TOTAL_REVENUE"),
-        F.round(units * cost, 2).cast(AMOUNT).alias("TOTAL_COST"),
-        F.round(units * price - units * cost, 2).cast(AMOUNT).alias("TOTAL_PROFIT"),
+        F.round(units * price, 2).cast(FACT_AMOUNT).alias("TOTAL_REVENUE"),
+        F.round(units * cost, 2).cast(FACT_AMOUNT).alias("TOTAL_COST"),
+        F.round(units * price - units * cost, 2).cast(FACT_AMOUNT).alias("TOTAL_PROFIT"),
         "PRODUCT_ID", "GEOGRAPHY_ID", "CHANNEL_ID", "PRIORITY_ID",
         "ORDER_DATE_KEY", "SHIP_DATE_KEY",
         F.datediff("ship_date", "order_date").cast("int").alias("SHIPPING_DAYS"),

@@ -12,6 +12,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import oracle as O
 from ..plans.model import Model
@@ -38,9 +39,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def narrowed(df: DataFrame) -> DataFrame:
+    """Amounts wider than the oracle's as decimal(18,2): only the registered results, for the comparison."""
+    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DecimalType) and f.dataType.precision > 18]
+    return df.withColumns({c: F.col(c).cast("decimal(18,2)") for c in wide}) if wide else df
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, sf: narrowed(fn(spark, sf))
         if sql is not None:
             ORACLE[name] = sql
         return fn

@@ -23,7 +23,9 @@ RAW_MAX_LENGTH = {"REGION": 100, "COUNTRY": 100, "ITEM_TYPE": 100,
 
 PRICE = T.DecimalType(12, 2)
 AMOUNT = T.DecimalType(14, 2)
-TOTAL = T.DecimalType(18, 2)
+# Units times price, without loss: a line amount is bounded by its factors only, a sum by Spark's widest decimal.
+FACT_AMOUNT = T.DecimalType(24, 2)
+TOTAL = T.DecimalType(38, 2)
 
 CSV_SCHEMA = T.StructType([T.StructField(h, T.StringType(), True) for h in CSV_HEADERS])
 

@@ -194,3 +194,47 @@ def test_checked_broadcast_falls_back_past_the_bound(spark):
     assert hinted is not dim and "broadcast" in str(hinted._jdf.queryExecution().logical()).lower()
     fact = spark.range(100).select((F.col("id") % 12).alias("k"))
     assert fact.join(checked_broadcast(dim, max_rows=5), "k").count() == fact.join(dim, "k").count() == 84
+
+
+def test_ties_round_away_from_zero(spark):
+    df = spark.createDataFrame([(0.1225, 1_250_000.0), (-0.1225, -1_250_000.0), (0.12249, 1_249_999.0), (None, None)],
+                               "p double, m double")
+    got = df.select(format_percent(F.col("p")).alias("p"), format_millions(F.col("m")).alias("m")).collect()
+    assert [r.p for r in got] == ["12.3%", "-12.3%", "12.2%", None]
+    assert [r.m for r in got] == ["1.3M", "-1.3M", "1.2M", None]
+
+
+def test_amounts_beyond_declared_widths(spark):
+    """A line of 2 * 10 ** 9 units reaches fact and mart, with exact percentages."""
+    raw = _raw(spark, [{"UNITS_SOLD": 2_000_000_000, "UNIT_PRICE": Decimal("9999.00"), "UNIT_COST": Decimal("3333.00")},
+                       {"ORDER_ID": 2, "UNITS_SOLD": 2_000_000_000, "UNIT_PRICE": Decimal("9999.00"),
+                        "UNIT_COST": Decimal("3333.00")}])
+    m = Model(spark, raw=raw)
+    assert {r.TOTAL_REVENUE for r in m.fact().collect()} == {Decimal("19998000000000.00")}
+    row = m.perf().first()
+    assert row.TOTAL_REVENUE == Decimal("39996000000000.00") and row.GROSS_MARGIN_PCT == Decimal("66.67")
+
+
+def test_percentages_are_exact(spark):
+    rows = [(Decimal(a), Decimal(b)) for a, b in (
+        ("1.00", "3.00"), ("-1.00", "3.00"), ("1.00", "-3.00"), ("0.01", "1.00"), ("1.00", "0.00"),
+        ("1.00", "80000.00"), ("-1.00", "80000.00"))]
+    df = spark.createDataFrame(rows, "n decimal(38,2), d decimal(38,2)")
+    got = [r.v for r in df.select(pct(F.col("n"), F.col("d")).alias("v")).limit(5).collect()]
+    assert got[:3] == [Decimal("33.33"), Decimal("-33.33"), Decimal("-33.33")] and got[4] is None
+    last = [r.v for r in df.where("d = 80000").select(pct(F.col("n"), F.col("d")).alias("v")).collect()]
+    assert last == [Decimal("0.00"), Decimal("0.00")]
+
+
+def test_time_measures_ignore_labels(spark):
+    rows = [(y, m, (m + 2) // 3, f"{y}-Q{(m + 2) // 3}", f"{y}-{m:02}", Decimal(100 * (y - 2000) + m))
+            for y in (2001, 2002) for m in range(1, 13)]
+    perf = spark.createDataFrame(rows, "YEAR int, MONTH int, QUARTER int, YEAR_QUARTER string, YEAR_MONTH string, "
+                                       "TOTAL_REVENUE decimal(18,2)")
+    for depth in (1, 2, 3, 4):
+        by = MS.TIME_PATH[:depth]
+        ytd = {(r.YEAR, r.MONTH): r.YTD_REVENUE for r in MS.ytd_revenue(perf, by).collect()}
+        qtd = {(r.YEAR, r.MONTH): r.QTD_REVENUE for r in MS.qtd_revenue(perf, by).collect()}
+        assert ytd[2001, 4] == 400 + 10 and qtd[2001, 4] == 104 and qtd[2001, 6] == 315
+        grown = MS.yoy_revenue_growth(perf, by).where("YEAR = 2002").collect()
+        assert all(r.YOY_REVENUE_GROWTH is not None for r in grown) and len(grown) == {1: 1, 2: 4, 3: 12, 4: 12}[depth]
