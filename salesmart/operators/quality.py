@@ -224,6 +224,18 @@ def integrity_failures(fact: DataFrame) -> DataFrame:
                                                  "TOTAL_REVENUE", "TOTAL_COST", "TOTAL_PROFIT")
 
 
+def failing_rows(test: DataTest, tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows a declared test counts: NULLs, values that occur more than once (with their number),
+    or rows whose key has no parent."""
+    df, c = tables[test.model], F.col(test.column)
+    if test.kind == "not_null":
+        return df.where(c.isNull())
+    if test.kind == "unique":
+        return df.where(c.isNotNull()).groupBy(test.column).count().where(F.col("count") > 1)
+    return anti_join(df, checked_broadcast(tables[test.parent].select(test.parent_column)),
+                     test.column, test.parent_column)
+
+
 def store_failures(failing: DataFrame, path: str) -> int:
     """Write failing rows for audit (``--store-failures``); returns the row count written.
 

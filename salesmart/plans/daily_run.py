@@ -192,6 +192,11 @@ def run_daily(spark: SparkSession, raw: DataFrame, warehouse: str,
     clock.start("data_tests")
     layers = {"raw_sales": raw, "stg_sales": stg, "fact_sales": fact, "sales_performance": perf, **dims}
     results = Q.run_data_tests(layers).collect()  # one row per declared test
+    # The failing rows of every failed test are kept; a passed test costs nothing here.
+    declared = {t.name: t for t in Q.DECLARED_TESTS}
+    for r in results:
+        if not r["PASSED"]:
+            Q.store_failures(Q.failing_rows(declared[r["TEST_NAME"]], layers), f"{warehouse}/dq/{r['TEST_NAME']}")
     integrity = Q.integrity_failures(fact)
     n_integrity = Q.store_failures(integrity, f"{warehouse}/dq/test_fact_sales_costs")
     report.tests = [r.asDict() for r in results] + [

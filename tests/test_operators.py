@@ -238,3 +238,16 @@ def test_time_measures_ignore_labels(spark):
         assert ytd[2001, 4] == 400 + 10 and qtd[2001, 4] == 104 and qtd[2001, 6] == 315
         grown = MS.yoy_revenue_growth(perf, by).where("YEAR = 2002").collect()
         assert all(r.YOY_REVENUE_GROWTH is not None for r in grown) and len(grown) == {1: 1, 2: 4, 3: 12, 4: 12}[depth]
+
+
+def test_failing_rows_are_what_the_tests_count(spark):
+    raw = _raw(spark, [{}, {"ORDER_ID": 2}, {"ORDER_ID": 3}])
+    m = Model(spark, raw=raw)
+    layers = {"raw_sales": raw, "stg_sales": m.stg().unionByName(m.stg().limit(1)), "sales_performance": m.perf(), **m.dims(),
+              "fact_sales": m.fact().withColumn("UNIT_COST", F.when(F.col("ORDER_ID") > 1, F.col("UNIT_COST")))
+              .withColumn("PRODUCT_ID", F.when(F.col("ORDER_ID") == 3, 99).otherwise(F.col("PRODUCT_ID")))}
+    counted = {r.TEST_NAME: r.FAILURES for r in Q.run_data_tests(layers).collect()}
+    failed = {t.name: Q.failing_rows(t, layers).count() for t in Q.DECLARED_TESTS if counted[t.name]}
+    assert failed == {"unique_stg_sales_order_id": 1, "not_null_fact_sales_UNIT_COST": 1,
+                      "relationships_fact_sales_PRODUCT_ID__dim_product_PRODUCT_ID": 1}
+    assert all(counted[name] == n for name, n in failed.items())
