@@ -21,6 +21,9 @@ from salesmart.llm import (
     token_counts,
 )
 from salesmart.llm.common import crc_mod, table
+from salesmart.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = "word_bpe_49k.json"
@@ -85,4 +88,3 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
 }
-ORACLE: dict[str, str] = {}
