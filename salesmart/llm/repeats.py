@@ -25,6 +25,7 @@ through the driver but the total size that fixes the number of blocks.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Protocol
@@ -142,13 +143,24 @@ def _by_bin(bins: np.ndarray) -> Iterator[tuple[int, int, int]]:
         yield int(bins[lo]), int(lo), int(hi)
 
 
+def _six_bytes(seeds: np.ndarray) -> bytes:
+    """The low 48 bits of seeds. Two that differ above them may pass for repeated, which only sends more segments."""
+    return np.ascontiguousarray(seeds.astype("<u8").view("u1").reshape(-1, 8)[:, :6]).tobytes()
+
+
+def _from_six_bytes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), "u1")
+    out[:, :6] = np.frombuffer(data, "u1").reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _binary(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
     return [np.frombuffer(x, kind) for x in column.to_pylist()]
 
 
 def _answer_seeds(rows: pa.Table) -> pa.Table:
     """Which of the seeds sent to a bin occur in several documents, a bit each in the order sent."""
-    seeds, several = _binary(rows.column("seeds"), "<u8"), _binary(rows.column("several"), "u1")
+    seeds, several = [_from_six_bytes(x) for x in rows.column("seeds").to_pylist()], _binary(rows.column("several"), "u1")
     values, place, n = np.unique(np.concatenate(seeds), return_inverse=True, return_counts=True)
     repeated = n > 1
     marks = [np.unpackbits(s)[: len(x)].astype(bool) for x, s in zip(seeds, several, strict=True)]
@@ -166,7 +178,7 @@ def _answer_segments(rows: pa.Table, matcher: Matcher) -> pa.Table:
             rows.column("texts").to_pylist(), _binary(rows.column("sizes"), "<u4"), _binary(rows.column("seg"), "<u4"),
             _binary(rows.column("doc"), "<i8"), _binary(rows.column("at"), "<u4"), _binary(rows.column("text"), "<u4"),
             strict=True):
-        ends = np.cumsum(sizes, dtype=np.int64)
+        ends, texts = np.cumsum(sizes, dtype=np.int64), zlib.decompress(texts)
         own = np.array([number.setdefault(texts[lo:hi], len(number)) for lo, hi in zip(ends - sizes, ends)], np.int64)
         sent.append((own[seg], doc, at, text))
     docs = np.full(len(number), np.iinfo(np.int64).max)
@@ -213,7 +225,7 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
         return pa.table({
             "bin": pa.array([b for b, _, _ in parts], pa.int32()),
             "block": pa.array([rows.column("block")[0].as_py()] * len(parts), pa.int32()),
-            "seeds": pa.array([seeds[lo:hi].astype("<u8").tobytes() for _, lo, hi in parts], pa.binary()),
+            "seeds": pa.array([_six_bytes(seeds[lo:hi]) for _, lo, hi in parts], pa.binary()),
             "several": pa.array([np.packbits(several[lo:hi]).tobytes() for _, lo, hi in parts], pa.binary())})
 
     def send_segments(rows: pa.Table, answers: pa.Table) -> pa.Table:
@@ -240,7 +252,7 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
                 values = (b, rows.column("block")[0].as_py(), block.ids[text].astype("<i8").tobytes(),
                           (a[lo:hi] - firsts[text]).astype("<u4").tobytes(), text.astype("<u4").tobytes(),
                           np.array(seg, "<u4").tobytes(), np.fromiter(map(len, number), "<u4", len(number)).tobytes(),
-                          b"".join(number))
+                          zlib.compress(b"".join(number), 1))
                 for n, value in zip(names, values, strict=True):
                     out[n].append(value)
         kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
