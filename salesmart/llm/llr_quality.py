@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.session import materialize
+
 BUCKETS = 1 << 16
 TRUSTED = 20_000
 LEAST_WORDS = 20
@@ -53,7 +55,9 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> Column:
     cells = with_words(marked, "text").select(
         F.explode_outer(F.concat("h1", "h2")).alias("h"), "trusted").select(
         _cell(F.col("h"), buckets).alias("cell"), "trusted")
-    counts = cells.groupBy("cell").agg(F.count("cell").alias("raw"), F.count("trusted").alias("target"))
+    # At most ``buckets`` rows, written once: the totals and the ratios both read them.
+    counts = materialize(cells.groupBy("cell").agg(
+        F.count("cell").alias("raw"), F.count("trusted").alias("target")), "quality-cells")
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("cell")).join(
         counts, "cell", "left").na.fill(0)
     totals = every.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
