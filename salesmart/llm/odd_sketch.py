@@ -6,14 +6,16 @@ samples; the samples are folded into a parity bitmap, the odd sketch, in which a
 toggles one bit. Samples two classes share cancel in the XOR of their bitmaps, whose
 population count d estimates the similarity as 1 + n / (4 k) * ln(1 - 2 d / n).
 
-Links are found in two rounds, since only the components of the link graph are asked for:
+Links are found in rounds, since only the components of the link graph are asked for:
 
 1. each bucket of a band names one of its members as centre, by a hash of the class; each class
    is checked against the centre that it shares most buckets with;
 2. where a bucket still holds classes of different components, its pairs across components are
    looked at, sketch against sketch, within blocks of a bucket of bounded size. These classes
    get sketches of ``SHARP`` samples, so that little but true links is left to check; a pair
-   that meets in several bands is looked at in the first.
+   that meets in several bands is looked at in the first. Of all pairs that the estimate does
+   not rule out, a spanning forest of the most similar is checked first, which joins what is
+   alike with few checks; then every pair that is still between two components.
 
 Every check counts the intersection of the full sets. Pairs within a component need none.
 """
@@ -190,12 +192,32 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         0] else spark.createDataFrame([], rooted.schema)
 
 
-def across(members: DataFrame, most: int) -> DataFrame:
+def spanning(d: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the edges (x, y) between components make up a forest, the least d first."""
+    order = np.lexsort((np.maximum(x, y), np.minimum(x, y), d))
+    _, first = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)])[:, order], axis=1, return_index=True)
+    root: dict[int, int] = {}
+
+    def find(a: int) -> int:
+        while root.get(a, a) != a:
+            root[a] = a = root.get(root[a], root[a])
+        return a
+
+    kept = []
+    for at in order[np.sort(first)].tolist():
+        a, b = find(int(x[at])), find(int(y[at]))
+        if a != b:
+            root[a] = b
+            kept.append(at)
+    return np.array(kept, np.int64)
+
+
+def across(members: DataFrame, most: int, forest: bool) -> DataFrame:
     """Pairs (a, b) of one bucket, of different components, whose sketches differ in at most ``most`` bits.
 
     Members are (h, m: size of the bucket, class, root, bands, sharp). A bucket is cut into
     blocks of about ``BLOCK`` members, and every two blocks meet in one group, so no group
-    grows with the bucket.
+    grows with the bucket. With ``forest`` a group only gives a spanning forest of its pairs.
     """
     n = F.ceil(F.col("m") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("class"), n).cast("int")
@@ -210,16 +232,20 @@ def across(members: DataFrame, most: int) -> DataFrame:
         sketch = pc.list_flatten(rows.column("sharp")).to_numpy().reshape(len(names), -1).view(np.uint64)
         bands = pc.list_flatten(rows.column("bands")).to_numpy().reshape(len(names), -1)
         here = (bands[0] == rows.column("h")[0].as_py()).argmax()
-        left, right = [], []
+        found = [np.zeros((3, 0), np.int64)]
         for at in range(len(names)):
             # within a block, or from the first block to the second
             rest = np.arange(at + 1, len(names))
             rest = rest[(roots[rest] != roots[at]) & ((i[at] == j[at]) | (own[rest] != own[at]))]
             rest = rest[(bands[rest] == bands[at]).argmax(1) == here]
-            near = rest[np.bitwise_count(sketch[rest] ^ sketch[at]).sum(1, dtype=np.int64) <= most]
-            left += [names[at]] * len(near)
-            right += [names[x] for x in near]
-        return left, right
+            d = np.bitwise_count(sketch[rest] ^ sketch[at]).sum(1, dtype=np.int64)
+            near = d <= most
+            found.append(np.stack([d[near], np.full(int(near.sum()), at), rest[near]]))
+        d, x, y = np.concatenate(found, axis=1)
+        if forest and len(d):
+            kept = spanning(d, roots[x], roots[y])
+            x, y = x[kept], y[kept]
+        return [names[a] for a in x], [names[b] for b in y]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -276,15 +302,18 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
         nearest = nearest.join(classes.select(F.col("class").alias(side), F.col("sketch").alias(f"sketch_{side}")), side)
     nearest = nearest.where(different("sketch_a", "sketch_b") <= most_different(percent / 100, SAMPLES)).select("a", "b")
     links = confirmed(nearest, rows, source, percent, "near-links-1")
-    labels = components(links, "near-components-1")
-    known = buckets.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-        "h", "m", "class", F.coalesce("root", "class").alias("root"))
-    mixed = known.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    open_ = materialize(known.join(mixed, "h"), "near-open")
-    sharp = of_classes(texts_of(open_.select("class").distinct(), rows, source, "near-open-rows"), "sharp")
-    members = open_.join(sharp, "class").join(classes.select("class", "bands"), "class")
-    links = links.unionByName(confirmed(
-        across(members, most_different(percent / 100, SHARP)), rows, source, percent, "near-links-2"))
+    most, sharp = most_different(percent / 100, SHARP), None
+    for turn, forest in ((2, True), (3, False)):
+        labels = components(links, f"near-components-{turn}")
+        known = buckets.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
+            "h", "m", "class", F.coalesce("root", "class").alias("root"))
+        mixed = known.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
+        open_ = materialize(known.join(mixed, "h"), "near-open")
+        if sharp is None:  # later there are only fewer of them
+            sharp = materialize(of_classes(texts_of(
+                open_.select("class").distinct(), rows, source, "near-open-rows"), "sharp"), "near-sharp")
+        members = open_.join(sharp, "class").join(classes.select("class", "bands"), "class")
+        links = links.unionByName(confirmed(across(members, most, forest), rows, source, percent, f"near-links-{turn}"))
     labels = components(links, "near-components")
     firsts = labels.join(classes.select(F.col("class").alias("node"), "first"), "node")
     least = firsts.groupBy("root").agg(F.min("first").alias("component_id"))

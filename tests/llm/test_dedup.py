@@ -170,3 +170,10 @@ def test_components(spark):
     got = {r.node: r.root for r in odd_sketch.components(pairs, "test-components").collect()}
     assert got == {f"n{i:03}": f"n{i // 20 * 20:03}" for i in range(60)}
     assert odd_sketch.components(pairs.limit(0), "test-none").count() == 0
+
+
+def test_spanning_forest_takes_the_most_similar():
+    d = np.array([5, 1, 3, 2, 9, 1])
+    x, y = np.array([0, 1, 0, 3, 2, 1]), np.array([1, 2, 2, 4, 3, 2])
+    kept = odd_sketch.spanning(d, x, y)
+    assert sorted(zip(d[kept], x[kept], y[kept])) == [(1, 1, 2), (2, 3, 4), (3, 0, 2), (9, 2, 3)]
