@@ -62,7 +62,7 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int) -> Column:
         counts, "cell", "left").na.fill(0)
     totals = every.agg(F.sum("raw").alias("raws"), F.sum("target").alias("targets"))
     raws, targets = totals.select("raws").scalar(), totals.select("targets").scalar()
-    ratio = F.log((F.col("target") + 1) * (raws + buckets) / ((F.col("raw") + 1) * (targets + buckets)))
+    ratio = F.when(targets == 0, F.lit(0.0)).otherwise(F.log((F.col("target") + 1) * (raws + buckets) / ((F.col("raw") + 1) * (targets + buckets))))
     # ``buckets`` numbers, whatever the size of the corpus, put into the plan as one constant.
     found = every.select("cell", F.round(ratio * UNIT).cast("int").alias("lr")).orderBy("cell").collect()
     return F.split(F.lit(",".join(str(x["lr"]) for x in found)), ",").cast("array<int>")
@@ -94,7 +94,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, buckets:
     counts cover every document. ``llr`` is the mean log ratio (natural) per feature; a
     document is kept if it passes the base rules and llr >= threshold. A null or blank text
     has no words and fails the base rules with llr 0. Null ids are never trusted; repeated
-    rows are counted and judged each; without labels all ratios are about 0; other columns,
+    rows are counted and judged each; without trusted documents all ratios are 0; other columns,
     whatever their names, are not looked at.
     """
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -121,7 +121,10 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = -0.1, buckets:
         F.aggregate("words", zero, lambda total, w: total + F.length(w)).alias("word_chars"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
-        covered.alias("n_repeat_words"), F.aggregate("h2", F.aggregate("h1", zero, add), add).alias("sum"))
+        covered.alias("n_repeat_words"), F.aggregate("h2", F.aggregate("h1", zero, add), add).alias("sum"),
+        F.monotonically_increasing_id().alias("row"))
+    # The row number keeps a caller's filter above the counts; below, they would be hashed anew for each word.
+    rows = rows.where(F.col("row") >= 0)
     base = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     limit = round(threshold * UNIT)
     return rows.select(

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -176,7 +177,8 @@ def predict(docs: DataFrame, model: Model, most_bytes: int = 192 << 20, id_col:
     the rows keep all their columns, as the struct ``row``, in place of doc_id.
     """
     kept = F.struct(*(docs[c] for c in docs.columns)).alias("row") if carry else F.col(id_col).alias("doc_id")
-    source = docs.select(kept, F.col(text_col).alias("text"))
+    # The text goes to the workers once: within the row where that is carried.
+    source = docs.select(kept) if carry else docs.select(kept, F.col(text_col).alias("text"))
     first = source.schema[0]
     schema = f"{first.name} {first.dataType.simpleString()}, lang_pred string, score double, bits double"
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -189,8 +191,9 @@ def predict(docs: DataFrame, model: Model, most_bytes: int = 192 << 20, id_col:
         trees = _TABLES.get(known.name)
         names = np.array([*known.langs, UNKNOWN], object)
         for batch in batches:
-            for lo, hi in byte_slices(batch.column("text"), SLICE_BYTES):
-                part = batch.column("text").slice(lo, hi - lo)
+            texts = pc.struct_field(batch.column(0), text_col) if carry else batch.column("text")
+            for lo, hi in byte_slices(texts, SLICE_BYTES):
+                part = texts.slice(lo, hi - lo)
                 strings, data = part.to_pylist(), utf8(part)
                 lettered = np.array([bool(known.langs) and any(map(str.isalpha, t or "")) for t in strings], bool)
                 bits = trees.bits(data) if trees else np.zeros((len(data), 1))
