@@ -13,9 +13,9 @@ one task:
 The importance of a node mixes both, presentation weighing more the more children a node
 has. The published form weighs recursively over the children; here content is summed over
 the whole branch, which needs no recursion. Elements whose names or classes say what they
-are (navigation, forms, adverts, comments) are noise whatever the counts say, and ``article``
-and ``main`` are content whatever they say: their texts may well be copies of one another.
-Between these, a branch whose importance stays below the threshold is removed from its page.
+are (navigation, forms, adverts, comments) are noise whatever the counts say. Any other branch
+whose importance stays below the threshold is removed from its page, inside ``article`` and
+``main`` below a stricter one and on more pages: their texts may well be copies of one another.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ class Node:
 
     tag: str
     path: int
-    kind: str  # noise, main or open
+    kind: str  # noise, main, article or open
     parent: "Node | None"
     depth: int
     items: list = field(default_factory=list)
@@ -87,12 +87,13 @@ def _judge(tag: str, marks: str, path: int, above: str) -> tuple[int, str]:
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(marks)}
     classes, role = found.get("class", "").split(), found.get("role", "")
     words = {w for m in (*classes, *found.get("id", "").split()) for w in re.split(r"[-_\d]+", m)}
-    if above == "main":  # the header of an article is part of it
+    within = above in ("main", "article")
+    if within:  # the header of an article is part of it
         words.discard("header")
     noise = bool(words & NOISE_WORDS) or role in NOISE_ROLES or (
-        tag in NOISE_TAGS and not (tag == "header" and above == "main"))
-    main = tag in MAIN_TAGS or role in ("main", "article")
-    kind = "noise" if noise or above == "noise" else "main" if main or above == "main" else "open"
+        tag in NOISE_TAGS and not (tag == "header" and within))
+    own = role if role in MAIN_TAGS else tag if tag in MAIN_TAGS else above
+    kind = "noise" if noise or above == "noise" else "main" if above == "main" else own
     return _hash(f"{path}/{tag}{''.join('.' + c for c in sorted(classes))}@{role}"), kind
 
 
@@ -202,7 +203,7 @@ def host_of(url: Column) -> Column:
 
 
 def low_branches(pages: DataFrame, threshold: float, least_pages: int) -> DataFrame:
-    """The nodes whose importance over their host's pages is below ``threshold``: (host, node, importance)."""
+    """The nodes whose importance over their host's pages is below ``threshold``: (host, node, importance, m pages)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,34 +233,38 @@ def low_branches(pages: DataFrame, threshold: float, least_pages: int) -> DataFr
     weight = F.pow(F.lit(GAMMA), F.col("children") / m)
     return per.where(m >= max(least_pages, 2)).withColumn(
         "importance", (1 - weight) * presentation + weight * content).where(
-        F.col("importance") < threshold).select("host", "node", "importance")
+        F.col("importance") < threshold).select("host", "node", "importance", "m")
 
 
 def extract(pages: DataFrame, threshold: float = 0.2, least_pages: int = 5, broadcast_bytes: int = 8 << 20,
+            inside_threshold: float = 0.1, inside_pages: int = 10,
             id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text (blocks joined by a blank line), n_chars.
 
     A branch is removed where its host's tree has it below ``threshold`` over at least
-    ``least_pages`` pages; with fewer there is nothing to compare and only names decide. If
-    the page has an article or main element, only what stands in one is its text. A null or
+    ``least_pages`` pages; with fewer there is nothing to compare and only names decide. Inside
+    article and main elements ``inside_threshold`` and ``inside_pages`` take their place.
+    ``main_text`` says which of the remaining texts are the page's. A null or
     empty page has the empty text; a null address is a host of its own; a repeated page
     counts as often as it occurs; other columns are ignored.
     """
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
                           F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     low = materialize(low_branches(source.select("host", "html"), threshold, least_pages), "style-tree")
-    noise = low.groupBy("host").agg(F.collect_list("node").alias("noise"))
+    firm = (F.col("importance") < inside_threshold) & (F.col("m") >= inside_pages)
+    noise = low.groupBy("host").agg(F.collect_list("node").alias("noise"),
+                                    F.collect_list(F.when(firm, F.col("node"))).alias("firm"))
     # One row per low node: known after the write, and sent to all tasks only while it is small.
     if low.count() * 64 <= broadcast_bytes:
         noise = F.broadcast(noise)
-    joined = source.join(noise, "host", "left").select("page_id", "url", "html", "noise")
+    joined = source.join(noise, "host", "left").select("page_id", "url", "html", "noise", "firm")
     kind = source.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for page, low_nodes in zip(batch.column("html").to_pylist(), batch.column("noise").to_pylist(), strict=True):
-                texts.append(main_text(page or "", frozenset(low_nodes or ())))
+            for page, low_nodes, firm_nodes in zip(*(batch.column(c).to_pylist() for c in ("html", "noise", "firm")), strict=True):
+                texts.append(main_text(page or "", frozenset(low_nodes or ()), frozenset(firm_nodes or ())))
             yield pa.RecordBatch.from_arrays([
                 batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
                 pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
@@ -267,16 +272,27 @@ def extract(pages: DataFrame, threshold: float = 0.2, least_pages: int = 5, broa
     return joined.mapInArrow(run, f"page_id {kind}, url string, text string, n_chars long")
 
 
-def main_text(page: str, low: frozenset[int] = frozenset()) -> str:
-    """A page's text without noise elements and without branches in ``low``.
+def main_text(page: str, low: frozenset[int] = frozenset(), firm: frozenset[int] = frozenset()) -> str:
+    """A page's text without noise elements and without branches in ``low``, inside article and main in ``firm``.
 
-    Where nothing would be left, the branches in ``low`` stay: a page that is a copy
-    throughout still has a text.
+    What stands in main elements is the text, else what stands in articles. Articles shorter
+    than the text around them are teasers: both are taken. Where nothing of the main elements,
+    articles or page would be left, the branches stay: a page that is a copy throughout still
+    has a text.
     """
+
+    def keep(node: Node) -> bool:
+        return node.kind != "noise" and (
+            node.tag in INLINE_TAGS or node.path not in (low if node.kind == "open" else firm))
+
     root = parse(page)
     blocks = text_blocks(root, lambda node: node.kind != "noise")
-    inside = [text for block, text in blocks if block.kind == "main"]
-    if inside or not low:
-        return "\n\n".join(inside or [text for _, text in blocks])
-    kept = text_blocks(root, lambda node: node.kind != "noise" and (node.tag in INLINE_TAGS or node.path not in low))
+    kept = text_blocks(root, keep) if low or firm else blocks
+    of = lambda kind, found: [text for block, text in found if block.kind == kind]
+    if main := of("main", kept) or of("main", blocks):
+        return "\n\n".join(main)
+    article, around = of("article", kept), of("open", kept)
+    whole = article or of("article", blocks)
+    if sum(map(len, whole)) >= sum(map(len, around)) and whole:
+        return "\n\n".join(whole)
     return "\n\n".join(text for _, text in kept or blocks)

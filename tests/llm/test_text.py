@@ -111,3 +111,22 @@ def test_style_tree_removes_what_a_site_repeats(spark):
     assert texts[20] == f"Welcome to us\n\nAll you need\n\n{passage(20, 30)}"  # a single page has nothing to compare
     assert texts[21] == texts[22] == "" and all(r.n_chars == len(r.text) for r in got)
     assert style_tree.extract(pages.limit(0)).count() == 0
+
+
+def test_style_tree_decides_inside_articles(spark):
+    box = "<div class=who><p>All of us write here every day</p></div>"
+    page = lambda i: f"<body><article><h1>{passage(i, 5)}</h1><p>{passage(i, 30)}</p>{box}</article></body>"
+    rows = [(i, f"http://a.org/{i}", page(i)) for i in range(1, 13)]
+    rows += [(20 + i, f"http://b.org/{i}", page(i)) for i in range(1, 6)]  # too few pages to judge articles by
+    rows += [(40 + i, f"http://c.org/{i}", page(1)) for i in range(1, 13)]  # copies throughout
+    texts = {r.page_id: r.text for r in style_tree.extract(spark.createDataFrame(
+        rows, "page_id long, url string, html string")).collect()}
+    assert all(texts[i] == f"{passage(i, 5)}\n\n{passage(i, 30)}" for i in range(1, 13))
+    whole = lambda i: f"{passage(i, 5)}\n\n{passage(i, 30)}\n\nAll of us write here every day"
+    assert all(texts[20 + i] == whole(i) for i in range(1, 6)) and all(texts[40 + i] == whole(1) for i in range(1, 13))
+
+
+def test_text_around_a_teaser_stays():
+    teaser, body = "<article><p>Read on</p></article>", f"<div class=body><p>{passage(2, 40)}</p></div>"
+    assert style_tree.main_text(body + teaser) == f"{passage(2, 40)}\n\nRead on"
+    assert style_tree.main_text(f"<main>{teaser}</main>{body}") == "Read on"
