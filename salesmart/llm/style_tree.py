@@ -13,7 +13,9 @@ one task:
 The importance of a node mixes both, presentation weighing more the more children a node
 has. The published form weighs recursively over the children; here content is summed over
 the whole branch, which needs no recursion. Elements whose names or classes say what they
-are (navigation, forms, adverts, comments) are noise whatever the counts say. Any other branch
+are (navigation, forms, adverts, comments) are noise whatever the counts say; names on the
+page's body or on what holds all its articles never are, and names that only hold such a word
+among others are left to the counts. Any other branch
 whose importance stays below the threshold is removed from its page, inside ``article`` and
 ``main`` below a stricter one and on more pages: their texts may well be copies of one another.
 """
@@ -46,6 +48,8 @@ NOISE_WORDS = frozenset(
     "navbar navigation menu breadcrumb breadcrumbs sidebar aside header footer comment comments reply replies "
     "respond form search login signup subscribe newsletter popup modal share sharing social related widget "
     "toolbar pagination pager copyright".split())
+# Before a noise word these say how an element looks or what it has, not what it is: has-sidebar, fixed-header.
+STATE_WORDS = frozenset("has have with without no not non is fixed sticky show hide hidden open".split())
 NOISE_ROLES = frozenset(
     "navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog".split())
 INLINE_TAGS = frozenset(
@@ -70,10 +74,11 @@ class Node:
 
     tag: str
     path: int
-    kind: str  # noise, main, article or open
+    says: tuple[bool, bool, bool, str]  # noise by tag, by attributes, named header; and main, article or nothing
     parent: "Node | None"
     depth: int
     items: list = field(default_factory=list)
+    kind: str = "open"  # noise, main, article or open
 
 
 def _hash(text: str) -> int:
@@ -81,25 +86,58 @@ def _hash(text: str) -> int:
     return int.from_bytes(digest, "little", signed=True)
 
 
+def _names_noise(name: str) -> bool:
+    """Whether a class or id says noise, as a whole or by its last part; a header needs more than the word."""
+    parts = [w for w in re.split(r"[-_\d]+", name) if w]
+    return bool(parts) and parts[-1] in NOISE_WORDS and parts[-1] != "header" and STATE_WORDS.isdisjoint(parts)
+
+
 @functools.lru_cache(maxsize=100_000)
-def _judge(tag: str, marks: str, path: int, above: str) -> tuple[int, str]:
-    """Path and kind of an element below one of kind ``above``; ``marks`` are its attributes, if any matter."""
+def _judge(tag: str, marks: str, path: int) -> tuple[int, tuple[bool, bool, bool, str]]:
+    """Path of an element below ``path`` and what it says of itself; ``marks`` are its attributes, if any matter."""
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(marks)}
     classes, role = found.get("class", "").split(), found.get("role", "")
-    words = {w for m in (*classes, *found.get("id", "").split()) for w in re.split(r"[-_\d]+", m)}
-    within = above in ("main", "article")
-    if within:  # the header of an article is part of it
-        words.discard("header")
-    noise = bool(words & NOISE_WORDS) or role in NOISE_ROLES or (
-        tag in NOISE_TAGS and not (tag == "header" and within))
-    own = role if role in MAIN_TAGS else tag if tag in MAIN_TAGS else above
-    kind = "noise" if noise or above == "noise" else "main" if above == "main" else own
-    return _hash(f"{path}/{tag}{''.join('.' + c for c in sorted(classes))}@{role}"), kind
+    names = (*classes, *found.get("id", "").split())
+    noise = role in NOISE_ROLES or any(map(_names_noise, names))
+    own = role if role in MAIN_TAGS else tag if tag in MAIN_TAGS else ""
+    return _hash(f"{path}/{tag}{''.join('.' + c for c in sorted(classes))}@{role}"), (
+        tag in NOISE_TAGS, noise, "header" in names, own)
 
 
 def _open(tag: str, attributes: str, parent: Node) -> Node:
     marks = attributes if MATTERS.search(attributes) else ""
-    return Node(tag, *_judge(tag, marks, parent.path, parent.kind), parent, parent.depth + 1)
+    return Node(tag, *_judge(tag, marks, parent.path), parent, parent.depth + 1)
+
+
+def _settle(root: Node) -> Node:
+    """Give every element its kind: what it says, and what stands above it."""
+    around: dict[str, set[int]] = {}  # the elements that hold every main, and every article
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        own = node.says[3]
+        if own:
+            above, up = set(), node.parent
+            while up is not None:
+                above.add(id(up))
+                up = up.parent
+            around[own] = around.get(own, above) & above
+        if own != "article" and not node.says[0]:
+            stack += [x for x in node.items if isinstance(x, Node)]
+    wraps = set().union(*around.values())
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        above = node.parent.kind if node.parent else "open"
+        tag, named, header, own = node.says
+        if above in ("main", "article"):  # the header of an article is part of it
+            tag, header = tag and node.tag != "header", False
+        if node.tag in ("html", "body") or own == "main" or id(node) in wraps:
+            named = header = False
+        noise = tag or named or header or above == "noise"
+        node.kind = "noise" if noise else "main" if above == "main" else own or above
+        stack += [x for x in node.items if isinstance(x, Node)]
+    return root
 
 
 def _place(tag: str, here: Node) -> Node:
@@ -119,7 +157,7 @@ def _place(tag: str, here: Node) -> Node:
 
 def parse(page: str) -> Node:
     """The element tree of a page; unclosed, misplaced and broken tags never fail."""
-    root = here = Node("", 0, "open", None, 0)
+    root = here = Node("", 0, (False, False, False, ""), None, 0)
     at = 0
     while m := TOKEN.search(page, at):
         if m.start() > at:
@@ -145,7 +183,7 @@ def parse(page: str) -> Node:
             here = node
     if at < len(page):
         here.items.append(page[at:])
-    return root
+    return _settle(root)
 
 
 def text_blocks(root: Node, keep) -> list[tuple[Node, str]]:

@@ -130,3 +130,22 @@ def test_text_around_a_teaser_stays():
     teaser, body = "<article><p>Read on</p></article>", f"<div class=body><p>{passage(2, 40)}</p></div>"
     assert style_tree.main_text(body + teaser) == f"{passage(2, 40)}\n\nRead on"
     assert style_tree.main_text(f"<main>{teaser}</main>{body}") == "Read on"
+
+
+@pytest.mark.parametrize("name", ["has-sidebar", "with-sidebar", "no-comments", "fixed-header", "page-with-nav",
+                                  "search-results", "social-science", "sidebar", "menu"])
+def test_names_of_wrappers_empty_no_page(name):
+    body = "<h1>Title</h1><p>Some text</p>"
+    noise = "<div class=sidebar><p>Links</p></div><div id=cookie-notice>Ok</div>"
+    for page in (f"<body class='{name}'>{body}{noise}</body>", f"<html id={name}><div>{body}</div>{noise}",
+                 f"<div class='{name} x'><article>{body}</article>{noise}</div>", f"<main class={name}>{body}{noise}</main>",
+                 f"<main><div class={name}><article>{body}</article></div>{noise}</main>"):
+        assert style_tree.main_text(page) == "Title\n\nSome text"
+
+
+def test_names_that_hold_a_noise_word_are_left_to_the_tree():
+    assert style_tree.main_text("<div class=post-header><h1>Title</h1></div><p>Text</p>") == "Title\n\nText"
+    assert style_tree.main_text("<div class=header>Site</div><p>Text</p><div class=main-nav>Go</div><div class=ad1>Buy</div>") == "Text"
+    assert style_tree.main_text("<article><div class=header>By me</div><p>Text</p><p class=sidebar>Off</p></article>") == "By me\n\nText"
+    comments = "<div class=comments><article><p>Reader</p></article></div>"
+    assert style_tree.main_text(f"<article><p>Text</p></article>{comments}") == "Text"
