@@ -7,9 +7,10 @@ looked up in the next shorter context without the successors already ruled out,
 uniform choice among the bytes the language never showed. A text's code length in a language
 is the exact sum over all its bytes; the shortest code wins.
 
-With frozen counts a byte's code length depends only on the last ``order`` bytes and itself,
-so each worker unfolds the trees into one table: context -> row of the longest context that
-any language has seen, and row x byte -> code lengths in all languages.
+With frozen counts a byte's code length depends only on the last ``order`` bytes and itself.
+Each worker keeps the seen grams of each language as sorted arrays, walks the escapes once for
+each distinct gram of its texts and remembers the code lengths in all languages, as many as a
+bounded memory holds. The order is that of the model whatever its size.
 """
 
 from __future__ import annotations
@@ -42,82 +43,118 @@ class Model:
     grams: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]
 
 
+class Tree:
+    """The counts of one language: by order the seen grams, and of their contexts the totals.
+
+    What follows a context also follows the shorter ones, so those ruled out below a context are
+    its own successors; ``left`` and ``kinds_left`` are what the next shorter context has without them.
+    """
+
+    def __init__(self, orders: list[tuple[np.ndarray, np.ndarray]]):
+        self.grams, self.counts = [g for g, _ in orders], [n for _, n in orders]
+        self.contexts, self.totals, self.kinds, self.left, self.kinds_left = [], [], [], [], []
+        for k, (grams, n) in enumerate(orders):
+            contexts, firsts, kinds = np.unique(grams >> 8, return_index=True, return_counts=True)
+            add = lambda x: np.add.reduceat(x, firsts) if len(firsts) else x[:0]  # noqa: B023, E731
+            self.contexts.append(contexts)
+            self.totals.append(add(n))
+            self.kinds.append(kinds)
+            if k:
+                shorter = self._find(self.grams[k - 1], grams & ((1 << 8 * k) - 1))
+                above = self._find(self.contexts[k - 1], contexts & ((1 << 8 * (k - 1)) - 1))
+                self.left.append(self.totals[k - 1][above] - add(self.counts[k - 1][shorter]))
+                self.kinds_left.append(self.kinds[k - 1][above] - kinds)
+
+    @staticmethod
+    def _find(known: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Places of ``codes`` in the sorted ``known``; -1 where missing."""
+        if not len(known):
+            return np.full(len(codes), -1)
+        at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+        return np.where(known[at] == codes, at, -1)
+
+    def lengths(self, grams: np.ndarray, known: np.ndarray) -> np.ndarray:
+        """Code length of the last byte of each gram of the highest order; ``known`` bytes of its context exist."""
+        out, open_ = np.zeros(len(grams)), np.ones(len(grams), bool)
+        longer = np.full(len(grams), -1)
+        for k in range(len(self.grams) - 1, -1, -1):
+            codes = grams & ((1 << 8 * (k + 1)) - 1)
+            context = np.where(known >= k, self._find(self.contexts[k], codes >> 8), -1)
+            at = np.flatnonzero(open_ & (context >= 0))
+            total, kinds = self.totals[k][context[at]], self.kinds[k][context[at]]
+            if k < len(self.grams) - 1:
+                below = longer[at]
+                some = below >= 0
+                total[some], kinds[some] = self.left[k][below[some]], self.kinds_left[k][below[some]]
+            gram = self._find(self.grams[k], codes[at])
+            hit = gram >= 0
+            whole = np.log2(np.maximum(total + kinds, 1))
+            out[at[hit]] += whole[hit] - np.log2(self.counts[k][gram[hit]])
+            miss = ~hit & (kinds > 0)
+            out[at[miss]] += whole[miss] - np.log2(kinds[miss])
+            open_[at[hit]] = False
+            longer = context
+        seen = len(self.grams[0])
+        out[open_] += np.log2(max(256 - seen, 1))
+        return out
+
+
 class Table:
-    """The context trees of a model, unfolded."""
+    """The context trees of a model, and the code lengths found so far: at most ``most_bytes`` of them."""
 
     def __init__(self, model: Model, most_bytes: int):
-        seen_bytes = np.unique(np.concatenate([np.zeros(0, np.int64), *(g & 255 for g, _ in model.grams.values())]))
-        other = len(seen_bytes)  # every byte no language has seen, and the time before the text
-        self.size = size = other + 1
-        self.of_byte = np.full(256, other, np.int64)
-        self.of_byte[seen_bytes] = np.arange(other)
-        self.n_langs = len(model.langs)
-        grams = {key: (self._recode(g, key[1]), n) for key, (g, n) in model.grams.items()}
-        contexts = [np.unique(np.concatenate([np.zeros(1 if k == 0 else 0, np.int64), *(
-            grams[lang, k][0] // size for lang in range(self.n_langs))])) for k in range(model.order + 1)]
-        # The largest order whose table fits; a lower one is the same trees cut off.
-        self.order = max(k for k in range(model.order + 1) if k == 0 or sum(
-            map(len, contexts[: k + 1])) * size * self.n_langs * 4 + size**k * 4 <= most_bytes)
-        rows, tables, first = np.zeros(1, np.int32), [], 0
-        for k in range(self.order + 1):
-            rows = np.tile(rows, size if k else 1)
-            rows[contexts[k]] = first + np.arange(len(contexts[k]), dtype=np.int32)
-            first += len(contexts[k])
-            tables.append(self._lengths(grams, contexts, k))
-        self.rows, self.lengths = rows, np.ascontiguousarray(np.concatenate(tables).reshape(-1, self.n_langs))
-
-    def _recode(self, grams: np.ndarray, k: int) -> np.ndarray:
-        out = np.zeros(len(grams), np.int64)
-        for at in range(k, -1, -1):
-            out = out * self.size + self.of_byte[(grams >> (8 * at)) & 255]
+        self.order, self.n_langs = model.order, len(model.langs)
+        self.trees = [Tree([model.grams[lang, k] for k in range(model.order + 1)]) for lang in range(self.n_langs)]
+        self.most = most_bytes // (8 + 4 * self.n_langs)
+        self.codes, self.lengths = np.zeros(0, np.int64), np.zeros((self.n_langs, 0), np.float32)
+
+    def _walk(self, codes: np.ndarray) -> np.ndarray:
+        """Code lengths (languages x codes) of distinct grams, nine bits a byte, 256 before the text."""
+        grams, known = np.zeros(len(codes), np.int64), np.full(len(codes), self.order)
+        for back in range(self.order, -1, -1):
+            byte = codes >> 9 * back & 511
+            grams = grams << 8 | byte & 255
+            known[byte == 256] = back - 1
+        out = np.empty((self.n_langs, len(codes)), np.float32)
+        for lang, tree in enumerate(self.trees):
+            out[lang] = tree.lengths(grams, known)
         return out
 
-    def _lengths(self, grams: dict, contexts: list[np.ndarray], k: int) -> np.ndarray:
-        """Code lengths of every byte after each context of order k: contexts x bytes x languages."""
-        out = np.empty((len(contexts[k]), self.size, self.n_langs), np.float32)
-        counts = {}
-        for lang in range(self.n_langs):
-            for j in range(k + 1):
-                codes, n = grams[lang, j]
-                counts[lang, j] = np.zeros((len(contexts[j]), self.size), np.float32)
-                counts[lang, j][np.searchsorted(contexts[j], codes // self.size), codes % self.size] = n
-        for lo in range(0, len(out), 4096):
-            part = contexts[k][lo : lo + 4096]
-            for lang in range(self.n_langs):
-                done = np.zeros((len(part), self.size), bool)
-                escapes, got = np.zeros(len(part)), np.empty((len(part), self.size))
-                for j in range(k, -1, -1):
-                    n = counts[lang, j][np.searchsorted(contexts[j], part % self.size**j)]
-                    n = np.where(done, 0.0, n)
-                    hit, total = n > 0, n.sum(1)
-                    kinds = hit.sum(1)
-                    got[hit] = ((escapes + np.log2(np.maximum(total + kinds, 1)))[:, None] - np.log2(np.maximum(n, 1)))[hit]
-                    escapes += np.where(kinds > 0, np.log2(np.maximum(total + kinds, 1) / np.maximum(kinds, 1)), 0.0)
-                    done |= hit
-                got = np.where(done, got, (escapes + np.log2(np.maximum(256 - done.sum(1), 1)))[:, None])
-                out[lo : lo + 4096, :, lang] = got
+    def _lengths(self, codes: np.ndarray) -> np.ndarray:
+        """As ``_walk`` for sorted codes, from memory where they are known."""
+        at = Tree._find(self.codes, codes)
+        new = np.flatnonzero(at < 0)
+        out = np.empty((self.n_langs, len(codes)), np.float32)
+        out[:, at >= 0] = self.lengths[:, at[at >= 0]]
+        out[:, new] = self._walk(codes[new])
+        if len(new) and len(self.codes) + len(new) <= self.most:
+            merged = np.concatenate([self.codes, codes[new]])
+            order = np.argsort(merged, kind="stable")
+            self.codes, self.lengths = merged[order], np.concatenate([self.lengths, out[:, new]], axis=1)[:, order]
+        elif len(new) and len(codes) <= self.most:  # full: keep what the latest texts need
+            self.codes, self.lengths = codes, out
         return out
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
         """Code length of each text in each language."""
         k = self.order
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-        # Every text follows k foreign bytes, after which only shorter contexts are known.
-        gap = self.size - 1
-        joined = np.full(int(sizes.sum()) + k * len(texts), gap, np.int64)
+        # Every text follows k times the mark 256, after which only shorter contexts are known.
+        joined = np.full(int(sizes.sum()) + k * len(texts), 256, np.uint16)
         starts = np.cumsum(sizes + k) - sizes
         inside = np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-        joined[inside] = self.of_byte[np.frombuffer(b"".join(texts), np.uint8)]
-        context = np.zeros(len(joined), np.int64)
-        for back in range(k, 0, -1):
-            context[back:] = context[back:] * self.size + joined[:-back]
-        cells = self.rows[context[inside]].astype(np.int64) * self.size + joined[inside]
+        joined[inside] = np.frombuffer(b"".join(texts), np.uint8)
+        codes = np.zeros(len(inside), np.int64)
+        for back in range(k, -1, -1):
+            codes = codes << 9 | joined[inside - back]
+        cells, place = np.unique(codes, return_inverse=True)
+        lengths = self._lengths(cells)
         out = np.zeros((len(texts), self.n_langs))
         some = np.flatnonzero(sizes)
         if len(some):
-            ends = np.cumsum(sizes)
-            each = self.lengths[cells].astype(np.float64)
-            out[some] = np.add.reduceat(each, (ends - sizes)[some], axis=0)
+            firsts = (np.cumsum(sizes) - sizes)[some]
+            for lang in range(self.n_langs):
+                out[some, lang] = np.add.reduceat(lengths[lang][place].astype(np.float64), firsts)
         return out
 
 
@@ -173,7 +210,8 @@ def predict(docs: DataFrame, model: Model, most_bytes: int = 192 << 20, id_col:
     texts beyond 64 bytes scaled to that many, so that it stays informative for long ones. A
     text that is null, empty or without a letter is ``und`` with score 0, as is every text
     where the model knows no language. Ties go to the first language by name. Repeated rows
-    are judged each; other columns, whatever their names, are not looked at. With ``carry``
+    are judged each; other columns, whatever their names, are not looked at. ``most_bytes``
+    bounds what a worker remembers of code lengths, not the order or the result. With ``carry``
     the rows keep all their columns, as the struct ``row``, in place of doc_id.
     """
     kept = F.struct(*(docs[c] for c in docs.columns)).alias("row") if carry else F.col(id_col).alias("doc_id")

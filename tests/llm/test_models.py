@@ -134,3 +134,14 @@ def test_exchange_gain_is_exact_without_self_pairs():
         moved[:, to] += before[0]
         found.append(brown_lm.likelihood(moved))
     assert found[best] >= found[0] and abs(max(found) - found[best]) < 3
+
+
+def test_ppm_order_holds_whatever_the_memory(spark, both):
+    docs = both.where(F.length("text") < 3000)
+    model = ppm_langid.fit(docs, F.lit(True), sample_bytes=1 << 30)
+    texts = [(r.text or "").encode()[:200] for r in docs.limit(30).collect()] + [bytes(range(256)), b"", b"q"]
+    want = ppm_langid.Table(model, 1 << 28).bits(texts)
+    for most in (0, 1 << 10, 1 << 16):
+        table = ppm_langid.Table(model, most)
+        assert np.array_equal(table.bits(texts), want) and np.array_equal(table.bits(texts[::-1]), want[::-1])
+        assert table.order == 3 and table.lengths.nbytes <= most
