@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import byte_slices, utf8
 
 SLICE_BYTES = 2 << 20
+RANGE_BITS = 16  # hash ranges of a language whose bytes are summed, as a power of two
 EVIDENCE = 64  # bytes whose code lengths decide the score of longer texts
 UNKNOWN = "und"
 _TABLES: dict[str, "Table"] = {}
@@ -163,18 +164,20 @@ def fit(docs: DataFrame, use: Column, order: int = 3, sample_bytes: int = 1 << 2
     """Count the grams of a bounded sample of the labelled rows where ``use`` holds.
 
     Per language the rows enter in the order of a hash of id and text, whole, until
-    ``sample_bytes`` are reached (the last may run over); rows without text or language never
+    ``sample_bytes`` are reached (the last may run over) or all are in; rows without text or language never
     enter. The counts have at most (order + 1) entries a sampled byte, so the model that is
     sent to the workers is bounded whatever the size of the table.
     """
     rows = docs.where(use & F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.octet_length(text_col).alias("size"))
-    totals = rows.groupBy("lang").agg(F.sum("size").alias("total"))
-    # Twice the share that is needed, then exactly by a running sum over that small part.
-    share = F.least(F.lit(1.0), F.lit(2.0 * sample_bytes) / F.greatest(F.col("total"), F.lit(1)))
-    likely = rows.join(F.broadcast(totals), "lang").where(
-        F.col("h").cast("double") / F.lit(float(1 << 63)) <= 2 * share - 1)
+    # The hash ranges that reach the sum, one past it at most, then exactly by a running sum over that small part.
+    ranges = rows.groupBy("lang", F.shiftright("h", 64 - RANGE_BITS).alias("range")).agg(F.sum("size").alias("size"))
+    below = F.coalesce(F.sum("size").over(Window.partitionBy("lang").orderBy("range").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    last = ranges.withColumn("below", below).where(F.col("below") < sample_bytes).groupBy("lang").agg(
+        F.max("range").alias("last"))
+    likely = rows.join(F.broadcast(last), "lang").where(F.shiftright("h", 64 - RANGE_BITS) <= F.col("last"))
     before = F.sum("size").over(Window.partitionBy("lang").orderBy("h", "text").rowsBetween(
         Window.unboundedPreceding, -1))
     sample = likely.withColumn("before", F.coalesce(before, F.lit(0))).where(F.col("before") < sample_bytes)
@@ -183,13 +186,14 @@ def fit(docs: DataFrame, use: Column, order: int = 3, sample_bytes: int = 1 << 2
         for batch in batches:
             found = []
             for lang, text in zip(batch.column("lang").to_pylist(), utf8(batch.column("text")), strict=True):
-                data = np.frombuffer(text, np.uint8).astype(np.int64)
-                for k in range(min(order + 1, len(data))):
-                    codes = np.zeros(len(data) - k, np.int64)
-                    for at in range(k + 1):
-                        codes = codes << 8 | data[at : len(data) - k + at]
-                    keys, n = np.unique(codes, return_counts=True)
-                    found.append(pd.DataFrame({"lang": lang, "k": k, "gram": keys, "n": n}))
+                for lo in range(0, len(text), SLICE_BYTES):
+                    for k in range(order + 1):
+                        data = np.frombuffer(text, np.uint8)[max(lo - k, 0) : lo + SLICE_BYTES].astype(np.int64)
+                        codes = np.zeros(max(len(data) - k, 0), np.int64)
+                        for at in range(k + 1):
+                            codes = codes << 8 | data[at : len(codes) + at]
+                        keys, n = np.unique(codes, return_counts=True)
+                        found.append(pd.DataFrame({"lang": lang, "k": k, "gram": keys, "n": n}))
             if found:
                 yield pa.RecordBatch.from_pandas(pd.concat(found).astype({"k": "int32"}), preserve_index=False)
 

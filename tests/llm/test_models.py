@@ -145,3 +145,21 @@ def test_ppm_order_holds_whatever_the_memory(spark, both):
         table = ppm_langid.Table(model, most)
         assert np.array_equal(table.bits(texts), want) and np.array_equal(table.bits(texts[::-1]), want[::-1])
         assert table.order == 3 and table.lengths.nbytes <= most
+
+
+def test_sample_holds_languages_of_few_long_documents(spark, monkeypatch):
+    rows = [(i, text, lang) for lang in "abcdefgh" for i, text in enumerate([lang * 300_000 + lang.upper()] + [lang * 20] * 4)]
+    rows += [(i, "z" * 10 + str(i), "many") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4).cache()
+    sizes = Counter()
+    for _, text, lang in rows:
+        sizes[lang] += len(text)
+    models = []
+    for slice_bytes in (1 << 20, 1000):  # a long text is counted in pieces
+        monkeypatch.setattr(ppm_langid, "SLICE_BYTES", slice_bytes)
+        models.append(ppm_langid.fit(docs, F.lit(True), order=1, sample_bytes=10_000))
+    first, second = models
+    assert first.langs == (*"abcdefgh", "many")
+    got = [first.grams[i, 0][1].sum() for i in range(9)]
+    assert all(n >= min(10_000, sizes[lang]) for n, lang in zip(got, first.langs)) and got[8] < 10_020
+    assert all(np.array_equal(x, y) for key in first.grams for x, y in zip(first.grams[key], second.grams[key]))
