@@ -1,8 +1,8 @@
 """Benchmark decontamination with SimHash fingerprints of item-sized windows.
 
 A benchmark item of L words is compared with windows of L words of the documents, as
-multisets of five-word shingles (shorter items: the whole sequence as one shingle). Each
-window has a 64-bit SimHash. Cut into ``radius`` + 1 blocks, two fingerprints within
+multisets of five-word shingles (shorter items: the whole sequence as one shingle); a
+document of fewer words is its own one window. Each window has a 64-bit SimHash. Cut into ``radius`` + 1 blocks, two fingerprints within
 ``radius`` bits must agree in one block, so joining on (length, block, its bits) finds every
 such pair; the pairs are then decided by the exact weighted similarity
 sum(min counts) / sum(max counts).
@@ -104,7 +104,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
     """The pairs (doc_id, item_id) where a window of the document is like the item.
 
     Returns doc_id, item_id, start (first word of the best window, from 0; the first of
-    equals), n_words (its length, that of the item) and similarity. Words are runs without
+    equals), n_words (its length, that of the item or of a document that is shorter) and
+    similarity. Words are runs without
     white space, A-Z in lower case. Null or blank texts match nothing; rows with the same id
     are looked at each and give one pair, the best; null ids of documents or items are kept
     as such; empty tables give no pairs; other columns, whatever their names, are not looked at.
@@ -161,10 +162,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
                       >= F.ceil(F.lit(least) * F.col("n_item")))
     windows = near.select("row", "k", "n_words", F.explode_outer(enough).alias("start")).where(
         F.col("start").isNotNull())
-    windows = windows.join(hit_docs.select("row", "k", "doc_id", "doc"), ["row", "k"]).select(
-        "doc_id", "k", "n_words", "start",
-        F.slice("doc", F.col("start") + 1, F.col("n_words") - F.col("k") + 1).alias("window")).where(
-        F.size("window") == F.col("n_words") - F.col("k") + 1)
+    # A document shorter than the item is one window; the window ends with the document only there.
+    shingles_of = F.least(F.size("doc"), F.col("n_words") - F.col("k") + 1)
+    windows = windows.join(hit_docs.select("row", "k", "doc_id", "doc"), ["row", "k"]).where(
+        F.col("start") + shingles_of <= F.size("doc")).select(
+        "doc_id", "k", "n_words", "start", F.slice("doc", F.col("start") + 1, shingles_of).alias("window"))
     prints = materialize(windows.withColumn("fingerprint", simhash(F.col("window"))), "benchmark-windows")
 
     item_prints = items.withColumn("item_print", simhash(F.col("item")))
@@ -176,7 +178,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARIT
         (F.bit_count(differing) <= radius) & (F.col("b.block") == first_equal(differing, radius)))
     checked = pairs.withColumn("similarity", similarity(F.col("window"), F.col("item"))).where(
         F.col("similarity") >= least)
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), "n_words")).alias("best")
+    own_words = F.size("window") + F.col("k") - 1
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("s"), own_words.alias("n_words"))).alias("best")
     return checked.groupBy("doc_id", "item_id").agg(best).select(
         "doc_id", "item_id", (-F.col("best.s")).alias("start"), F.col("best.n_words").alias("n_words"),
         F.col("best.similarity").alias("similarity"))

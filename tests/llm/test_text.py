@@ -149,3 +149,30 @@ def test_names_that_hold_a_noise_word_are_left_to_the_tree():
     assert style_tree.main_text("<article><div class=header>By me</div><p>Text</p><p class=sidebar>Off</p></article>") == "By me\n\nText"
     comments = "<div class=comments><article><p>Reader</p></article></div>"
     assert style_tree.main_text(f"<article><p>Text</p></article>{comments}") == "Text"
+
+
+def test_documents_shorter_than_the_item(spark):
+    words = passage(1, 40).split()
+    items = spark.createDataFrame([(1, " ".join(words)), (2, passage(2, 12)), (3, "a b c")], "item_id long, text string")
+    texts = [words[:39], words[1:], words[:32], words[:31], words[:30] + ["x"] * 9, words[5:39], words[:4], passage(2, 12).split()[:-2],
+             ["a", "b"], words[3:36], words, ["x"] * 3 + words[:39]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    want = {}
+    for item in items.collect():
+        w = item.text.split()
+        k = min(5, len(w))
+        grams = lambda x: [tuple(x[i : i + k]) for i in range(len(x) - k + 1)]  # noqa: B023, E731
+        own = Counter(grams(w))
+        for i, t in enumerate(texts):
+            s = grams(t)
+            n = min(len(s), len(w) - k + 1)
+            for at in range(len(s) - n + 1):
+                window = Counter(s[at : at + n])
+                both = (window & own).total()
+                like = both / ((window | own).total())
+                if like >= 0.75:
+                    want[i, item.item_id] = max(want.get((i, item.item_id), (0, 0, 0)), (like, -at, n + k - 1))
+    got = {(r.doc_id, r.item_id): (r.similarity, -r.start, r.n_words) for r in simhash_decontam.contaminated(docs, items).collect()}
+    assert len(want) >= 7 and {k: (pytest.approx(s), a, n) for k, (s, a, n) in want.items()} == got
+    bad = {i for i, _ in want}
+    assert sorted(r.doc_id for r in simhash_decontam.clean(docs, items).collect()) == [i for i in range(len(texts)) if i not in bad]
