@@ -6,17 +6,21 @@ of bounded bytes by a hash; the blocks exchange compact messages with bins:
 
 1. every window has a seed, the least hash among its k-grams. Equal windows have equal
    seeds. A block sends each bin the seeds that belong there; the bin answers which of them
-   occur in more than one document (one bit a seed).
-2. only windows with such a seed can be repeated. Adjacent ones with the same seed form a
-   segment; a block sends the segments of a bin, each distinct text once, with the documents
+   occur in more than one document, and which were sent by many blocks (two bits a seed).
+2. only windows with such a seed can be repeated. At the edges of a passage that many documents
+   share, the seed is the passage's but the window holds words of its own document. So the
+   windows of seeds of many blocks are asked for once more, in the same way, by a hash of the
+   whole window, and those that no other document has are dropped. Adjacent remaining ones with
+   the same seed form a segment; a block sends the segments of a bin, each distinct text once, with the documents
    and places it occurs at.
 3. the bin builds its index over its distinct segments, finds for every window the least
    document that holds it, and answers with the covered stretches.
 4. the block joins the stretches.
 
-The first filter drops nothing that is repeated, and the last decision compares the symbols
+The filters drop nothing that is repeated, and the last decision compares the symbols
 themselves. A seed's segments are sent once per block however often they occur, so a passage
-that a third of all documents share costs its bin one segment a block.
+that a third of all documents share costs its bin one segment a block, and none for an edge
+that only one document has.
 
 All steps form one plan over one exchange of the texts, which Spark reuses; nothing passes
 through the driver but the total size that fixes the number of blocks.
@@ -41,6 +45,7 @@ from salesmart.llm.wordhash import BASE, powers
 
 BLOCK_BYTES = 6 << 20
 SLICE_SYMBOLS = 1 << 19
+MANY_BLOCKS = 32  # that send a seed: beyond, its windows are looked at one by one
 
 
 class Matcher(Protocol):
@@ -121,6 +126,49 @@ class Block:
         keep = self.known[out.text]
         return out if keep.all() else Runs(out.start[keep], out.windows[keep], out.seed[keep], out.text[keep])
 
+    def windows(self, runs: Runs) -> Runs:
+        """Every window of ``runs`` by itself, with a hash of all its symbols as its seed."""
+        n, size = runs.windows, self.matcher.window
+        at = np.arange(int(n.sum())) + np.repeat(runs.start - (np.cumsum(n) - n), n)
+        whole = np.empty(len(at), np.uint64)
+        for first in range(0, len(self.hashes), SLICE_SYMBOLS):
+            lo, hi = np.searchsorted(at, [first, first + SLICE_SYMBOLS])
+            if lo < hi:
+                part, place = self.hashes[first : first + SLICE_SYMBOLS + size - 1], at[lo:hi] - first
+                sums = np.zeros(len(part) + 1, np.uint64)
+                np.cumsum(part * powers(BASE, len(part)), out=sums[1:])
+                whole[lo:hi] = mix64((sums[place + size] - sums[place]) * powers(
+                    pow(BASE, -1, 1 << 64), len(part) + 1 - size)[place])
+        return Runs(at, np.ones(len(at), np.int64), whole, np.repeat(runs.text, n))
+
+    def marked(self, bins: np.ndarray, answers: pa.Table, column: str) -> np.ndarray:
+        """The marks of the distinct seeds, in their order, from the bins' answers."""
+        bits = dict(zip(answers.column("bin").to_pylist(), _binary(answers.column(column), "u1"), strict=True))
+        return np.concatenate([np.zeros(0, bool), *(
+            np.unpackbits(bits[b])[: hi - lo].astype(bool) for b, lo, hi in _by_bin(bins))])
+
+    def repeated(self, answers: pa.Table, asked: bool) -> Runs:
+        """The windows of the runs whose seed many blocks have; if those were ``asked`` for, all runs that other
+        documents may have."""
+        runs = self.runs()
+        _, bins, _, place = self.seeds(runs)
+        own = answers.filter(pc.invert(answers.column("whole")))
+        often = self.marked(bins, own, "bits")[place]
+        many = self.marked(bins, own, "many")[place] & often
+        pick = lambda where: Runs(runs.start[where], runs.windows[where], runs.seed[where], runs.text[where])
+        windows = self.windows(pick(many))
+        if not asked:
+            return windows
+        _, bins, _, place = self.seeds(windows)
+        held = self.marked(bins, answers.filter(answers.column("whole")), "bits")[place]
+        seed = np.repeat(runs.seed[many], runs.windows[many])[held]
+        start, text = windows.start[held], windows.text[held]
+        new = np.flatnonzero(np.concatenate([[True], (start[1:] != start[:-1] + 1) | (seed[1:] != seed[:-1])
+                                             | (text[1:] != text[:-1])])) if len(start) else np.zeros(0, np.int64)
+        few = pick(often & ~many)
+        parts = Runs(start[new], np.diff(np.append(new, len(start))), seed[new], text[new])
+        return Runs(*(np.concatenate([getattr(few, c), getattr(parts, c)]) for c in ("start", "windows", "seed", "text")))
+
     def seeds(self, runs: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(seeds, bins, several, place): distinct seeds by bin and value, whether in several texts here, and
         the place of each run's seed among them."""
@@ -159,15 +207,17 @@ def _binary(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
 
 
 def _answer_seeds(rows: pa.Table) -> pa.Table:
-    """Which of the seeds sent to a bin occur in several documents, a bit each in the order sent."""
+    """Which of the seeds sent to a bin occur in several documents, and which came from many blocks: a bit
+    each in the order sent."""
     seeds, several = [_from_six_bytes(x) for x in rows.column("seeds").to_pylist()], _binary(rows.column("several"), "u1")
     values, place, n = np.unique(np.concatenate(seeds), return_inverse=True, return_counts=True)
     repeated = n > 1
     marks = [np.unpackbits(s)[: len(x)].astype(bool) for x, s in zip(seeds, several, strict=True)]
     repeated[place[np.concatenate(marks)]] = True
-    parts = np.split(repeated[place], np.cumsum([len(x) for x in seeds])[:-1])
-    return pa.table({"block": rows.column("block"), "bin": rows.column("bin"),
-                     "bits": pa.array([np.packbits(p).tobytes() for p in parts], pa.binary())})
+    ends = np.cumsum([len(x) for x in seeds])[:-1]
+    packed = lambda marks: pa.array([np.packbits(p).tobytes() for p in np.split(marks[place], ends)], pa.binary())
+    return pa.table({"block": rows.column("block"), "bin": rows.column("bin"), "bits": packed(repeated),
+                     "many": packed(n >= MANY_BLOCKS)})
 
 
 def _answer_segments(rows: pa.Table, matcher: Matcher) -> pa.Table:
@@ -218,28 +268,32 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text", *more
     ).repartition(blocks, "block")
 
-    def send_seeds(rows: pa.Table) -> pa.Table:
-        block = Block(rows, matcher, blocks)
-        seeds, bins, several, _ = block.seeds(block.runs())
+    def asking(block: Block, number: int, runs: Runs) -> pa.Table:
+        seeds, bins, several, _ = block.seeds(runs)
         parts = list(_by_bin(bins))
         return pa.table({
             "bin": pa.array([b for b, _, _ in parts], pa.int32()),
-            "block": pa.array([rows.column("block")[0].as_py()] * len(parts), pa.int32()),
+            "block": pa.array([number] * len(parts), pa.int32()),
             "seeds": pa.array([_six_bytes(seeds[lo:hi]) for _, lo, hi in parts], pa.binary()),
             "several": pa.array([np.packbits(several[lo:hi]).tobytes() for _, lo, hi in parts], pa.binary())})
 
+    def send_seeds(rows: pa.Table) -> pa.Table:
+        block = Block(rows, matcher, blocks)
+        return asking(block, rows.column("block")[0].as_py(), block.runs())
+
+    def send_windows(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        block = Block(rows, matcher, blocks)
+        number = rows.column("block")[0].as_py() if len(rows) else 0
+        return asking(block, number, block.repeated(answers, False))
+
     def send_segments(rows: pa.Table, answers: pa.Table) -> pa.Table:
         names = ["bin", "block", "doc", "at", "text", "seg", "sizes", "texts"]
         out: dict[str, list] = {n: [] for n in names}
         if len(rows):
             block = Block(rows, matcher, blocks)
-            runs = block.runs()
-            seeds, bins, _, place = block.seeds(runs)
-            bits = dict(zip(answers.column("bin").to_pylist(), _binary(answers.column("bits"), "u1"), strict=True))
-            repeated = np.concatenate([np.zeros(0, bool), *(
-                np.unpackbits(bits[b])[: hi - lo].astype(bool) for b, lo, hi in _by_bin(bins))])
-            chosen = np.flatnonzero(repeated[place])
-            chosen = chosen[np.argsort(bins[place[chosen]], kind="stable")]
+            runs = block.repeated(answers, True)
+            _, bins, _, place = block.seeds(runs)
+            chosen = np.argsort(bins[place], kind="stable")
             firsts = np.cumsum(block.counts) - block.counts
             a = runs.start[chosen]
             z = a + runs.windows[chosen] + matcher.window - 2
@@ -270,8 +324,12 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
 
     by_block = texts.groupBy("block")
     seeds = by_block.applyInArrow(send_seeds, "bin int, block int, seeds binary, several binary")
-    repeated = seeds.groupBy("bin").applyInArrow(_answer_seeds, "block int, bin int, bits binary")
-    segments = by_block.cogroup(repeated.groupBy("block")).applyInArrow(
+    marks = "block int, bin int, bits binary, many binary"
+    repeated = seeds.groupBy("bin").applyInArrow(_answer_seeds, marks).withColumn("whole", F.lit(False))
+    windows = by_block.cogroup(repeated.groupBy("block")).applyInArrow(
+        send_windows, "bin int, block int, seeds binary, several binary")
+    held = windows.groupBy("bin").applyInArrow(_answer_seeds, marks).withColumn("whole", F.lit(True))
+    segments = by_block.cogroup(repeated.unionByName(held).groupBy("block")).applyInArrow(
         send_segments,
         "bin int, block int, doc binary, at binary, text binary, seg binary, sizes binary, texts binary")
     spans = segments.groupBy("bin").applyInArrow(

@@ -8,6 +8,8 @@ from salesmart.llm import fm_dedup, odd_sketch, repeats, suffix_dedup
 from salesmart.llm.fm_dedup import BitRank, FmIndex, WordMatcher
 from salesmart.llm.suffix_dedup import COVER, PERIOD, SHIFT, ByteMatcher
 
+from .conftest import passage
+
 
 def least_by_definition(segments, docs, window, cut):
     parts = [s.split(b" ") if cut else s for s in segments]
@@ -177,3 +179,28 @@ def test_spanning_forest_takes_the_most_similar():
     x, y = np.array([0, 1, 0, 3, 2, 1]), np.array([1, 2, 2, 4, 3, 2])
     kept = odd_sketch.spanning(d, x, y)
     assert sorted(zip(d[kept], x[kept], y[kept])) == [(1, 1, 2), (2, 3, 4), (3, 0, 2), (9, 2, 3)]
+
+
+@pytest.mark.parametrize("cut", [False, True])
+def test_passage_in_every_document_sends_no_edges(spark, monkeypatch, cut):
+    shared = passage(1, 60)
+    rows = [(i, " ".join([*(f"w{i}x{j}" for j in range(30)), shared, *(f"v{i}x{j}" for j in range(30))]))
+            for i in range(150)]
+    rows += [(200, None), (None, shared), (201, passage(2, 20)), (202, passage(2, 20)), (203, shared[3:])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    module, kind = (fm_dedup, "WordMatcher") if cut else (suffix_dedup, "ByteMatcher")
+
+    class Few(getattr(module, kind)):
+        def least(self, segments, owners):
+            assert len(segments) < 100, len(segments)
+            return super().least(segments, owners)
+
+    monkeypatch.setattr(module, kind, Few)
+    monkeypatch.setattr(repeats.covered_by_earlier, "__defaults__", (1 << 10,))
+    if cut:
+        got = fm_dedup.remove_repeated_words(docs).collect()
+        found = [(str(r.doc_id), r.n_words, r.n_removed, len(r.spans), r.kept_sha256) for r in got]
+    else:
+        got = suffix_dedup.remove_repeated_bytes(docs).collect()
+        found = [(str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got]
+    assert sorted(found) == removed(docs.collect(), 13 if cut else 50, cut)
