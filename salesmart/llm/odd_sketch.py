@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.blocks import checked, crossed, in_blocks, runs_of
 from salesmart.llm.common import byte_slices, mix64, utf8
 from salesmart.llm.wordhash import hash_words, runs
 from salesmart.session import materialize
@@ -215,28 +216,22 @@ def spanning(d: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def across(members: DataFrame, most: int, forest: bool) -> DataFrame:
     """Pairs (a, b) of one bucket, of different components, whose sketches differ in at most ``most`` bits.
 
-    Members are (h, m: size of the bucket, class, root, bands, sharp). A bucket is cut into
-    blocks of about ``BLOCK`` members, and every two blocks meet in one group, so no group
-    grows with the bucket. With ``forest`` a group only gives a spanning forest of its pairs.
+    Members are (h, class, root, bands, sharp). No task holds a bucket (see ``blocks``), and pairs within its largest
+    component are not looked at. With ``forest`` a pair of blocks only gives a spanning forest of its pairs.
     """
-    n = F.ceil(F.col("m") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("class"), n).cast("int")
-    met = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1))).select(
-        "h", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "root", "bands", "sharp")
-    dealt = met.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "own")
+    dealt = in_blocks(members.withColumn("who", F.col("class")), BLOCK)
 
     def pairs(rows: pa.Table) -> tuple[list, list]:
         names = rows.column("class").to_pylist()
         _, roots = np.unique(np.array([x.hex() for x in rows.column("root").to_pylist()]), return_inverse=True)
-        own, i, j = (rows.column(c).to_numpy() for c in ("own", "i", "j"))
+        sides = rows.column("side").to_numpy() if crossed(rows) else np.arange(len(names))
         sketch = pc.list_flatten(rows.column("sharp")).to_numpy().reshape(len(names), -1).view(np.uint64)
         bands = pc.list_flatten(rows.column("bands")).to_numpy().reshape(len(names), -1)
         here = (bands[0] == rows.column("h")[0].as_py()).argmax()
         found = [np.zeros((3, 0), np.int64)]
         for at in range(len(names)):
-            # within a block, or from the first block to the second
             rest = np.arange(at + 1, len(names))
-            rest = rest[(roots[rest] != roots[at]) & ((i[at] == j[at]) | (own[rest] != own[at]))]
+            rest = rest[(roots[rest] != roots[at]) & (sides[rest] != sides[at])]
             rest = rest[(bands[rest] == bands[at]).argmax(1) == here]
             d = np.bitwise_count(sketch[rest] ^ sketch[at]).sum(1, dtype=np.int64)
             near = d <= most
@@ -248,25 +243,10 @@ def across(members: DataFrame, most: int, forest: bool) -> DataFrame:
         return [names[a] for a in x], [names[b] for b in y]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-
-        def emit(rows: pa.Table, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for lo, hi in zip(edges, edges[1:]):
-                if hi - lo > 1:
-                    left, right = pairs(rows.slice(lo, hi - lo))
-                    if left:
-                        yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())],
-                                                         ["x", "y"])
-
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = rows if held is None else pa.concat_tables([held, rows])
-            keys = np.stack([rows.column(c).to_numpy() for c in ("h", "i", "j")])
-            edges = np.concatenate([[0], np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1])
-            yield from emit(rows, edges)  # the last group may go on in the next batch
-            held = rows.slice(edges[-1])
-        if held is not None:
-            yield from emit(held, np.array([0, len(held)]))
+        for rows in runs_of(batches, ["h", "i", "j"]):
+            left, right = pairs(rows)
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["x", "y"])
 
     found = dealt.mapInArrow(run, "x binary, y binary")
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
@@ -306,7 +286,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
     for turn, forest in ((2, True), (3, False)):
         labels = components(links, f"near-components-{turn}")
         known = buckets.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-            "h", "m", "class", F.coalesce("root", "class").alias("root"))
+            "h", "class", F.coalesce("root", "class").alias("root"))
         mixed = known.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
         open_ = materialize(known.join(mixed, "h"), "near-open")
         if sharp is None:  # later there are only fewer of them
@@ -349,12 +329,11 @@ def texts_of(classes: DataFrame, rows: DataFrame, source: DataFrame, name: str,
 
 
 def confirmed(pairs: DataFrame, rows: DataFrame, source: DataFrame, percent: int, name: str) -> DataFrame:
-    """Those of the pairs (a, b) of classes whose full sets, taken again from the texts, are alike enough."""
+    """Of the pairs (a, b) of classes, those whose full sets, taken again from the texts, are alike enough.
+
+    Pairs that others of them connect may be left out (see ``blocks.checked``).
+    """
     pairs = materialize(pairs, f"{name}-pairs")
     named = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
     sets = materialize(of_classes(texts_of(named, rows, source, f"{name}-rows"), "set"), f"{name}-sets")
-    for side in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("class").alias(side), F.col("set").alias(f"set_{side}")), side)
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    return materialize(pairs.where(100 * both >= percent * (F.size("set_a") + F.size("set_b") - both)).select(
-        "a", "b"), name)
+    return materialize(checked(pairs, sets, percent), name)

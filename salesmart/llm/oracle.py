@@ -37,7 +37,7 @@ SELECT doc_id, len(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coal
               lambda s: substr(h, (2 * s[1] + 1)::BIGINT, (2 * (s[2] - s[1]))::BIGINT)), '') END)) AS kept_sha256
 FROM parts LEFT JOIN cuts USING (doc_id)"""
 
-NEAR_DUPLICATES = f"""
+COMPONENTS = f"""
 WITH RECURSIVE lowered AS (
   SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
 parts AS (SELECT doc_id, {WORDS} AS ws FROM lowered),
@@ -48,14 +48,14 @@ classes AS (SELECT min(doc_id) AS c, any_value(s) AS s, len(any_value(s)) AS n F
             GROUP BY list_sort(s)),
 shingles AS (SELECT c, n, unnest(s) AS g FROM classes),
 links AS (SELECT a.c AS x, b.c AS y FROM shingles a JOIN shingles b ON a.g = b.g AND a.c < b.c
-          GROUP BY a.c, b.c HAVING 100 * count(*) >= 75 * (any_value(a.n) + any_value(b.n) - count(*))),
+          GROUP BY a.c, b.c HAVING 100 * count(*) >= %d * (any_value(a.n) + any_value(b.n) - count(*))),
 linked AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach AS (SELECT c AS x, c AS y FROM classes UNION SELECT r.x, b.y FROM reach r JOIN linked b ON r.y = b.x),
 roots AS (SELECT x, min(y) AS component FROM reach GROUP BY x)
-SELECT sets.doc_id, len(sets.s) AS n_shingles, coalesce(component, sets.doc_id) AS component_id,
-       coalesce(component, sets.doc_id) = sets.doc_id AS kept
+SELECT sets.doc_id, len(sets.s) AS n_shingles, coalesce(component, sets.doc_id) AS component_id
 FROM sets LEFT JOIN classes ON list_sort(sets.s) = list_sort(classes.s) AND len(sets.s) > 0
 LEFT JOIN roots ON x = c"""
+NEAR_DUPLICATES = f"SELECT *, component_id = doc_id AS kept FROM ({COMPONENTS % 75})"
 
 # crc32, byte by byte over the hexadecimal digits of a text's UTF-8.
 CRC_TABLE = """crc_table AS (
@@ -98,9 +98,63 @@ chain AS (SELECT word, word AS tip FROM formed
 SELECT word, n, n_near, form, form_n, tip AS root
 FROM formed JOIN (SELECT chain.word, tip FROM chain JOIN formed f ON tip = f.word WHERE f.form IS NULL) USING (word)"""
 
+# States: 0 nothing yet, 1 system, 2 user, 3 assistant. The recursion keeps, for each state, the least cost, then
+# the least edits, and the text that they give.
+CONVERSATION_REPAIR = f"""
+WITH RECURSIVE {CRC_TABLE},
+hashed AS (SELECT *, {crc32('x')} % 20 AS h
+           FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                        hex(encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))) AS x
+                 FROM conversations), crc_table),
+damaged AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+                   CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+                   unnest(CASE WHEN h = 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM hashed WHERE h <> 0),
+marked AS (SELECT *, right(rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS final,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text)) AS i
+           FROM damaged),
+told AS (SELECT *, i > min(i) OVER (PARTITION BY conv_id, role, text) AS again FROM marked),
+lines AS (SELECT *, left(role, 1) AS initial, final = '' AS blank, final <> '' AND again AS twice,
+               NOT again AND final NOT IN ('', '.', '!', '?') AS truncated,
+               lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM told),
+insertions(a, q, c, e, d) AS (VALUES
+  (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''),
+  (0, 2, 3, 'I', chr(10) || 'user:'), (1, 2, 3, 'I', chr(10) || 'user:'), (3, 2, 3, 'I', chr(10) || 'user:'),
+  (2, 3, 3, 'I', chr(10) || 'assistant:'), (0, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+  (1, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+own(q, b, c, e, initial, role) AS (VALUES
+  (0, 0, 4, 'D', NULL, NULL), (1, 1, 4, 'D', NULL, NULL), (2, 2, 4, 'D', NULL, NULL), (3, 3, 4, 'D', NULL, NULL),
+  (0, 1, 0, 'K', 's', NULL), (0, 2, 0, 'K', 'u', NULL), (1, 2, 0, 'K', 'u', NULL), (3, 2, 0, 'K', 'u', NULL),
+  (2, 3, 0, 'K', 'a', NULL),
+  (0, 2, 3, 'R', NULL, 'user'), (1, 2, 3, 'R', NULL, 'user'), (3, 2, 3, 'R', NULL, 'user'), (2, 3, 3, 'R', NULL, 'assistant')),
+best AS (
+  SELECT conv_id, 0::BIGINT AS i, 0 AS state, {{'c': 0::BIGINT, 'e': '', 'd': ''}} AS x FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT p.conv_id, r.i, o.b, min({{'c': p.x.c + j.c + o.c + CASE WHEN o.e <> 'D' AND truncated THEN 3 ELSE 0 END,
+         'e': p.x.e || j.e || o.e,
+         'd': p.x.d || j.d || CASE WHEN o.e = 'D' THEN '' ELSE chr(10) || coalesce(o.role, r.role) || ':' || r.text END}})
+  FROM best p JOIN lines r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1
+  JOIN insertions j ON j.a = p.state
+  JOIN own o ON o.q = j.q AND (o.e = 'D' OR NOT (blank OR twice)) AND (o.e <> 'K' OR o.initial = r.initial)
+  GROUP BY p.conv_id, r.i, o.b),
+counts AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                  sum(blank::INT) AS blank, sum(twice::INT) AS duplicate, sum(truncated::INT) AS truncated,
+                  sum((i > 1 AND before || initial NOT IN ('su', 'ua', 'au'))::INT) AS illegal
+           FROM lines GROUP BY conv_id),
+ends AS (SELECT b.conv_id, min({{'c': x.c + j.c, 'e': x.e || j.e, 'd': x.d || j.d}}) AS x
+         FROM best b LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM b.conv_id
+         JOIN insertions j ON j.a = b.state AND (j.q = 3 OR j.q = 0)
+         WHERE b.i = coalesce(n, 0) GROUP BY b.conv_id)
+SELECT ends.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank,
+       coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+       coalesce(illegal, 0)::BIGINT AS illegal, x.c AS cost, x.e AS audit, sha256(substr(x.d, 2)) AS repaired_sha256
+FROM ends LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ends.conv_id"""
+
 ORACLE = {
     "op5_suffix_dedup": SUFFIX_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op8_near_duplicates": NEAR_DUPLICATES,
     "op11_spelling_variants": SPELLING_VARIANTS,
+    "op12_conversation_repair": CONVERSATION_REPAIR,
+    "op13_jaccard_join": COMPONENTS % 80,
 }

@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from salesmart.llm import (
     bpe,
     brown_lm,
+    conversation_repair,
     fm_dedup,
     llr_quality,
     odd_sketch,
     pivotal_grams,
     ppm_langid,
+    signature_trees,
     simhash_decontam,
     style_tree,
     suffix_dedup,
@@ -81,6 +83,15 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivotal_grams.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.summary(conversations, conversation_repair.damage(conversations))
+
+
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_trees.linked(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_brown_lm": op1_brown_lm,
     "op2_language_id": op2_language_id,
@@ -93,4 +104,6 @@ QUERIES: dict[str, Query] = {
     "op9_decontamination": op9_decontamination,
     "op10_bpe": op10_bpe,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_jaccard_join": op13_jaccard_join,
 }
