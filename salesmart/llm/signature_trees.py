@@ -6,7 +6,9 @@ the union; asked for are the components of the links. Nothing is left to chance:
 every link.
 
 Which sets meet: with all shingles in one order, a set of n shingles has a prefix of
-n - ceil(percent n) + 1, and linked sets share a shingle of their prefixes. The order is by hash, but
+n - ceil(percent n) + 1, and linked sets share a shingle of their prefixes. The first that they share stands in
+the smaller set's first n - ceil(2 percent n / (100 + percent)) + 1, so a shingle that stands so early in no
+set brings none together. The order is by hash, but
 frequent shingles come last, so that passages that many documents share rarely bring documents
 together. Which count as frequent is an estimate (``frequent``, a bounded table): any one order gives
 the same links.
@@ -37,7 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.blocks import crossed, in_blocks, runs_of
@@ -47,8 +49,8 @@ from salesmart.session import materialize
 
 ROUNDS = 2
 SLICE_BYTES = 1 << 19
-BITS_PER_SHINGLE = 16
-LEAST_BITS, MOST_BITS = 256, 16384
+BITS_PER_SHINGLE = 8
+LEAST_BITS, MOST_BITS = 256, 4096
 LEAF = 24
 BLOCK = 2048
 #: Shingles that the order puts last: at most so many, of so many documents at least.
@@ -130,6 +132,11 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def early_size(n: Column, percent: int) -> Column:
+    """Places of a set of ``n`` among which the first shingle shared with a linked set, no smaller, stands."""
+    return n - F.ceil(2 * percent * n / (100 + percent)) + 1
+
+
 # ------------------------------------------------------------------ signatures
 
 def size_class(n: int) -> int:
@@ -346,9 +353,11 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     rows, sets = sketched(source, order, percent)
     # Within the groups a class is known by 8 bytes of its digest; a chance agreement only adds candidates.
     id_ = F.xxhash64("class").alias("id")
-    entries = sets.select(id_, F.explode("prefix").alias("h"))
-    heads = entries.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("h")
-    groups = materialize(entries.join(heads, "h").distinct(), "tree-groups")
+    entries = sets.select(id_, F.posexplode("prefix").alias("at", "h"), "n").select(
+        "id", "h", (F.col("at") < early_size(F.col("n"), percent)).alias("early"))
+    heads = entries.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("early").alias("early")).where(
+        "lo <> hi and early").select("h")
+    groups = materialize(entries.join(heads, "h").select("id", "h").distinct(), "tree-groups")
     signatures = materialize(sets.select(id_, "class", "n", "bits").join(
         groups.select("id").distinct(), "id", "left_semi").dropDuplicates(["class"]), "tree-signatures")
 
