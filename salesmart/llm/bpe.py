@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import byte_slices
 
 LONG_WORD = 200
-REMEMBERED = 400_000
-SLICE_BYTES = 4 << 20
+REMEMBERED_BYTES = 48 << 20  # of pieces, their ids and their decoded text, before a worker starts afresh
+SLICE_BYTES = 1 << 20
 NEVER = 1 << 60
 _LOADED: dict[str, "Bpe"] = {}
 
@@ -88,8 +88,10 @@ class Bpe:
         self.inner = [self.ids[letters[b]] for b in range(256)]
         self.last = [self.ids[letters[b] + self.end] for b in range(256)]
         self.cut = word_pattern()
-        self.found = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        specials = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
+        self.found = re.compile(f"({specials})") if specials else None
         self.pieces: dict[str, tuple[bytes, str]] = {}
+        self.held = 0
 
     def word(self, data: bytes) -> list[int]:
         """The ids of one word's bytes."""
@@ -133,7 +135,7 @@ class Bpe:
 
     def _piece(self, piece: str) -> list[int]:
         out: list[int] = []
-        for part in self.found.split(piece):
+        for part in self.found.split(piece) if self.found else [piece]:
             if part in self.special:
                 out.append(self.special[part])
                 continue
@@ -151,11 +153,14 @@ class Bpe:
             if got is None:
                 got = self._piece(piece)
                 got = known[piece] = np.array(got, "<u4").tobytes(), self.decode(got)
+                # A piece beyond Latin-1 takes up to four bytes a character; 250 is what the objects take.
+                self.held += 4 * len(piece) + len(got[0]) + 4 * len(got[1]) + 250
+                if self.held > REMEMBERED_BYTES:
+                    known.clear()
+                    self.held = 0
             if got[0]:
                 ids.append(got[0])
                 names.append(got[1])
-        if len(known) > REMEMBERED:
-            known.clear()
         return b"".join(ids), " ".join(names)
 
     def decode(self, ids: Sequence[int]) -> str:

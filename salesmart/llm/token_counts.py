@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from salesmart.llm.common import byte_slices
 
 SLICE_BYTES = 4 << 20
-REMEMBERED = 400_000  # pieces a worker remembers before it starts afresh
+REMEMBERED_BYTES = 48 << 20  # of pieces that a worker remembers before it starts afresh
 _BEFORE_SPACE = re.compile(r"(?<=[A-Za-z])(?= [A-Za-z])")
 _COUNTERS: dict[str, Callable[[list[str]], list[int]]] = {}
 
@@ -33,12 +33,16 @@ def _json_counter(path: str) -> Callable[[list[str]], list[int]]:
     tok.no_padding()
     drops_space = not tok.encode(" \t\n ", add_special_tokens=False).ids
     known: dict[str, int] = {}
+    held = 0
 
     def count(texts: list[str]) -> list[int]:
-        if len(known) > REMEMBERED:
+        nonlocal held
+        if held > REMEMBERED_BYTES:  # by what the slice before has added
             known.clear()
+            held = 0
         cut = [re.split(r"[\x20\x09-\x0D]+", t) if drops_space else _BEFORE_SPACE.split(t) for t in texts]
         new = list({p for ps in cut for p in ps if p not in known})
+        held += sum(4 * len(p) + 150 for p in new)
         for piece, enc in zip(new, tok.encode_batch_fast(new, add_special_tokens=False), strict=True):
             known[piece] = len(enc.ids)
         return [sum(map(known.__getitem__, ps)) for ps in cut]
