@@ -19,6 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with as many underscores before it as no column has it (names differ by more than case)."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column name as part of a column expression, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n``; a null id counts as empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n

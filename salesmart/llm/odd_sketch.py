@@ -28,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.blocks import checked, crossed, in_blocks, runs_of
-from salesmart.llm.common import byte_slices, mix64, utf8
+from salesmart.llm.common import byte_slices, free_name, mix64, quoted, utf8
 from salesmart.llm.wordhash import hash_words, runs
 from salesmart.session import materialize
 
@@ -308,13 +308,29 @@ def near_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id",
 
 def without_duplicates(docs: DataFrame, percent: int = 75, id_col: str = "doc_id", text_col: str = "text",
                        broadcast_rows: int = 200_000) -> DataFrame:
-    """The rows of ``docs`` that ``near_duplicates`` keeps, with all their columns."""
+    """One row of ``docs`` for each group of near-duplicates, with all its columns.
+
+    It is a row of the least id. Of rows with the same id and text one stays, that of the least hash of all its columns;
+    different texts under the least id stay both. Texts without words are no duplicates of anything, but of rows with the
+    same id and text one stays as well. Columns may have any name.
+    """
     found = near_duplicates(docs, percent, id_col, text_col, text_hash=True)
-    gone = materialize(found.where(~F.col("kept")).select(
-        F.col("doc_id").alias("__id"), F.col("t").alias("__t")).distinct(), "near-gone")
-    few = gone.count() <= broadcast_rows  # 16 bytes each; beyond, the texts are shuffled
-    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__t"))
-    return docs.join(F.broadcast(gone) if few else gone, same, "left_anti")
+    counted = materialize(found.groupBy("doc_id", "t").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where(
+        ~F.col("kept") | (F.col("n") > 1)), "near-gone")
+    few = counted.count() <= broadcast_rows  # 32 bytes each; beyond, the texts are shuffled
+    listed = F.broadcast(counted) if few else counted
+    names = [F.col(f"d.{quoted(c)}") for c in docs.columns]
+    own_id, own_text = F.col(f"d.{quoted(id_col)}"), F.xxhash64(F.col(f"d.{quoted(text_col)}"))
+
+    def met(kind: str, rows: DataFrame) -> DataFrame:
+        return docs.alias("d").join(rows.alias("g"), own_id.eqNullSafe(F.col("g.doc_id")) & (own_text == F.col("g.t")), kind)
+
+    once = met("left_anti", listed)
+    repeated = met("inner", listed.where("kept"))
+    place = free_name(docs.columns, "place")
+    number = F.row_number().over(Window.partitionBy("g.doc_id", "g.t").orderBy(F.xxhash64(*names)))
+    one = repeated.select(*names, number.alias(place)).where(F.col(place) == 1).drop(place)
+    return once.unionAll(one)
 
 
 def texts_of(classes: DataFrame, rows: DataFrame, source: DataFrame, name: str,

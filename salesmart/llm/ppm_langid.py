@@ -21,15 +21,16 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salesmart.llm.common import byte_slices, utf8
+from salesmart.llm.common import byte_slices, free_name, quoted, utf8
 
 SLICE_BYTES = 1 << 19
 RANGE_BITS = 16  # hash ranges of a language whose bytes are summed, as a power of two
 EVIDENCE = 64  # bytes whose code lengths decide the score of longer texts
+MOST_BYTES = 48 << 20  # of code lengths that a worker remembers; while they are merged it needs about three times as many
 UNKNOWN = "und"
 _TABLES: dict[str, "Table"] = {}
 
@@ -206,8 +207,28 @@ def fit(docs: DataFrame, use: Column, order: int = 3, sample_bytes: int = 1 << 2
     return Model(f"{id(counted)}-{hash(counted['n'].to_numpy().tobytes())}", order, langs, found)
 
 
-def predict(docs: DataFrame, model: Model, most_bytes: int = 192 << 20, id_col: str = "doc_id",
-            text_col: str = "text", carry: bool = False) -> DataFrame:
+def _judged(shared, most_bytes: int, texts: pa.Array) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
+    """(lang_pred, score, bits) of slices of the texts, by a model that a worker sets up once."""
+    known = shared.value
+    if known.langs and known.name not in _TABLES:
+        _TABLES.clear()
+        _TABLES[known.name] = Table(known, most_bytes)
+    trees = _TABLES.get(known.name)
+    names = np.array([*known.langs, UNKNOWN], object)
+    for lo, hi in byte_slices(texts, SLICE_BYTES):
+        part = texts.slice(lo, hi - lo)
+        strings, data = part.to_pylist(), utf8(part)
+        lettered = np.array([bool(known.langs) and any(map(str.isalpha, t or "")) for t in strings], bool)
+        bits = trees.bits(data) if trees else np.zeros((len(data), 1))
+        best = bits.argmin(1)
+        scale = np.minimum(1.0, EVIDENCE / np.maximum([len(d) for d in data], 1))
+        share = 1 / np.exp2(-(bits - bits.min(1, keepdims=True)) * scale[:, None]).sum(1)
+        yield (pa.array(names[np.where(lettered, best, len(known.langs))], pa.string()),
+               pa.array(np.where(lettered, share, 0.0)), pa.array(np.where(lettered, bits.min(1), 0.0)))
+
+
+def predict(docs: DataFrame, model: Model, most_bytes: int = MOST_BYTES, id_col: str = "doc_id",
+            text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, lang_pred, score (0 to 1), bits (the winning code length).
 
     ``score`` is the winner's share of the weights 2 ** -(code length), with the lengths of
@@ -215,46 +236,41 @@ def predict(docs: DataFrame, model: Model, most_bytes: int = 192 << 20, id_col:
     text that is null, empty or without a letter is ``und`` with score 0, as is every text
     where the model knows no language. Ties go to the first language by name. Repeated rows
     are judged each; other columns, whatever their names, are not looked at. ``most_bytes``
-    bounds what a worker remembers of code lengths, not the order or the result. With ``carry``
-    the rows keep all their columns, as the struct ``row``, in place of doc_id.
+    bounds what a worker remembers of code lengths, not the order or the result.
     """
-    kept = F.struct(*(docs[c] for c in docs.columns)).alias("row") if carry else F.col(id_col).alias("doc_id")
-    # The text goes to the workers once: within the row where that is carried.
-    source = docs.select(kept) if carry else docs.select(kept, F.col(text_col).alias("text"))
-    first = source.schema[0]
-    schema = f"{first.name} {first.dataType.simpleString()}, lang_pred string, score double, bits double"
+    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    schema = f"doc_id {source.schema[0].dataType.simpleString()}, lang_pred string, score double, bits double"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        if known.langs and known.name not in _TABLES:
-            _TABLES.clear()
-            _TABLES[known.name] = Table(known, most_bytes)
-        trees = _TABLES.get(known.name)
-        names = np.array([*known.langs, UNKNOWN], object)
         for batch in batches:
-            texts = pc.struct_field(batch.column(0), text_col) if carry else batch.column("text")
-            for lo, hi in byte_slices(texts, SLICE_BYTES):
-                part = texts.slice(lo, hi - lo)
-                strings, data = part.to_pylist(), utf8(part)
-                lettered = np.array([bool(known.langs) and any(map(str.isalpha, t or "")) for t in strings], bool)
-                bits = trees.bits(data) if trees else np.zeros((len(data), 1))
-                best = bits.argmin(1)
-                scale = np.minimum(1.0, EVIDENCE / np.maximum([len(d) for d in data], 1))
-                share = 1 / np.exp2(-(bits - bits.min(1, keepdims=True)) * scale[:, None]).sum(1)
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(first.name).slice(lo, hi - lo),
-                    pa.array(names[np.where(lettered, best, len(known.langs))], pa.string()),
-                    pa.array(np.where(lettered, share, 0.0)), pa.array(np.where(lettered, bits.min(1), 0.0))],
-                    [first.name, "lang_pred", "score", "bits"])
+            lo = 0
+            for columns in _judged(shared, most_bytes, batch.column("text")):
+                n = len(columns[0])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, n), *columns],
+                                                 ["doc_id", "lang_pred", "score", "bits"])
+                lo += n
 
     return source.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: Model, least: float = 0.3, **options) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model, least: float = 0.3, text_col: str = "text",
+                    most_bytes: int = MOST_BYTES) -> DataFrame:
     """The rows whose language is found with a score of ``least`` or more, with all their columns.
 
-    Texts without a letter, empty and null ones go.
+    Texts without a letter, empty and null ones go; repeated rows are judged each; an empty table stays empty.
+    Only the text goes to the workers, beside which the row waits with its other columns, whatever their names.
     """
-    judged = predict(docs, model, carry=True, **options)
-    return judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).select("row.*")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+
+    @F.arrow_udf(kind)
+    def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in parts:
+            found = [pa.StructArray.from_arrays([lang, score], ["lang_pred", "score"])
+                     for lang, score, _ in _judged(shared, most_bytes, texts)]
+            yield pa.concat_arrays(found) if found else pa.array([], pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
+
+    name = free_name(docs.columns, "judged")
+    rows = docs.withColumn(name, judged(F.col(quoted(text_col))))
+    return rows.where((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= least)).drop(name)

@@ -39,6 +39,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from salesmart.llm.common import mix64, utf8
 from salesmart.llm.wordhash import BASE, powers
@@ -263,7 +264,7 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     more = [c for c in docs.columns if c not in ("doc_id", "text")]
-    carried = ["doc_id long", *(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in more)]
+    carried = [T.StructField("doc_id", T.LongType()), *(docs.schema[c] for c in more)]
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), *more).select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text", *more
     ).repartition(blocks, "block")
@@ -334,7 +335,8 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
         "bin int, block int, doc binary, at binary, text binary, seg binary, sizes binary, texts binary")
     spans = segments.groupBy("bin").applyInArrow(
         lambda rows: _answer_segments(rows, matcher), "block int, spans binary")
-    return by_block.cogroup(spans.groupBy("block")).applyInArrow(conclude, ", ".join([*carried, schema]))
+    result = T.StructType([*carried, *T.StructType.fromDDL(schema).fields])
+    return by_block.cogroup(spans.groupBy("block")).applyInArrow(conclude, result)
 
 
 def spans_of(covered: np.ndarray, counts: Sequence[int]) -> list[list[tuple[int, int]]]:

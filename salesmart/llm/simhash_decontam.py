@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import lower_ascii, words_of
+from salesmart.llm.common import lower_ascii, quoted, words_of
 from salesmart.session import materialize
 
 SHINGLE = 5
@@ -192,6 +192,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     Rows with a null id stay unless some row with a null id is contaminated.
     """
     bad = materialize(contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options).select(
-        F.col("doc_id").alias("__bad")).distinct(), "benchmark-bad")
+        "doc_id").distinct(), "benchmark-bad")
     few = bad.count() <= broadcast_rows  # 8 bytes each; beyond, the texts are shuffled
-    return docs.join(F.broadcast(bad) if few else bad, docs[id_col].eqNullSafe(F.col("__bad")), "left_anti")
+    return docs.alias("d").join((F.broadcast(bad) if few else bad).alias("b"),
+                                F.col(f"d.{quoted(id_col)}").eqNullSafe(F.col("b.doc_id")), "left_anti")
