@@ -30,9 +30,10 @@ def nullif_zero(c: Column) -> Column:
 def pct(numerator: Column, denominator: Column) -> Column:
     """``ROUND(n / NULLIF(d, 0) * 100, 2)`` of amounts, half away from zero.
 
-    In whole cents and by integer division: a quotient of wide decimals would lose digits.
+    In whole units of 1e-8 and by integer division, so amounts of up to eight decimals (and below 1e25)
+    give the exact percentage: a quotient of wide decimals would lose digits.
     """
-    n, d = ((F.abs(x) * 100).cast("decimal(38,0)") for x in (numerator, denominator))
+    n, d = ((F.abs(x) * F.lit(10 ** 8)).cast("decimal(38,0)") for x in (numerator, denominator))
     hundredths = F.call_function("div", n * 20000 + d, nullif_zero(d * 2))
     negative = (numerator < 0) != (denominator < 0)
     signed = F.when(negative, -hundredths).otherwise(hundredths)

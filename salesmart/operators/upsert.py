@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,7 @@ def append_new_ids(existing: DataFrame, candidates: DataFrame, natural_key: list
 # Versioned table storage, through the Hadoop FileSystem API so that the same code works on
 # local disk, HDFS or an object store:
 #   <root>/<name>/v-<id>/                 data folders, never changed once committed
+#   <root>/<name>/v-<id>-index/           what a data folder's index holds (optional), under the same commit
 #   <root>/<name>/_commits/<number>.json  which folders, and which partition values of each,
 #                                         make up the table; the highest number holds
 # A commit is one rename to a name that does not exist yet. Whatever stops before it leaves
@@ -59,6 +61,10 @@ MAX_RECORDS_PER_FILE = 5_000_000
 KEPT_COMMITS = 2
 
 
+#: What is kept beside a data folder: made from its rows, with the partition column among its columns.
+Index = Callable[[DataFrame], DataFrame]
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -102,18 +108,34 @@ def current_version(spark: SparkSession, root: str, name: str) -> str | None:
 
 def read_table(spark: SparkSession, root: str, name: str, part_col: str | None = None) -> DataFrame | None:
     """The committed table. Parts replaced in some partitions are read without these: a literal
-    filter on ``part_col``, so that their folders are never listed into the scan."""
+    filter on the partition column, so that their folders are never listed into the scan."""
+    return _union(spark, table_parts(spark, root, name), "path", part_col)
+
+
+def read_index(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    """The index of the committed table; None unless every part has one."""
+    parts = table_parts(spark, root, name)
+    return _union(spark, parts, "index") if all("index" in part for part in parts) else None
+
+
+def _union(spark: SparkSession, parts: list[dict], what: str, part_col: str | None = None) -> DataFrame | None:
     out = None
-    for part in table_parts(spark, root, name):
-        df = spark.read.parquet(part["path"])
+    for part in parts:
+        df, by = spark.read.parquet(part[what]), part.get("by", part_col)
         if part.get("only") is not None:
-            df = df.where(F.col(part_col).isin(part["only"]))
+            df = df.where(F.col(by).isin(part["only"]))
         elif part.get("but"):
-            df = df.where(~F.col(part_col).isin(part["but"]))
+            df = df.where(~F.col(by).isin(part["but"]))
         out = df if out is None else out.unionByName(df)
     return out
 
 
+def last_commit(spark: SparkSession, root: str, name: str) -> dict:
+    """What the writer of the last commit noted with it (see ``notes``); empty where nothing is committed."""
+    parts = table_parts(spark, root, name)
+    return parts[-1].get("notes", {}) if parts else {}
+
+
 def _commit(spark: SparkSession, table: str, parts: list[dict]) -> None:
     numbers = _commit_numbers(spark, table)
     fs, tmp = _fs(spark, f"{table}/_commits/.{uuid.uuid4().hex}")
@@ -132,7 +154,8 @@ def sweep(spark: SparkSession, root: str, name: str, keep: int = KEPT_COMMITS) -
     """Drop commits but the last ``keep``, and data folders that none of these names."""
     table = _table(root, name)
     numbers = _commit_numbers(spark, table)
-    named = {part["path"].rsplit("/", 1)[-1] for n in numbers[-keep:] for part in _read_commit(spark, table, n)}
+    named = {part[what].rsplit("/", 1)[-1] for n in numbers[-keep:] for part in _read_commit(spark, table, n)
+             for what in ("path", "index") if what in part}
     fs, folder = _fs(spark, table)
     for n in numbers[:-keep]:
         fs.delete(_fs(spark, f"{table}/_commits/{n:08d}.json")[1], False)
@@ -156,13 +179,23 @@ def _write_folder(df: DataFrame, table: str, partition_by: list[str] | None, sor
     return folder
 
 
+def _write_index(spark: SparkSession, folder: str, index: Index | None) -> dict:
+    """The index of a written folder, made from its files."""
+    if index is None:
+        return {}
+    index(spark.read.parquet(folder)).write.mode("errorifexists").parquet(f"{folder}-index")
+    return {"index": f"{folder}-index"}
+
+
 def write_version(df: DataFrame, root: str, name: str,
                   partition_by: list[str] | None = None,
                   sort_within: list[str] | None = None,
-                  rebalance_by: list[str] | None = None, made_from: str | None = None) -> str:
+                  rebalance_by: list[str] | None = None, made_from: str | None = None,
+                  index: Index | None = None, notes: dict | None = None) -> str:
     """Write ``df`` as the whole new content of a table and commit it.
 
-    ``made_from`` is kept in the commit: the version of another table that ``df`` goes back to.
+    ``made_from`` is kept in the commit: the version of another table that ``df`` goes back to; so are ``notes``.
+    ``index`` makes the table's index from its rows; it is committed with them.
 
     With ``rebalance_by`` (the partition columns) the rows are shuffled once by those
     columns under a ``REBALANCE`` hint: AQE then merges small partition values into
@@ -172,13 +205,28 @@ def write_version(df: DataFrame, root: str, name: str,
     """
     spark = df.sparkSession
     folder = _write_folder(df, _table(root, name), partition_by, sort_within, rebalance_by)
-    _commit(spark, _table(root, name), [{"path": folder} | ({"made_from": made_from} if made_from else {})])
+    part = {"path": folder} | _write_index(spark, folder, index)
+    if partition_by:
+        part["by"] = partition_by[0]
+    _commit(spark, _table(root, name), [part | _noted(made_from, notes)])
     sweep(spark, root, name)
     return folder
 
 
+def _noted(made_from: str | None, notes: dict | None) -> dict:
+    return ({"made_from": made_from} if made_from else {}) | ({"notes": notes} if notes else {})
+
+
+def note(spark: SparkSession, root: str, name: str, made_from: str | None = None, notes: dict | None = None) -> None:
+    """Commit the same content again under new notes."""
+    parts = table_parts(spark, root, name)
+    _commit(spark, _table(root, name), [*parts[:-1], parts[-1] | _noted(made_from, notes)])
+    sweep(spark, root, name)
+
+
 def replace_partitions(df: DataFrame, root: str, name: str, part_col: str, values: list,
-                       sort_within: list[str] | None = None) -> str:
+                       sort_within: list[str] | None = None, made_from: str | None = None,
+                       index: Index | None = None, notes: dict | None = None) -> str:
     """Make ``df`` the content of the partitions ``values`` of a table; other partitions stay as they are.
 
     The content goes to a new folder with the layout of a full write; the commit takes the
@@ -187,15 +235,21 @@ def replace_partitions(df: DataFrame, root: str, name: str, part_col: str, value
     """
     spark = df.sparkSession
     table = _table(root, name)
-    parts = []
-    for part in table_parts(spark, root, name):
+    parts, before = [], table_parts(spark, root, name)
+    for part in before:
+        kept = {k: v for k, v in part.items() if k in ("path", "index")} | {"by": part_col}
         if part.get("only") is not None:
             left = [v for v in part["only"] if v not in set(values)]
             if left:
-                parts.append({"path": part["path"], "only": left})
+                parts.append(kept | {"only": left})
         else:
-            parts.append({"path": part["path"], "but": sorted({*part.get("but", []), *values})})
+            parts.append(kept | {"but": sorted({*part.get("but", []), *values})})
     folder = _write_folder(df, table, [part_col], sort_within, [part_col])
-    _commit(spark, table, [*parts, {"path": folder, "only": sorted(values)}])
+    fs, path = _fs(spark, folder)
+    if any(st.isDirectory() for st in fs.listStatus(path)):
+        part = {"path": folder, "only": sorted(values)} | _write_index(spark, folder, index)
+    else:  # no rows and so no file that could be read: a part that holds nothing
+        part = {k: v for k, v in before[-1].items() if k in ("path", "index")} | {"only": []}
+    _commit(spark, table, [*parts, part | {"by": part_col} | _noted(made_from, notes)])
     sweep(spark, root, name)
     return folder

@@ -68,6 +68,10 @@ def aggregate_monthly(enriched: DataFrame, orders_unique: bool = True) -> DataFr
     )
 
 
+#: The window partitions whose frames look back over rows, and by how many.
+WINDOW_REACH = [(["PRODUCT_CATEGORY"], 11), (["REGION"], 2), (["PRODUCT_CATEGORY", "REGION", "SALES_CHANNEL"], 1)]
+
+
 def _ordered(partition: list[str]) -> Window:
     return Window.partitionBy(*partition).orderBy(*PERF_TOTAL_ORDER)
 

@@ -45,14 +45,18 @@ def staging_base(raw: DataFrame) -> DataFrame:
     )
 
 
-def build_staging(raw: DataFrame) -> DataFrame:
-    """One row per positive order id with a real order date.
+def staged_rows(raw: DataFrame) -> DataFrame:
+    """Typed rows with a positive order id and a real order date, before dedup.
 
     Both filters run before the dedup: the id filter is on the dedup key, and the kept
     row always carries the latest order date of its id, so an id whose latest date is
     the sentinel is exactly an id whose every row has it. Filtering first shrinks the
     shuffle and gives the same rows as filtering after.
     """
-    base = staging_base(raw).where(
+    return staging_base(raw).where(
         (F.col("order_id") > 0) & (F.col("order_date") > F.lit(SENTINEL_DATE).cast("date")))
-    return first_per_key(base, ["order_id"], dedup_ordering())
+
+
+def build_staging(raw: DataFrame) -> DataFrame:
+    """One row per positive order id with a real order date."""
+    return first_per_key(staged_rows(raw), ["order_id"], dedup_ordering())

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from .. import oracle as O
 from ..plans.model import Model
+from ..sources.testdata import flawed_raw, raw_sales
 
 # Fixed run date for the adapter feed (its orders span 1995-2001); every date-relative
 # query takes it explicitly, so no result depends on the day it runs.
@@ -31,6 +32,19 @@ def model(spark: SparkSession, sf_dir: str) -> Model:
     return _MODELS[key]
 
 
+def flawed(spark: SparkSession, sf_dir: str) -> Model:
+    """The model over the raw table with planted defects (see ``sources.testdata.flawed_raw``)."""
+    key = (id(spark), f"flawed:{sf_dir}")
+    if key not in _MODELS:
+        _MODELS[key] = Model(spark, raw=flawed_raw(raw_sales(spark, sf_dir)), as_of=AS_OF)
+    return _MODELS[key]
+
+
+def layers_of(m: Model) -> dict[str, DataFrame]:
+    return {"raw_sales": m.raw(), "stg_sales": m.stg(), "fact_sales": m.fact(),
+            "sales_performance": m.perf(), **m.dims()}
+
+
 def reset_models() -> None:
     _MODELS.clear()
 
@@ -61,6 +75,7 @@ def alias(name: str, target: str) -> None:
 
 
 W = O.with_model
+X = O.with_flaws
 AS_OF_SQL = f"DATE '{AS_OF}'"
 AS_OF_MINUS_30 = f"CAST({AS_OF_SQL} - INTERVAL 30 DAY AS DATE)"
 

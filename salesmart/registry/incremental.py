@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..functions import dates as D
+from ..operators.bitmaps import distinct_count, id_sets, merged
 from ..operators.upsert import append_new_ids
 from ..plans import dims as DM
 from ..plans import incremental as INC
+from ..plans.fact import PART_COL
 from ..plans.mart import build_performance, enrich
+from ..plans.staging import build_staging
 from ..schemas import PERF_KEY
+from ..session import materialize
 from .core import AS_OF, AS_OF_MINUS_30, AS_OF_SQL, W, model, register
 
 KEY_AS_OF = f"CAST(strftime({AS_OF_SQL}, '%Y%m%d') AS INTEGER)"
@@ -99,6 +103,69 @@ def i1_moved(spark, sf):
     return INC.upsert_fact(before, INC.fact_increment(m.stg(), m.dims(), AS_OF))
 
 
+@register("i1_fact_upsert_by_index", W("SELECT * FROM fact_sales"))
+def i1_index(spark, sf):
+    """The same state; the months that hold the batch's orders come from the sets of ids, rows that the fact has
+    exactly so are left out, and only the months that change are rewritten."""
+    m = model(spark, sf)
+    before, _ = _earlier_state(m)
+    stored = materialize(before.withColumn(PART_COL, INC.month_key()), "fact-stored")
+    batch = INC.fact_increment(m.stg(), m.dims(), AS_OF).withColumn(PART_COL, INC.month_key())
+    index = materialize(INC.month_index(stored), "fact-index")
+    batch = materialize(INC.changed_rows(stored, batch, INC.months_holding(index, batch)), "fact-changed")
+    months = sorted({*INC.months_holding(index, batch), *(r[0] for r in batch.select(PART_COL).distinct().collect())})
+    rewritten = INC.upsert_fact(stored.where(F.col(PART_COL).isin(months)), batch)
+    return stored.where(~F.col(PART_COL).isin(months)).unionByName(rewritten).drop(PART_COL)
+
+
+@register("i2_mart_windows_of_reached_months", W("SELECT * FROM sales_performance"))
+def i2_windows(spark, sf):
+    """The same state; only the months that the change reaches through some window are redone."""
+    m = model(spark, sf)
+    before, dims = _earlier_state(m)
+    stored = materialize(build_performance(enrich(before, dims["dim_product"], dims["dim_geography"], dims["dim_channel"],
+                                                  dims["dim_priority"], dims["dim_date"])).withColumn(
+        INC.PERF_PART, INC.perf_month()), "mart-stored")
+    batch = INC.fact_increment(m.stg(), m.dims(), AS_OF)
+    rows, reached = INC.refresh_months(stored, INC.mart_index(stored), INC.upsert_fact(before, batch), dims,
+                                       INC.touched_months(before, batch))
+    return stored.where(~F.col(INC.PERF_PART).isin(reached)).unionByName(rows.select(*stored.columns)).drop(INC.PERF_PART)
+
+
+@register("t_stg_incremental_merge", W("SELECT * FROM stg_sales"))
+def stg_merge(spark, sf):
+    """Staging of the rows ingested up to the run date, merged with the rows ingested since."""
+    m, buckets = model(spark, sf), 8
+    first = F.col("_ingested_at") <= F.lit(AS_OF).cast("timestamp_ntz")
+    state = materialize(INC.bucketed(build_staging(m.raw().where(first)), buckets, 1), "staging-state")
+    rows, touched = INC.merge_staging(state, m.raw().where(~first), buckets, 2)
+    return state.where(~F.col(INC.BUCKET).isin(touched)).unionByName(rows).drop(INC.BUCKET, INC.VERSION)
+
+
+# Orders span lines of several products and places: the first digits of a line's id name its order.
+LEVELS = {"all": [], "region": ["REGION"], "country": ["REGION", "COUNTRY"], "category": ["PRODUCT_CATEGORY"],
+          "year": ["YEAR"], "month": ["YEAR", "MONTH"], "category_month": ["PRODUCT_CATEGORY", "YEAR", "MONTH"]}
+LEVEL_KEYS = ["REGION", "COUNTRY", "PRODUCT_CATEGORY", "YEAR", "MONTH"]
+
+
+@register("a2_distinct_orders_by_level", W(" UNION ALL ".join(
+    f"SELECT '{level}' AS LEVEL, {', '.join(c if c in keys else f'NULL AS {c}' for c in LEVEL_KEYS)}, "
+    f"count(DISTINCT ORDER_ID // 10) AS ORDERS FROM enriched {'GROUP BY ' + ', '.join(keys) if keys else ''}"
+    for level, keys in LEVELS.items())))
+def a2_levels(spark, sf):
+    """COUNT(DISTINCT order) at every drill level from one table of exact sets, rolled up by OR."""
+    m = model(spark, sf)
+    rows = m.enriched().withColumn("ORDER_NO", F.floor(F.col("ORDER_ID") / 10).cast("long"))
+    sets = materialize(id_sets(rows, LEVEL_KEYS, "ORDER_NO"), "order-sets")
+    out = None
+    for level, keys in LEVELS.items():
+        part = distinct_count(merged(sets, keys), keys, "ORDERS").select(
+            F.lit(level).alias("LEVEL"), *(F.col(c) if c in keys else F.lit(None).cast(sets.schema[c].dataType).alias(c)
+                                           for c in LEVEL_KEYS), "ORDERS")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 SAME_KEY = " AND ".join(f"s.{c} = p.{c}" for c in PERF_KEY)
 
 

@@ -16,11 +16,11 @@ from ..plans import dims as DM
 from ..plans import measures as MS
 from ..plans.fact import recent_slice
 from ..plans.mart import aggregate_monthly, calendar_rolling
-from ..plans.model import Model
 from ..plans.staging import build_staging, dedup_ordering, staging_base
 from ..schemas import PERF_KEY
-from .core import (AS_OF, AS_OF_MINUS_30, AS_OF_SQL, ORACLE, W, _cnt_sql, _count_if, alias,
-                   model, register)
+from ..sources.testdata import flawed_layers
+from .core import (AS_OF, AS_OF_MINUS_30, AS_OF_SQL, ORACLE, W, X, _cnt_sql, _count_if, alias,
+                   flawed, layers_of, model, register)
 
 
 # =======================================================================================
@@ -127,7 +127,7 @@ def p3(spark, sf):
     return staging_base(model(spark, sf).raw())
 
 
-@register("p4_defaulted_values", W(f"""
+@register("p4_defaulted_values", X(f"""
 SELECT {_cnt_sql("region = ''")} AS EMPTY_REGION, {_cnt_sql("country = ''")} AS EMPTY_COUNTRY,
        {_cnt_sql("item_type = ''")} AS EMPTY_ITEM_TYPE,
        {_cnt_sql(f"order_date = {O.SENTINEL}")} AS SENTINEL_ORDER_DATE,
@@ -136,7 +136,7 @@ SELECT {_cnt_sql("region = ''")} AS EMPTY_REGION, {_cnt_sql("country = ''")} AS
        {_cnt_sql("unit_price = 0")} AS ZERO_UNIT_PRICE
 FROM stg_base"""))
 def p4(spark, sf):
-    b = staging_base(model(spark, sf).raw())
+    b = staging_base(flawed(spark, sf).raw())
     sentinel = F.lit(D.SENTINEL_DATE).cast("date")
     return b.agg(_count_if(F.col("region") == "").alias("EMPTY_REGION"),
                  _count_if(F.col("country") == "").alias("EMPTY_COUNTRY"),
@@ -165,7 +165,7 @@ def p5(spark, sf):
                  _count_if(first & pos & dated).alias("STAGED_ROWS"))
 
 
-@register("p6_missing_natural_keys", W(f"""
+@register("p6_missing_natural_keys", X(f"""
 SELECT {_cnt_sql("region IS NULL OR region = ''")} AS MISSING_REGION,
        {_cnt_sql("country IS NULL OR country = ''")} AS MISSING_COUNTRY,
        {_cnt_sql("item_type IS NULL OR item_type = ''")} AS MISSING_ITEM_TYPE,
@@ -173,7 +173,7 @@ SELECT {_cnt_sql("region IS NULL OR region = ''")} AS MISSING_REGION,
        {_cnt_sql("order_priority IS NULL OR order_priority = ''")} AS MISSING_ORDER_PRIORITY
 FROM stg_sales"""))
 def p6(spark, sf):
-    s = model(spark, sf).stg()
+    s = flawed(spark, sf).stg()
     miss = lambda c: F.col(c).isNull() | (F.col(c) == "")
     return s.agg(*[_count_if(miss(c)).alias(f"MISSING_{c.upper()}")
                    for c in ["region", "country", "item_type", "sales_channel", "order_priority"]])
@@ -203,20 +203,20 @@ def p8(spark, sf):
             .agg(F.count(F.lit(1)).alias("ORDERS"), total("TOTAL_REVENUE").alias("TOTAL_REVENUE")))
 
 
-@register("p9_orders_dropped_by_star_join", W("""
+@register("p9_orders_dropped_by_star_join", X("""
 SELECT COUNT(*) AS DROPPED_ORDERS FROM stg_sales s
 WHERE NOT EXISTS (SELECT 1 FROM fact_sales f WHERE f.ORDER_ID = s.order_id)"""))
 def p9(spark, sf):
-    m = model(spark, sf)
+    m = flawed(spark, sf)
     dropped = m.stg().join(m.fact().select(F.col("ORDER_ID").alias("order_id")), "order_id", "left_anti")
     return dropped.agg(F.count(F.lit(1)).alias("DROPPED_ORDERS"))
 
 
-@register("p10_raw_totals_inconsistent", W(f"""
+@register("p10_raw_totals_inconsistent", X(f"""
 SELECT {_cnt_sql(O.identity_broken_sql())} AS FAILING_ROWS, CAST(COUNT(*) AS BIGINT) AS CHECKED_ROWS
 FROM raw_sales"""))
 def p10(spark, sf):
-    raw = model(spark, sf).raw()
+    raw = flawed(spark, sf).raw()
     u = F.col("UNITS_SOLD")
     ok = ((F.round("TOTAL_REVENUE", 2) == F.round(u * F.col("UNIT_PRICE"), 2))
           & (F.round("TOTAL_COST", 2) == F.round(u * F.col("UNIT_COST"), 2))
@@ -239,13 +239,13 @@ def p12(spark, sf):
 
 @register("p13_dates_above_watermark")
 def p13(spark, sf):
-    s = model(spark, sf).stg()
+    s = flawed(spark, sf).stg()
     first = s.where(F.col("order_date") <= D.as_of_date(AS_OF))
     existing = DM.date_spine(first).select(F.col("date_col").alias("FULL_DATE"))
     return above_watermark(DM.date_spine(s), "date_col", existing, "FULL_DATE")
 
 
-ORACLE["p13_dates_above_watermark"] = W(f"""
+ORACLE["p13_dates_above_watermark"] = X(f"""
 SELECT date_col FROM date_spine
 WHERE date_col > (SELECT COALESCE(MAX(FULL_DATE), DATE '1900-01-01') FROM existing_dates)""",
     extra_ctes=f"""
@@ -304,33 +304,28 @@ def j5(spark, sf):
     return model(spark, sf).enriched()
 
 
-@register("j6_orphan_product_fk", W("""
-SELECT COUNT(*) AS ORPHANS FROM fact_sales f LEFT JOIN dim_product p ON f.PRODUCT_ID = p.PRODUCT_ID
+@register("j6_orphan_product_fk", X("""
+SELECT COUNT(*) AS ORPHANS FROM x_fact_sales f LEFT JOIN dim_product p ON f.PRODUCT_ID = p.PRODUCT_ID
 WHERE p.PRODUCT_ID IS NULL"""))
 def j6(spark, sf):
-    m = model(spark, sf)
-    f = m.fact()
+    m = flawed(spark, sf)
+    f = flawed_layers(layers_of(m))["fact_sales"]
     orphans = anti_join(f, m.dim_product(), "PRODUCT_ID", "PRODUCT_ID").select("PRODUCT_ID") \
         .unionByName(f.where(F.col("PRODUCT_ID").isNull()).select("PRODUCT_ID"))
     return orphans.agg(F.count(F.lit(1)).alias("ORPHANS"))
 
 
-def _layers(m: Model) -> dict[str, DataFrame]:
-    return {"raw_sales": m.raw(), "stg_sales": m.stg(), "fact_sales": m.fact(),
-            "sales_performance": m.perf(), **m.dims()}
-
-
 REL_SQL = " UNION ALL ".join(
     f"""SELECT '{t.name}' AS TEST_NAME, '{t.model}' AS MODEL, '{t.column}' AS COLUMN_NAME,
        'relationships' AS KIND, CAST(COUNT(*) AS BIGINT) AS FAILURES
-FROM {t.model} c WHERE c.{t.column} IS NOT NULL
-  AND NOT EXISTS (SELECT 1 FROM {t.parent} p WHERE p.{t.parent_column} = c.{t.column})"""
+FROM x_{t.model} c WHERE c.{t.column} IS NOT NULL
+  AND NOT EXISTS (SELECT 1 FROM x_{t.parent} p WHERE p.{t.parent_column} = c.{t.column})"""
     for t in Q.DECLARED_TESTS if t.kind == "relationships")
 
 
-@register("j7_relationship_tests", W(f"SELECT *, FAILURES = 0 AS PASSED FROM ({REL_SQL}) r"))
+@register("j7_relationship_tests", X(f"SELECT *, FAILURES = 0 AS PASSED FROM ({REL_SQL}) r"))
 def j7(spark, sf):
-    return Q.run_data_tests(_layers(model(spark, sf)), kinds={"relationships"})
+    return Q.run_data_tests(flawed_layers(layers_of(flawed(spark, sf))), kinds={"relationships"})
 
 
 # =======================================================================================
@@ -407,9 +402,9 @@ RAW_CHECKED = ["ORDER_ID", "REGION", "COUNTRY", "ITEM_TYPE", "SALES_CHANNEL", "O
 A8_SQL = "SELECT " + ", ".join(f"{_cnt_sql(f'{c} IS NULL')} AS NULL_{c}" for c in RAW_CHECKED) + " FROM raw_sales"
 
 
-@register("a8_conditional_null_counts", W(A8_SQL))
+@register("a8_conditional_null_counts", X(A8_SQL))
 def a8(spark, sf):
-    return model(spark, sf).raw().agg(*[_count_if(F.col(c).isNull()).alias(f"NULL_{c}") for c in RAW_CHECKED])
+    return flawed(spark, sf).raw().agg(*[_count_if(F.col(c).isNull()).alias(f"NULL_{c}") for c in RAW_CHECKED])
 
 
 @register("a9_scalar_max", W("""

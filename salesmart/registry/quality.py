@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from .. import oracle as O
 from ..operators import quality as Q
-from .core import AS_OF, AS_OF_SQL, W, alias, model, register
-from .layers import _layers
+from ..sources.testdata import flawed_layers
+from .core import AS_OF, AS_OF_SQL, W, X, alias, flawed, layers_of, model, register
 
 _GATE_VALUES = [
     ("row_count", "row_count = 0"),
@@ -35,8 +35,8 @@ gate_rows AS (
     for i, (g, (col, fail)) in enumerate(zip(Q.GATES, _GATE_VALUES))) + "\n)"
 
 
-def _gate_sql(where: str = "") -> str:
-    return W(f"SELECT * FROM gate_rows {where}", extra_ctes=GATE_METRICS_SQL)
+def _gate_sql(where: str = "", over=W) -> str:
+    return over(f"SELECT * FROM gate_rows {where}", extra_ctes=GATE_METRICS_SQL)
 
 
 @register("q7_source_gates", _gate_sql())
@@ -46,49 +46,53 @@ def q7(spark, sf):
 
 def _single_gate(gate_id: int):
     def run(spark, sf):
-        return Q.gate_results(model(spark, sf).raw(), AS_OF).where(F.col("GATE_ID") == gate_id)
+        return Q.gate_results(flawed(spark, sf).raw(), AS_OF).where(F.col("GATE_ID") == gate_id)
     return run
 
 
 for _i, _name in enumerate(["q1_gate_row_count", "q2_gate_null_order_id_rate",
                             "q3_gate_null_order_date_rate", "q4_gate_no_future_orders",
                             "q5_gate_no_negative_lead_time", "q6_gate_positive_units"]):
-    register(_name, _gate_sql(f"WHERE GATE_ID = {_i + 1}"))(_single_gate(_i + 1))
+    register(_name, _gate_sql(f"WHERE GATE_ID = {_i + 1}", X))(_single_gate(_i + 1))
 
 
 def _not_null_sql() -> str:
     parts = [f"""SELECT '{t.name}' AS TEST_NAME, '{t.model}' AS MODEL, '{t.column}' AS COLUMN_NAME,
        'not_null' AS KIND, CAST(COUNT(*) FILTER (WHERE {t.column} IS NULL) AS BIGINT) AS FAILURES
-FROM {t.model}""" for t in Q.DECLARED_TESTS if t.kind == "not_null"]
+FROM x_{t.model}""" for t in Q.DECLARED_TESTS if t.kind == "not_null"]
     return "SELECT *, FAILURES = 0 AS PASSED FROM (" + " UNION ALL ".join(parts) + ") t"
 
 
 def _unique_sql() -> str:
     parts = [f"""SELECT '{t.name}' AS TEST_NAME, '{t.model}' AS MODEL, '{t.column}' AS COLUMN_NAME,
-       'unique' AS KIND, (SELECT CAST(COUNT(*) AS BIGINT) FROM (SELECT {t.column} FROM {t.model}
+       'unique' AS KIND, (SELECT CAST(COUNT(*) AS BIGINT) FROM (SELECT {t.column} FROM x_{t.model}
        WHERE {t.column} IS NOT NULL GROUP BY {t.column} HAVING COUNT(*) > 1) d) AS FAILURES"""
              for t in Q.DECLARED_TESTS if t.kind == "unique"]
     return "SELECT *, FAILURES = 0 AS PASSED FROM (" + " UNION ALL ".join(parts) + ") t"
 
 
-@register("q8_not_null_tests", W(_not_null_sql()))
+def _flawed_layers(spark, sf):
+    return flawed_layers(layers_of(flawed(spark, sf)))
+
+
+@register("q8_not_null_tests", X(_not_null_sql()))
 def q8(spark, sf):
-    return Q.run_data_tests(_layers(model(spark, sf)), kinds={"not_null"})
+    return Q.run_data_tests(_flawed_layers(spark, sf), kinds={"not_null"})
 
 
-@register("q9_unique_tests", W(_unique_sql()))
+@register("q9_unique_tests", X(_unique_sql()))
 def q9(spark, sf):
-    return Q.run_data_tests(_layers(model(spark, sf)), kinds={"unique"})
+    return Q.run_data_tests(_flawed_layers(spark, sf), kinds={"unique"})
 
 
 alias("q10_relationship_tests", "j7_relationship_tests")
 
 
-@register("q11_financial_integrity", W(f"""
+@register("q11_financial_integrity", X(f"""
 SELECT ORDER_ID, UNITS_SOLD, UNIT_PRICE, UNIT_COST, TOTAL_REVENUE, TOTAL_COST, TOTAL_PROFIT
-FROM fact_sales WHERE {O.identity_broken_sql()}"""))
+FROM x_fact_sales WHERE {O.identity_broken_sql()}"""))
 def q11(spark, sf):
-    return Q.integrity_failures(model(spark, sf).fact())
+    return Q.integrity_failures(_flawed_layers(spark, sf)["fact_sales"])
 
 
 def _layer_checks_sql() -> str:
@@ -106,7 +110,7 @@ LAYER_CHECKS_SQL = _layer_checks_sql()
 
 @register("q13_layer_checks", W(LAYER_CHECKS_SQL))
 def q13(spark, sf):
-    return Q.layer_checks(spark, _layers(model(spark, sf)))
+    return Q.layer_checks(spark, layers_of(model(spark, sf)))
 
 
 @register("q14_consumption_not_empty", W("""

@@ -53,6 +53,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     if master and master.startswith("local"):
         builder = builder.config("spark.driver.memory", "16g")
+        # A running session can't be given this setting any more, so it is named here.
+        if not launch.get("spark.checkpoint.dir", None):
+            builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="salesmart-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
@@ -70,17 +73,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     session may fall back to a fresh folder under the system temp dir; on a cluster a
     machine-local folder would be lost with its executor, so an unset value is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not _is_local(spark):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="salesmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root and not _is_local(spark):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(root or tempfile.mkdtemp(prefix="salesmart-ckpt-"))
+    return (root or context.getCheckpointDir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -21,14 +21,13 @@ import logging
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.dates import strip_ws, with_parsed_dates
 from ..schemas import AMOUNT, CSV_HEADERS, HEADER_TO_RAW, PRICE, RAW_COLUMNS, RAW_MAX_LENGTH
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -115,7 +114,7 @@ def _field_count(line: Column) -> Column:
     return F.size(F.split(unquoted, ",", -1))
 
 
-def coerce_feed(df: DataFrame, header: list[str], source_for_all: bool = False) -> DataFrame:
+def coerce_feed(df: DataFrame, header: list[str], source_for_all: bool = False, keep_line: bool = False) -> DataFrame:
     """Typed raw columns plus ``_reject_reason`` (NULL when the row is accepted).
 
     ``_source`` holds the original fields of a rejected row (of every row with
@@ -159,17 +158,20 @@ def coerce_feed(df: DataFrame, header: list[str], source_for_all: bool = False)
     if not source_for_all:
         source = F.when(reason.isNotNull(), source)
     return with_parsed_dates(df, date_texts).select(
-        *[values[c].alias(c) for c in RAW_COLUMNS], reason.alias("_reject_reason"), source.alias("_source"))
+        *[values[c].alias(c) for c in RAW_COLUMNS], reason.alias("_reject_reason"), source.alias("_source"),
+        *([F.when(reason.isNotNull(), F.col(CORRUPT)).alias("_line")] if keep_line else []))
 
 
-def read_coerced(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, list[str]]:
+def read_coerced(spark: SparkSession, path: str, multi_line: bool = False,
+                 keep_line: bool = False) -> tuple[DataFrame, list[str]]:
     """The coerced rows of all files of a feed, each read by its own header, and the headers that
-    some file lacks. ``_source`` is the source fields of a rejected row as JSON, since files may differ in them."""
+    some file lacks. ``_source`` is the source fields of a rejected row as JSON, since files may differ in them;
+    with ``keep_line`` there is ``_line``, the line of a rejected row that has not as many fields as its header."""
     out, missing = None, set()
     for files in header_groups(spark, path):
         df, header = read_feed(spark, files, multi_line)
         missing |= {h for h in CSV_HEADERS if h not in header}
-        rows = coerce_feed(df, header).withColumn("_source", F.to_json("_source"))
+        rows = coerce_feed(df, header, keep_line=keep_line).withColumn("_source", F.to_json("_source"))
         out = rows if out is None else out.unionByName(rows)
     if out is None:
         raise FileNotFoundError(f"no feed file in {path}")
@@ -215,9 +217,9 @@ def load_csv(spark: SparkSession, path: str, table_path: str, truncate: bool = F
     """Append (or, with ``truncate``, replace) ``raw.sales`` from a CSV feed.
 
     Missing input ends the job with an error before anything is written. The feed is
-    parsed once: the coerced rows are persisted on executor disk (a lost executor's
-    blocks are recomputed from the file), then the accepted and the rejected rows are
-    written from that copy. The audit takes no further pass: loaded rows are counted
+    parsed once: the coerced rows are written to the shared scratch folder by outcome, and the accepted and
+    the rejected rows are taken from there (``sources.loads`` has one write and a ledger besides, and is what
+    the daily job reads). The audit takes no further pass: loaded rows are counted
     while they are written, skipped rows by reason from the written rejected rows.
     Replacing writes the new content to a sibling folder that is renamed into place only
     after its write has committed, so a failed load never leaves an emptied table behind.
@@ -227,19 +229,16 @@ def load_csv(spark: SparkSession, path: str, table_path: str, truncate: bool = F
     if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p):
         raise FileNotFoundError(path)
     rows, missing = read_coerced(spark, path, multi_line)
-    rows = rows.persist(StorageLevel.DISK_ONLY)
+    rows = materialize(rows, "ingest-coerced")
     dest = f"{table_path.rstrip('/')}.loading-{uuid.uuid4().hex[:12]}" if truncate else table_path
-    try:
-        accepted, rejected = _outcomes(rows)
-        loaded_rows = Observation("loaded_rows")
-        # Rejects first: if their write fails nothing has been appended yet, and the load may be run again.
-        folder = rejected_path or scratch_path(spark, "ingest-rejected")
-        rejected_target = f"{folder.rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
-        rejected.write.mode("errorifexists").parquet(rejected_target)
-        (accepted.observe(loaded_rows, F.count(F.lit(1)).alias("rows"))
-         .write.mode("errorifexists" if truncate else "append").parquet(dest))
-    finally:
-        rows.unpersist()
+    accepted, rejected = _outcomes(rows)
+    loaded_rows = Observation("loaded_rows")
+    # Rejects first: if their write fails nothing has been appended yet, and the load may be run again.
+    folder = rejected_path or scratch_path(spark, "ingest-rejected")
+    rejected_target = f"{folder.rstrip('/')}/load-{uuid.uuid4().hex[:12]}"
+    rejected.write.mode("errorifexists").parquet(rejected_target)
+    (accepted.observe(loaded_rows, F.count(F.lit(1)).alias("rows"))
+     .write.mode("errorifexists" if truncate else "append").parquet(dest))
     if truncate:
         _swap_in(spark, dest, table_path)
     # the audit: loaded rows observed during their write; skipped rows by reason from the

@@ -134,3 +134,70 @@ def write_feed(raw: DataFrame, path: str, drop_headers: tuple[str, ...] = ()) ->
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(path))
     return path
+
+
+# ---------------------------------------------------------------------------------------
+# Defects planted in the tables, so that checks have something to find.
+# ---------------------------------------------------------------------------------------
+
+FLAW_EVERY = 211
+# What is planted, by the remainder of the order id.
+RAW_FLAWS = {
+    "REGION": {3: None}, "COUNTRY": {5: ""}, "ITEM_TYPE": {7: "  "}, "SALES_CHANNEL": {11: None}, "ORDER_PRIORITY": {13: None},
+    "UNITS_SOLD": {23: None, 29: -1, 31: 0}, "UNIT_PRICE": {37: None}, "UNIT_COST": {41: None}, "ORDER_ID": {43: None}}
+RAW_DATE_FLAWS = {"ORDER_DATE": 17, "SHIP_DATE": 19}   # NULL
+RAW_LATER = 47                                         # both dates ten years (3,653 days) later
+RAW_WRONG_TOTAL = 53                                   # revenue one too high
+STAGED_NULLS = {"order_id": 2, "order_date": 4, "units_sold": 6, "unit_price": 8, "unit_cost": 10}
+STAGED_TWICE = 12
+FACT_NULLS = {"ORDER_ID": 2, "ORDER_DATE_KEY": 4, "SHIP_DATE_KEY": 6, "PRODUCT_ID": 8, "GEOGRAPHY_ID": 10, "CHANNEL_ID": 12,
+              "PRIORITY_ID": 14, "UNITS_SOLD": 16, "UNIT_PRICE": 18, "UNIT_COST": 20}
+FACT_ORPHANS = {"PRODUCT_ID": 22, "GEOGRAPHY_ID": 24, "CHANNEL_ID": 26, "PRIORITY_ID": 28, "ORDER_DATE_KEY": 30, "SHIP_DATE_KEY": 32}
+FACT_WRONG = {"TOTAL_REVENUE": 34, "TOTAL_COST": 36, "TOTAL_PROFIT": 38}
+FACT_TWICE = 40
+
+
+def _replaced(df: DataFrame, key: str, flaws: dict[str, dict[int, Column]]) -> DataFrame:
+    rest = F.pmod(F.col(key), F.lit(FLAW_EVERY))
+    columns = []
+    for c in df.columns:
+        value = F.col(c)
+        for at, flaw in flaws.get(c, {}).items():
+            value = F.when(rest == at, flaw).otherwise(value)
+        columns.append(value.cast(df.schema[c].dataType).alias(c))
+    return df.select(*columns)
+
+
+def flawed_raw(raw: DataFrame) -> DataFrame:
+    """The raw table with missing and blank values, broken totals and orders far ahead, a few of each by rule."""
+    flaws = {c: {at: F.lit(v) for at, v in by.items()} for c, by in RAW_FLAWS.items()}
+    flaws |= {c: {at: F.lit(None), RAW_LATER: F.date_add(c, 3653)} for c, at in RAW_DATE_FLAWS.items()}
+    flaws["TOTAL_REVENUE"] = {RAW_WRONG_TOTAL: F.col("TOTAL_REVENUE") + 1}
+    return _replaced(raw, "ORDER_ID", flaws)
+
+
+def flawed_layers(layers: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The layers with NULLs, orphans, repeated ids and broken totals, which the models themselves never let through."""
+    stg, fact = layers["stg_sales"], layers["fact_sales"]
+    rest = lambda key: F.pmod(F.col(key), F.lit(FLAW_EVERY))
+    twice = stg.unionByName(stg.where(rest("order_id") == STAGED_TWICE))
+    out = dict(layers, stg_sales=_replaced(twice, "order_id", {c: {at: F.lit(None)} for c, at in STAGED_NULLS.items()}))
+    flaws: dict[str, dict[int, Column]] = {}
+    for c, at in FACT_NULLS.items():
+        flaws.setdefault(c, {})[at] = F.lit(None)
+    for c, at in FACT_ORPHANS.items():
+        flaws.setdefault(c, {})[at] = F.lit(-1)
+    for c, at in FACT_WRONG.items():
+        flaws.setdefault(c, {})[at] = F.col(c) + 1
+    out["fact_sales"] = _replaced(fact.unionByName(fact.where(rest("ORDER_ID") == FACT_TWICE)), "ORDER_ID", flaws)
+    for name, key in (("dim_geography", "GEOGRAPHY_ID"), ("dim_product", "PRODUCT_ID"), ("dim_channel", "CHANNEL_ID"),
+                      ("dim_priority", "PRIORITY_ID")):
+        first = layers[name].where(F.col(key) == 1)
+        missing = first.withColumn(key, F.lit(None).cast(layers[name].schema[key].dataType))
+        out[name] = layers[name].unionByName(first).unionByName(missing)
+    dates = layers["dim_date"]
+    day = lambda month: (F.col("MONTH") == month) & (F.col("DAY") == 1)
+    out["dim_date"] = dates.unionByName(dates.where(day(1))).select(*(
+        F.when(~day(month), F.col(c)).alias(c) if month else F.col(c)
+        for c, month in ((c, {"DATE_KEY": 2, "FULL_DATE": 3}.get(c, 0)) for c in dates.columns)))
+    return out

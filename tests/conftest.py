@@ -14,10 +14,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from salesmart.session import get_spark
-    s = get_spark("local[4]", 4, app_name="salesmart-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="salesmart-test-ckpt-"))
-    yield s
+    yield get_spark("local[4]", 4, app_name="salesmart-tests")
 
 
 @pytest.fixture()

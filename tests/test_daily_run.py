@@ -119,7 +119,7 @@ def test_late_and_moved_orders_and_a_stopped_run(spark, tmp_dir, monkeypatch):
     # a late order of January; order 2 moves to May and leaves January
     second = (_order(source, 1, "2024-01-10", "2024-01-12", 2).unionByName(_order(source, 2, "2024-05-20", "2024-05-25", 3))
               .unionByName(_order(source, 3, "2024-01-20", "2024-05-30", 5)))
-    monkeypatch.setattr(K.INC, "refresh_mart", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    monkeypatch.setattr(K.INC, "refresh_months", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
     with pytest.raises(OSError, match="stopped"):
         run_daily(spark, second, tmp_dir, as_of="2024-06-02", **run)
     monkeypatch.undo()

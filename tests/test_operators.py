@@ -251,3 +251,25 @@ def test_failing_rows_are_what_the_tests_count(spark):
     assert failed == {"unique_stg_sales_order_id": 1, "not_null_fact_sales_UNIT_COST": 1,
                       "relationships_fact_sales_PRODUCT_ID__dim_product_PRODUCT_ID": 1}
     assert all(counted[name] == n for name, n in failed.items())
+
+
+def test_pct_is_exact_at_any_scale(spark):
+    rows = [("0.004", "0.006", "66.67"), ("-2.345", "1.00", "-234.50"), ("0.00000125", "1", "0.00"), ("0.00005", "1", "0.01"),
+            ("123456789012.34", "123456789012.33", "100.00"), ("1", "-3", "-33.33"), ("1", "0", None), (None, "1", None)]
+    df = spark.createDataFrame(rows, "a string, b string, want string").select(
+        pct(F.col("a").cast("decimal(30,8)"), F.col("b").cast("decimal(30,8)")).alias("y"), "want")
+    got = df.collect()
+    assert [None if r.y is None else str(r.y) for r in got] == [r.want for r in got]
+
+
+def test_session_starts_without_site_defaults(tmp_dir):
+    """Where nothing names the shared folder a local session makes its own."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("from salesmart.session import get_spark, materialize; s = get_spark('local[1]');"
+            "print('ROWS', materialize(s.range(3), 'x').count(), s.sparkContext.getCheckpointDir() is not None)")
+    env = {**os.environ, "SPARK_CONF_DIR": tmp_dir, "PYTHONPATH": root}
+    done = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=180)
+    assert "ROWS 3 True" in done.stdout, done.stderr[-2000:]

@@ -21,8 +21,8 @@ SAMPLE = [
 
 @pytest.fixture(scope="module")
 def registry():
-    import __spark_entry__ as entry
-    return entry.queries(), entry.oracle_sql()
+    from salesmart.registry import ORACLE, QUERIES
+    return QUERIES, ORACLE
 
 
 @pytest.fixture(scope="module")
