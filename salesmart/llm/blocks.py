@@ -83,7 +83,8 @@ def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         return F.pmod(F.xxhash64(c, F.lit(k)), F.lit(k)).cast("int")
 
     dealt = pairs.select("a", "b", block("a").alias("i"), block("b").alias("j"))
-    needed = dealt.select("i", "j", F.explode(F.array("a", "b")).alias("class")).distinct()
+    needed = dealt.select("i", "j", F.col("a").alias("class")).distinct().unionByName(
+        dealt.select("i", "j", F.col("b").alias("class")).distinct()).distinct()
     with_sets = needed.join(sets, "class").select("i", "j", F.col("class").alias("a"), F.lit(None).cast("binary").alias("b"), "set")
     both = with_sets.unionByName(dealt.withColumn("set", F.lit(None).cast("array<long>")))
     rows = both.repartition("i", "j").sortWithinPartitions("i", "j", F.col("b").isNotNull()).select("i", "j", "a", "b", "set")

@@ -166,12 +166,13 @@ def test_odd_sketch_estimates(k):
     assert (d <= odd_sketch.most_different(0.75, k)).all()
 
 
-def test_components(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_components(spark, few):
     edges = [(f"n{i:03}", f"n{i + 1:03}") for i in range(0, 60) if i % 20 != 19] + [("n005", "n005")]
     pairs = spark.createDataFrame(edges, "a string, b string")
-    got = {r.node: r.root for r in odd_sketch.components(pairs, "test-components").collect()}
+    got = {r.node: r.root for r in odd_sketch.components(pairs, "test-components", few).collect()}
     assert got == {f"n{i:03}": f"n{i // 20 * 20:03}" for i in range(60)}
-    assert odd_sketch.components(pairs.limit(0), "test-none").count() == 0
+    assert odd_sketch.components(pairs.limit(0), "test-none", few).count() == 0
 
 
 def test_spanning_forest_takes_the_most_similar():
