@@ -50,7 +50,7 @@ def append_new_ids(existing: DataFrame, candidates: DataFrame, natural_key: list
 # Versioned table storage, through the Hadoop FileSystem API so that the same code works on
 # local disk, HDFS or an object store:
 #   <root>/<name>/v-<id>/                 data folders, never changed once committed
-#   <root>/<name>/v-<id>-index/           what a data folder's index holds (optional), under the same commit
+#   <root>/<name>/ix-<id>/                what a data folder's index holds (optional), under the same commit
 #   <root>/<name>/_commits/<number>.json  which folders, and which partition values of each,
 #                                         make up the table; the highest number holds
 # A commit is one rename to a name that does not exist yet. Whatever stops before it leaves
@@ -161,7 +161,7 @@ def sweep(spark: SparkSession, root: str, name: str, keep: int = KEPT_COMMITS) -
         fs.delete(_fs(spark, f"{table}/_commits/{n:08d}.json")[1], False)
     for status in fs.listStatus(folder):
         path = status.getPath()
-        if path.getName().startswith("v-") and path.getName() not in named:
+        if path.getName().startswith(("v-", "ix-")) and path.getName() not in named:
             fs.delete(path, True)
 
 
@@ -183,8 +183,9 @@ def _write_index(spark: SparkSession, folder: str, index: Index | None) -> dict:
     """The index of a written folder, made from its files."""
     if index is None:
         return {}
-    index(spark.read.parquet(folder)).write.mode("errorifexists").parquet(f"{folder}-index")
-    return {"index": f"{folder}-index"}
+    table, name = folder.rsplit("/v-", 1)
+    index(spark.read.parquet(folder)).write.mode("errorifexists").parquet(f"{table}/ix-{name}")
+    return {"index": f"{table}/ix-{name}"}
 
 
 def write_version(df: DataFrame, root: str, name: str,

@@ -11,7 +11,7 @@ layer is a Parquet table under ``warehouse``:
     marts/fact_sales/v-*/ORDER_MONTH_KEY=yyyymm/
                                    first run: full build; later runs upsert by ORDER_ID, writing the
                                    months that the batch changes to a new folder; the order ids of each
-                                   month are kept as exact sets (``v-*-index``)
+                                   month are kept as exact sets (``ix-*``)
     consumption/sales_performance/v-*/PERF_MONTH_KEY=yyyymm/
                                    the same months re-aggregated, and the windows of the months that they reach
     dq/<test>                      failing rows of every failed test (store-failures)

@@ -143,7 +143,7 @@ def write_feed(raw: DataFrame, path: str, drop_headers: tuple[str, ...] = ()) ->
 FLAW_EVERY = 211
 # What is planted, by the remainder of the order id.
 RAW_FLAWS = {
-    "REGION": {3: None}, "COUNTRY": {5: ""}, "ITEM_TYPE": {7: "  "}, "SALES_CHANNEL": {11: None}, "ORDER_PRIORITY": {13: None},
+    "REGION": {3: None}, "COUNTRY": {5: "", 59: None}, "ITEM_TYPE": {7: "  ", 61: None}, "SALES_CHANNEL": {11: None}, "ORDER_PRIORITY": {13: None},
     "UNITS_SOLD": {23: None, 29: -1, 31: 0}, "UNIT_PRICE": {37: None}, "UNIT_COST": {41: None}, "ORDER_ID": {43: None}}
 RAW_DATE_FLAWS = {"ORDER_DATE": 17, "SHIP_DATE": 19}   # NULL
 RAW_LATER = 47                                         # both dates ten years (3,653 days) later

@@ -42,3 +42,21 @@ def test_query_matches_oracle(spark, registry, duck, name):
 def test_every_query_has_an_oracle(registry):
     queries, oracle = registry
     assert set(queries) == set(oracle)
+
+
+FLAWED = ["p4_defaulted_values", "p6_missing_natural_keys", "p9_orders_dropped_by_star_join", "p10_raw_totals_inconsistent",
+          "j6_orphan_product_fk", "j7_relationship_tests", "a8_conditional_null_counts", "q2_gate_null_order_id_rate",
+          "q3_gate_null_order_date_rate", "q6_gate_positive_units", "q8_not_null_tests", "q9_unique_tests", "q10_relationship_tests"]
+
+
+@pytest.mark.parametrize("name", FLAWED)
+def test_checks_find_the_planted_defects(spark, registry, name):
+    """Every count of every row is positive (of a gate: its value; of a declared test: its failures)."""
+    rows = registry[0][name](spark, SF_SMALL).collect()
+    columns = [c for c in ("FAILURES", "VALUE", "FAILING_ROWS") if c in rows[0]] or list(rows[0].asDict())
+    assert rows and all(r[c] > 0 for r in rows for c in columns)
+
+
+def test_lists_of_planted_defects_are_not_empty(spark, registry):
+    for name in ("p13_dates_above_watermark", "q11_financial_integrity"):
+        assert registry[0][name](spark, SF_SMALL).count() > 0
