@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.common import tidy
+
 BLOCK_BYTES = 16 << 20  # of the sets of one block
 BLOCK_PAIRS = 20_000
 
@@ -118,4 +120,4 @@ def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 left, right = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
 
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(tidy(run), "a binary, b binary")

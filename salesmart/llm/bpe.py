@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import byte_slices
+from salesmart.llm.common import byte_slices, tidy
 
 LONG_WORD = 200
 REMEMBERED_BYTES = 48 << 20  # of pieces, their ids and their decoded text, before a worker starts afresh
@@ -205,8 +205,10 @@ def encode(docs: DataFrame, path: str, outputs: Sequence[str] = ("ids", "n_token
                     [batch.column("doc_id").slice(lo, hi - lo),
                      *(pa.array([_COLUMNS[c][2](*d) for d in done], _COLUMNS[c][1]) for c in outputs)],
                     ["doc_id", *outputs])
+        bpe.pieces.clear()
+        bpe.held = 0
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

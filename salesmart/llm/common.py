@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +62,21 @@ def byte_slices(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         yield lo, len(sizes)
 
 
+def tidy(run: Callable[..., Iterator]) -> Callable[..., Iterator]:
+    """The generator, which at its end gives free memory back: workers outlive their tasks, and the next stage needs it."""
+
+    def tidied(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # other C libraries do so themselves
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return tidied
+
+
 def utf8(texts: pa.Array) -> list[bytes]:
     """Texts as UTF-8 bytes, null as empty."""
     return [b"" if x is None else x for x in texts.cast(pa.binary()).to_pylist()]

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesmart.llm.common import quoted
 from salesmart.llm.repeats import Block, covered_by_earlier, spans_of
 from salesmart.llm.wordhash import hash_words
 
@@ -131,8 +132,8 @@ def remove_repeated_words(docs: DataFrame, window: int = 13, id_col: str = "doc_
     names, are not looked at. Ids are whole numbers. With ``carry`` the rows keep their
     columns but the text too, as the struct ``row``.
     """
-    row = [F.struct(*(docs[c] for c in docs.columns if c != text_col)).alias("row")] if carry else []
-    source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *row)
+    row = [F.struct(*(F.col(quoted(c)).alias(c) for c in docs.columns if c != text_col)).alias("row")] if carry else []
+    source = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text_col)).alias("text"), *row)
 
     def finish(block: Block, covered: np.ndarray) -> dict:
         spans = spans_of(covered, block.counts)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salesmart.llm.blocks import checked, crossed, in_blocks, runs_of
-from salesmart.llm.common import byte_slices, free_name, mix64, quoted, utf8
+from salesmart.llm.common import byte_slices, free_name, mix64, quoted, tidy, utf8
 from salesmart.llm.wordhash import hash_words, runs
 from salesmart.session import materialize
 
@@ -132,7 +132,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     ["doc_id", "t", "n_shingles", "class", "bands", "sketch"])
 
     return docs.mapInArrow(
-        run, f"doc_id {kind}, t long, n_shingles long, class binary, bands array<long>, sketch array<long>")
+        tidy(run), f"doc_id {kind}, t long, n_shingles long, class binary, bands array<long>, sketch array<long>")
 
 
 def of_classes(texts: DataFrame, what: str) -> DataFrame:
@@ -155,7 +155,7 @@ def of_classes(texts: DataFrame, what: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(sets), pa.binary()), pa.array(values, pa.list_(pa.int64()))], ["class", what])
 
-    return texts.mapInArrow(run, f"class binary, {what} array<long>").dropDuplicates(["class"])
+    return texts.mapInArrow(tidy(run), f"class binary, {what} array<long>").dropDuplicates(["class"])
 
 
 def different(a: str, b: str) -> Column:
@@ -273,7 +273,7 @@ def across(members: DataFrame, most: int, forest: bool) -> DataFrame:
             if left:
                 yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["x", "y"])
 
-    found = dealt.mapInArrow(run, "x binary, y binary")
+    found = dealt.mapInArrow(tidy(run), "x binary, y binary")
     return found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 

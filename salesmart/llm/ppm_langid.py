@@ -8,9 +8,9 @@ uniform choice among the bytes the language never showed. A text's code length i
 is the exact sum over all its bytes; the shortest code wins.
 
 With frozen counts a byte's code length depends only on the last ``order`` bytes and itself.
-Each worker keeps the seen grams of each language as sorted arrays, walks the escapes once for
+Each task keeps the seen grams of each language as sorted arrays, walks the escapes once for
 each distinct gram of its texts and remembers the code lengths in all languages, as many as a
-bounded memory holds. The order is that of the model whatever its size.
+bounded memory holds; at its end the worker gives that memory back. The order is that of the model whatever its size.
 """
 
 from __future__ import annotations
@@ -25,14 +25,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import byte_slices, free_name, quoted, utf8
+from salesmart.llm.common import byte_slices, free_name, quoted, tidy, utf8
 
 SLICE_BYTES = 1 << 19
 RANGE_BITS = 16  # hash ranges of a language whose bytes are summed, as a power of two
 EVIDENCE = 64  # bytes whose code lengths decide the score of longer texts
 MOST_BYTES = 48 << 20  # of code lengths that a worker remembers; while they are merged it needs about three times as many
 UNKNOWN = "und"
-_TABLES: dict[str, "Table"] = {}
 
 
 @dataclass(frozen=True)
@@ -207,13 +206,8 @@ def fit(docs: DataFrame, use: Column, order: int = 3, sample_bytes: int = 1 << 2
     return Model(f"{id(counted)}-{hash(counted['n'].to_numpy().tobytes())}", order, langs, found)
 
 
-def _judged(shared, most_bytes: int, texts: pa.Array) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
-    """(lang_pred, score, bits) of slices of the texts, by a model that a worker sets up once."""
-    known = shared.value
-    if known.langs and known.name not in _TABLES:
-        _TABLES.clear()
-        _TABLES[known.name] = Table(known, most_bytes)
-    trees = _TABLES.get(known.name)
+def _judged(known: Model, trees: Table | None, texts: pa.Array) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
+    """(lang_pred, score, bits) of slices of the texts, by a model and its trees."""
     names = np.array([*known.langs, UNKNOWN], object)
     for lo, hi in byte_slices(texts, SLICE_BYTES):
         part = texts.slice(lo, hi - lo)
@@ -243,15 +237,17 @@ def predict(docs: DataFrame, model: Model, most_bytes: int = MOST_BYTES, id_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        trees = Table(known, most_bytes) if known.langs else None
         for batch in batches:
             lo = 0
-            for columns in _judged(shared, most_bytes, batch.column("text")):
+            for columns in _judged(known, trees, batch.column("text")):
                 n = len(columns[0])
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, n), *columns],
                                                  ["doc_id", "lang_pred", "score", "bits"])
                 lo += n
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def keep_identified(docs: DataFrame, model: Model, least: float = 0.3, text_col: str = "text",
@@ -264,13 +260,18 @@ def keep_identified(docs: DataFrame, model: Model, least: float = 0.3, text_col:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
-    @F.arrow_udf(kind)
-    def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def judge(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = shared.value
+        trees = Table(known, most_bytes) if known.langs else None
         for texts in parts:
             found = [pa.StructArray.from_arrays([lang, score], ["lang_pred", "score"])
-                     for lang, score, _ in _judged(shared, most_bytes, texts)]
+                     for lang, score, _ in _judged(known, trees, texts)]
             yield pa.concat_arrays(found) if found else pa.array([], pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
 
+    @F.arrow_udf(kind)
+    def judged(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        yield from tidy(judge)(parts)
+
     name = free_name(docs.columns, "judged")
     rows = docs.withColumn(name, judged(F.col(quoted(text_col))))
     return rows.where((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= least)).drop(name)
