@@ -8,7 +8,7 @@ every link.
 Which sets meet: with all shingles in one order, a set of n shingles has a prefix of
 n - ceil(percent n) + 1, and linked sets share a shingle of their prefixes. The first that they share stands in
 the smaller set's first n - ceil(2 percent n / (100 + percent)) + 1, so a shingle that stands so early in no
-set brings none together. The order is by hash, but
+set brings none together; and only sets of like size meet. The order is by hash, but
 frequent shingles come last, so that passages that many documents share rarely bring documents
 together. Which count as frequent is an estimate (``frequent``, a bounded table): any one order gives
 the same links.
@@ -35,6 +35,7 @@ their names, are not looked at. Shingles are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,6 +138,11 @@ def early_size(n: Column, percent: int) -> Column:
     return n - F.ceil(2 * percent * n / (100 + percent)) + 1
 
 
+def size_step(n: Column, percent: int) -> Column:
+    """The size of a set in steps, of which linked sets are at most one apart."""
+    return F.floor(F.log(n) / math.log(100 / percent * (1 + 1e-9)))
+
+
 # ------------------------------------------------------------------ signatures
 
 def size_class(n: int) -> int:
@@ -354,10 +360,18 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     # Within the groups a class is known by 8 bytes of its digest; a chance agreement only adds candidates.
     id_ = F.xxhash64("class").alias("id")
     entries = sets.select(id_, F.posexplode("prefix").alias("at", "h"), "n").select(
-        "id", "h", (F.col("at") < early_size(F.col("n"), percent)).alias("early"))
-    heads = entries.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("early").alias("early")).where(
-        "lo <> hi and early").select("h")
-    groups = materialize(entries.join(heads, "h").select("id", "h").distinct(), "tree-groups")
+        "id", "h", (2 * size_step(F.col("n"), percent) + (F.col("at") < early_size(F.col("n"), percent)).cast("long")).alias("s"))
+
+    def met_by(rows: DataFrame) -> DataFrame:
+        """The keys under which several classes meet, one of them early."""
+        return rows.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max(F.col("s") % 2).alias("early")).where(
+            "lo <> hi and early = 1").select("h")
+
+    # Linked sets differ by one step of size at most, so each set is in the group of its step and the next.
+    step = F.floor(F.col("s") / 2)
+    sized = materialize(entries.join(met_by(entries), "h").select("id", "h", "s", F.explode(F.array(step, step + 1)).alias("v")).select(
+        "id", F.xxhash64("h", "v").alias("h"), "s"), "tree-sized")
+    groups = materialize(sized.join(met_by(sized), "h").select("id", "h").distinct(), "tree-groups")
     signatures = materialize(sets.select(id_, "class", "n", "bits").join(
         groups.select("id").distinct(), "id", "left_semi").dropDuplicates(["class"]), "tree-signatures")
 
