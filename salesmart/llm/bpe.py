@@ -20,6 +20,8 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,22 +42,36 @@ SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\
 CONTRACTIONS = "'s|'t|'re|'ve|'m|'ll|'d"
 
 
-def code_points(kind: str) -> str:
-    """The code points whose general category starts with ``kind``, as ranges of a character class."""
-    out, start = [], None
-    for c in range(sys.maxunicode + 2):
-        inside = c <= sys.maxunicode and unicodedata.category(chr(c))[0] == kind
-        if inside and start is None:
-            start = c
-        elif not inside and start is not None:
-            out.append(f"\\U{start:08x}-\\U{c - 1:08x}")
-            start = None
-    return "".join(out)
+@dataclass(frozen=True)
+class Characters:
+    """What the library takes for letters and numbers (ranges of a character class), and its lower case where Python's differs."""
 
+    letters: str
+    numbers: str
+    lower: dict[int, str]
 
-def word_pattern() -> re.Pattern:
+
+@cache
+def characters() -> Characters:
+    """Read off the library, whose Unicode tables may be of another version than Python's; once, on the driver."""
+    from tokenizers import Regex, normalizers, pre_tokenizers
+
+    every = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+
+    def ranges(kind: str) -> str:
+        runs = pre_tokenizers.Split(Regex(rf"\p{{{kind}}}+"), "removed", invert=True).pre_tokenize_str("".join(every))
+        return "".join(f"\\U{ord(run[0]):08x}-\\U{ord(run[-1]):08x}" for run, _ in runs)
+
+    lowered = normalizers.Lowercase().normalize_str("\n".join(every)).split("\n")
+    # The line end itself gives two empty pieces in place of one.
+    plain = [c for c in every if c != "\n"]
+    lowered = [x for x in lowered if x]
+    return Characters(ranges("L"), ranges("N"), {ord(c): x for c, x in zip(plain, lowered, strict=True) if x != c.lower()})
+
+
+def word_pattern(known: Characters) -> re.Pattern:
     """The words of a text: contractions, runs of letters, single numbers, runs of anything else."""
-    letters, numbers = code_points("L"), code_points("N")
+    letters, numbers = known.letters, known.numbers
     return re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{SPACES}{letters}{numbers}]+")
 
 
@@ -71,7 +87,7 @@ def byte_letters() -> dict[int, str]:
 class Bpe:
     """A vocabulary file's encoder and decoder."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, known: Characters):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -87,7 +103,8 @@ class Bpe:
         letters = byte_letters()
         self.inner = [self.ids[letters[b]] for b in range(256)]
         self.last = [self.ids[letters[b] + self.end] for b in range(256)]
-        self.cut = word_pattern()
+        self.cut = word_pattern(known)
+        self.lowered = known.lower
         specials = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self.found = re.compile(f"({specials})") if specials else None
         self.pieces: dict[str, tuple[bytes, str]] = {}
@@ -140,7 +157,7 @@ class Bpe:
                 out.append(self.special[part])
                 continue
             plain = unicodedata.normalize("NFC", part)
-            plain = plain.lower() if plain.isascii() else "".join(map(str.lower, plain))
+            plain = plain.lower() if plain.isascii() else "".join(map(str.lower, plain.translate(self.lowered)))
             for word in self.cut.findall(plain):
                 out += self.word(word.encode())
         return out
@@ -168,9 +185,9 @@ class Bpe:
         return " ".join(self.names[int(i)] for i in ids)
 
 
-def load(path: str) -> Bpe:
+def load(path: str, known: Characters | None = None) -> Bpe:
     if path not in _LOADED:
-        _LOADED[path] = Bpe(path)
+        _LOADED[path] = Bpe(path, known or characters())
     return _LOADED[path]
 
 
@@ -196,8 +213,10 @@ def encode(docs: DataFrame, path: str, outputs: Sequence[str] = ("ids", "n_token
     schema = ", ".join([f"doc_id {source.schema['doc_id'].dataType.simpleString()}",
                         *(f"{c} {_COLUMNS[c][0]}" for c in outputs)])
 
+    known = characters()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
+        bpe = load(path, known)
         for batch in batches:
             for lo, hi in byte_slices(batch.column("text"), SLICE_BYTES):
                 done = [bpe.encode(t or "") for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
@@ -216,8 +235,10 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     source = encoded.select(F.col(id_col).alias("doc_id"), F.col(ids_col).alias("ids"))
     schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, decoded string"
 
+    known = characters()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
+        bpe = load(path, known)
         for batch in batches:
             texts = [bpe.decode(x or ()) for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],

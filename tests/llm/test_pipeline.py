@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from salesmart.llm import bpe, fm_dedup, odd_sketch, ppm_langid, simhash_decontam
+from salesmart.llm import fm_dedup, odd_sketch, ppm_langid, simhash_decontam
 
 from .conftest import passage
 from .test_variants import components_by_definition
@@ -166,4 +166,3 @@ def test_general_interfaces_take_odd_columns(spark):
                                   id_col="id", text_col="the text").count() == 3
     cut = fm_dedup.remove_repeated_words(docs, id_col="id", text_col="the text", carry=True)
     assert sorted(r.row["a-b"] for r in cut.collect()) == [1, 2, 3]
-    assert bpe.code_points("L")

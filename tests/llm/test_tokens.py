@@ -32,6 +32,16 @@ def test_bpe_equals_library(library):
         assert decoded == library.decode(want, skip_special_tokens=False)
 
 
+def test_code_points_are_read_as_the_library_reads_them(library):
+    """Every fifth code point, and all whose lower case Python's tables lack."""
+    own = bpe.load(PATH)
+    wanted = {c for c in range(1, 0x110000, 5) if not 0xD800 <= c < 0xE000} | set(own.lowered)
+    texts = [f"a{chr(c)}b" for c in sorted(wanted)]
+    differ = [t for t, e in zip(texts, library.encode_batch_fast(texts, add_special_tokens=False), strict=True)
+              if own.encode(t)[0] != struct.pack(f"<{len(e.ids)}I", *e.ids)]
+    assert differ == []
+
+
 def test_long_words_merge_alike(library):
     own = bpe.load(PATH)
     for seed in range(20):
