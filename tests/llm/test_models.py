@@ -117,6 +117,17 @@ def test_class_model_by_definition(spark):
         assert 10 ** model.emission[c] == pytest.approx(sum(counts[w] for w in members) + len(members) + 1)
 
 
+def test_class_model_has_one_rule_for_every_size(spark):
+    """A corpus and its repetitions have the same units and the same classes."""
+    texts = ["a b a b c once", "b a", "c c a twice twice", ""]
+    one = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    models = [brown_lm.fit(spark.createDataFrame(list(enumerate(texts * n)), one.schema), F.lit(True), classes=3, rounds=4)
+              for n in (1, 5)]
+    assert len(models[0].units.hashes) == 5
+    assert np.array_equal(models[0].units.hashes, models[1].units.hashes)
+    assert np.array_equal(models[0].classes, models[1].classes)
+
+
 def test_exchange_gain_is_exact_without_self_pairs():
     rng = np.random.default_rng(5)
     pairs = rng.integers(1, 50, (4, 4)).astype(float)
