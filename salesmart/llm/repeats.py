@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from salesmart.llm.common import mix64, utf8
+from salesmart.llm.common import give_back, mix64, utf8
 from salesmart.llm.wordhash import BASE, powers
 
 BLOCK_BYTES = 6 << 20
@@ -252,6 +252,25 @@ def _answer_segments(rows: pa.Table, matcher: Matcher) -> pa.Table:
     return pa.table({"block": rows.column("block"), "spans": pa.array(answers, pa.binary())})
 
 
+def _tidy(work: Callable[..., pa.Table]) -> Callable[..., pa.Table]:
+    """The work on one group, after which the worker's free memory goes back: it meets one group after another."""
+
+    # Spark tells the number of arguments from the signature.
+    if work.__code__.co_argcount == 1:
+        def tidied(rows: pa.Table) -> pa.Table:
+            try:
+                return work(rows)
+            finally:
+                give_back()
+    else:
+        def tidied(rows: pa.Table, answers: pa.Table) -> pa.Table:
+            try:
+                return work(rows, answers)
+            finally:
+                give_back()
+    return tidied
+
+
 def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Block", np.ndarray], dict],
                        schema: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per row of (doc_id long, text): doc_id, any further columns, and those of ``schema``.
@@ -324,19 +343,19 @@ def covered_by_earlier(docs: DataFrame, matcher: Matcher, finish: Callable[["Blo
         return pa.table({**{c: block.rows.column(c) for c in ("doc_id", *more)}, **finish(block, np.cumsum(edges)[:-1] > 0)})
 
     by_block = texts.groupBy("block")
-    seeds = by_block.applyInArrow(send_seeds, "bin int, block int, seeds binary, several binary")
+    seeds = by_block.applyInArrow(_tidy(send_seeds), "bin int, block int, seeds binary, several binary")
     marks = "block int, bin int, bits binary, many binary"
-    repeated = seeds.groupBy("bin").applyInArrow(_answer_seeds, marks).withColumn("whole", F.lit(False))
+    repeated = seeds.groupBy("bin").applyInArrow(_tidy(_answer_seeds), marks).withColumn("whole", F.lit(False))
     windows = by_block.cogroup(repeated.groupBy("block")).applyInArrow(
-        send_windows, "bin int, block int, seeds binary, several binary")
-    held = windows.groupBy("bin").applyInArrow(_answer_seeds, marks).withColumn("whole", F.lit(True))
+        _tidy(send_windows), "bin int, block int, seeds binary, several binary")
+    held = windows.groupBy("bin").applyInArrow(_tidy(_answer_seeds), marks).withColumn("whole", F.lit(True))
     segments = by_block.cogroup(repeated.unionByName(held).groupBy("block")).applyInArrow(
-        send_segments,
+        _tidy(send_segments),
         "bin int, block int, doc binary, at binary, text binary, seg binary, sizes binary, texts binary")
     spans = segments.groupBy("bin").applyInArrow(
-        lambda rows: _answer_segments(rows, matcher), "block int, spans binary")
+        _tidy(lambda rows: _answer_segments(rows, matcher)), "block int, spans binary")
     result = T.StructType([*carried, *T.StructType.fromDDL(schema).fields])
-    return by_block.cogroup(spans.groupBy("block")).applyInArrow(conclude, result)
+    return by_block.cogroup(spans.groupBy("block")).applyInArrow(_tidy(conclude), result)
 
 
 def spans_of(covered: np.ndarray, counts: Sequence[int]) -> list[list[tuple[int, int]]]:

@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 
-from salesmart.llm import fm_dedup, odd_sketch, repeats, suffix_dedup
+from salesmart.llm import fm_dedup, odd_sketch, repeats, suffix_dedup, wordhash
 from salesmart.llm.fm_dedup import BitRank, FmIndex, WordMatcher
 from salesmart.llm.suffix_dedup import COVER, PERIOD, SHIFT, ByteMatcher
 
@@ -21,6 +21,20 @@ def least_by_definition(segments, docs, window, cut):
     return [[best[at(s, i)] for i in range(len(s) - window + 1)] for s in parts]
 
 
+@pytest.mark.parametrize("lower", [True, False])
+def test_words_are_hashed_in_slices(monkeypatch, lower):
+    """A block of many texts takes no more memory for powers than a slice, and a word has one hash wherever it stands."""
+    texts = [passage(s, 90).encode() for s in range(400)] + [b"", b" ", b"One " + b"x" * 3000 + b" one"]
+    whole = wordhash.hash_words(texts, lower)
+    monkeypatch.setattr(wordhash, "_powers", {})
+    monkeypatch.setattr(wordhash, "SLICE_BYTES", 1000)
+    for a, b in zip(whole, wordhash.hash_words(texts, lower), strict=True):
+        assert np.array_equal(a, b)
+    assert max(map(len, wordhash._powers.values())) <= 4096
+    words = b" ".join(texts).lower().split() if lower else b" ".join(texts).split()
+    assert len(set(zip(words, whole[0].tolist()))) == len(set(words)) == len(set(whole[0].tolist()))
+
+
 def test_cover_has_a_shift_for_every_pair():
     for a in range(PERIOD):
         for b in range(PERIOD):

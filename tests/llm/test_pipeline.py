@@ -146,6 +146,23 @@ def test_odd_columns_and_rows(spark, tmp_path):
     assert cp.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 5
 
 
+def test_cut_of_passages_by_definition(spark, tmp_path):
+    """Words in 13-word windows that a document with a smaller id has too go; judged by brute force on the rows of the test above."""
+    long = " ".join(passage(s, 90) for s in range(1, 200))
+    rows = [(1, passage(1, 60)), (3, passage(2, 60)), (7, long), (9, passage(2, 30) + " other " + passage(5, 30))]
+    seen, want = set(), {}
+    for doc_id, text in rows:
+        words = text.split()
+        windows = [tuple(words[i : i + 13]) for i in range(len(words) - 12)]
+        gone = {k for i, w in enumerate(windows) if w in seen for k in range(i, i + 13)}
+        want[doc_id] = " ".join(w for k, w in enumerate(words) if k not in gone)
+        seen |= set(windows)
+    docs = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.text for r in cp.substring_dedup(spark, docs, str(tmp_path)).collect()}
+    assert got == want and got[9] == "other"
+
+
 def test_empty_table(spark, tmp_path):
     for name in ("documents", "benchmark"):
         spark.read.parquet(f"{SF}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
