@@ -3,12 +3,13 @@
 A word is a list of parts with the rank of every adjacent pair held beside it. The lowest
 rank is found by scanning, its boundary is deleted and the two neighbouring ranks are looked
 up again, until no pair has a rank. Words beyond ``LONG_WORD`` parts, for which rescanning
-would be quadratic, take the same merges from a heap over linked parts.
+would be quadratic, take the same merges from a heap over linked parts. Many words are worked
+side by side in arrays: each step merges the lowest-ranked pair of every word that has one.
 
 The vocabulary file is read as it stands: byte-level parts, an end-of-word mark on the last
 part, canonical composition, lower case per character, special strings matched in the raw
-text. Pieces between ASCII white space never influence one another under this scheme, so a
-Python worker remembers the ids of pieces it has met.
+text. Pieces between ASCII white space never influence one another under this scheme, nor do
+the words of a piece, so a Python worker remembers the ids of pieces and words it has met.
 """
 
 from __future__ import annotations
@@ -28,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import byte_slices
+from salesmart.llm.common import byte_slices, utf8
 
 LONG_WORD = 200
-REMEMBERED_BYTES = 48 << 20  # of pieces, their ids and their decoded text, before a worker starts afresh
+REMEMBERED_BYTES = 48 << 20  # of pieces and words with their ids, in a worker at most
 SLICE_BYTES = 1 << 20
 NEVER = 1 << 60
 _LOADED: dict[str, "Bpe"] = {}
@@ -70,9 +71,9 @@ def characters() -> Characters:
 
 
 def word_pattern(known: Characters) -> re.Pattern:
-    """The words of a text: contractions, runs of letters, single numbers, runs of anything else."""
+    """The words of a text: contractions, runs of letters, single numbers, runs of anything else; and line ends."""
     letters, numbers = known.letters, known.numbers
-    return re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{SPACES}{letters}{numbers}]+")
+    return re.compile(f"{CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{SPACES}{letters}{numbers}]+|\n")
 
 
 def byte_letters() -> dict[int, str]:
@@ -84,6 +85,38 @@ def byte_letters() -> dict[int, str]:
     return out
 
 
+class Memory:
+    """The ids of keys met lately, of about ``most`` bytes: half of it new, half from before; what is met again is new."""
+
+    def __init__(self, most: int):
+        self.most, self.held = most // 2, 0
+        self.new: dict[str | bytes, bytes] = {}
+        self.old: dict[str | bytes, bytes] = {}
+
+    def find(self, keys: set) -> tuple[dict, list]:
+        """What is known of the keys, and those that are not known."""
+        new, old, found, again, fresh = self.new, self.old, {}, {}, []
+        for key in keys:
+            got = new.get(key)
+            if got is None:
+                got = old.get(key)
+                if got is None:
+                    fresh.append(key)
+                    continue
+                again[key] = got
+            found[key] = got
+        self.keep(again)
+        return found, fresh
+
+    def keep(self, found: dict) -> None:
+        # A character takes up to four bytes; 200 is what the objects take.
+        size = 4 * sum(map(len, found)) + sum(map(len, found.values())) + 200 * len(found)
+        if self.held + size > self.most:
+            self.new, self.old, self.held = {}, self.new, 0
+        self.new.update(found)
+        self.held += size
+
+
 class Bpe:
     """A vocabulary file's encoder and decoder."""
 
@@ -105,10 +138,16 @@ class Bpe:
         self.last = [self.ids[letters[b] + self.end] for b in range(256)]
         self.cut = word_pattern(known)
         self.lowered = known.lower
+        # Besides these, Python looks around a capital sigma; any other character is lowered by itself.
+        self.odd = re.compile("[\u03a3" + "".join(map(re.escape, map(chr, known.lower))) + "]")
+        pairs = np.array(list(self.rank), np.int64).reshape(-1, 2)
+        keys, ranks = pairs[:, 0] << 32 | pairs[:, 1], np.array(list(self.rank.values()), np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = np.append(keys[order], NEVER), np.append(ranks[order], NEVER)
+        self.merged_ids = np.array([*self.merged, 0], np.int64)
         specials = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self.found = re.compile(f"({specials})") if specials else None
-        self.pieces: dict[str, tuple[bytes, str]] = {}
-        self.held = 0
+        self.pieces, self.words = Memory(REMEMBERED_BYTES // 2), Memory(REMEMBERED_BYTES // 2)
 
     def word(self, data: bytes) -> list[int]:
         """The ids of one word's bytes."""
@@ -150,39 +189,99 @@ class Bpe:
                 heapq.heappush(heap, (r, before[i]))
         return [p for p, a in zip(parts, alive, strict=True) if a]
 
-    def _piece(self, piece: str) -> list[int]:
-        out: list[int] = []
-        for part in self.found.split(piece) if self.found else [piece]:
-            if part in self.special:
-                out.append(self.special[part])
-                continue
-            plain = unicodedata.normalize("NFC", part)
-            plain = plain.lower() if plain.isascii() else "".join(map(str.lower, plain.translate(self.lowered)))
-            for word in self.cut.findall(plain):
-                out += self.word(word.encode())
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left << 32 | right
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], NEVER)
+
+    def _side_by_side(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``word`` of each of these words, one after another, and how many ids each has; none is empty."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        data, ends = np.frombuffer(b"".join(words), np.uint8), np.cumsum(sizes)
+        parts = np.array(self.inner, np.int64)[data]
+        parts[ends - 1] = np.array(self.last, np.int64)[data[ends - 1]]
+        ranks = np.append(self._ranks(parts[:-1], parts[1:]), NEVER)
+        ranks[ends - 1] = NEVER
+        which, done = np.arange(len(words)), []
+        while len(which):
+            ends = np.cumsum(sizes)
+            low = np.minimum.reduceat(ranks, ends - sizes)
+            if (ready := low == NEVER).any():
+                of_ready = np.repeat(ready, sizes)
+                done.append((np.repeat(which[ready], sizes[ready]), parts[of_ready]))
+                parts, ranks = parts[~of_ready], ranks[~of_ready]
+                which, sizes, low = which[~ready], sizes[~ready], low[~ready]
+                if not len(which):
+                    break
+            own = np.repeat(np.arange(len(which)), sizes)
+            at = np.flatnonzero(ranks == low[own])
+            at = at[np.concatenate([[True], own[at[1:]] != own[at[:-1]]])]  # the first of each word
+            parts[at] = self.merged_ids[low]
+            keep = np.ones(len(parts), bool)
+            keep[at + 1] = False
+            parts, ranks, own = parts[keep], ranks[keep], own[keep]
+            at, sizes = at - np.arange(len(at)), sizes - 1
+            ends = np.cumsum(sizes)
+            inner = at < ends - 1
+            ranks[at[~inner]] = NEVER
+            ranks[at[inner]] = self._ranks(parts[at[inner]], parts[at[inner] + 1])
+            after = at[at > ends - sizes]
+            ranks[after - 1] = self._ranks(parts[after - 1], parts[after])
+        own, ids = (np.concatenate(x) for x in zip(*done, strict=True))
+        return ids[np.argsort(own, kind="stable")], np.bincount(own, minlength=len(words))
+
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        found, fresh = self.words.find(words)
+        if not fresh:
+            return found
+        keys = [w.encode() for w in fresh]
+        done = {w: np.array(self.word(k), "<u4").tobytes() for w, k in zip(fresh, keys) if len(k) > LONG_WORD}
+        if len(done) < len(fresh):
+            short = [w for w in fresh if w not in done]
+            ids, sizes = self._side_by_side([k for k in keys if len(k) <= LONG_WORD])
+            data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+            done.update(zip(short, [data[lo:hi] for lo, hi in zip([0, *ends], ends)]))
+        self.words.keep(done)
+        found.update(done)
+        return found
+
+    def _plain(self, parts: list[str]) -> list[bytes]:
+        """The ids of strings without white space of the ASCII kind and without special strings."""
+        joined = unicodedata.normalize("NFC", "\n".join(parts))  # nothing is composed across a line end
+        joined = "".join(map(str.lower, joined.translate(self.lowered))) if self.odd.search(joined) else joined.lower()
+        words = self.cut.findall(joined)
+        found = self._words({w for w in words if w != "\n"})
+        out, lo = [], 0
+        for hi in [i for i, w in enumerate(words) if w == "\n"] + [len(words)]:
+            out.append(found[words[lo]] if hi == lo + 1 else b"".join([found[w] for w in words[lo:hi]]))
+            lo = hi + 1
         return out
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        if not self.found or not self.found.search("\n".join(pieces)):
+            return self._plain(pieces)
+        parts = [self.found.split(p) for p in pieces]
+        plain = iter(self._plain([x for p in parts for x in p if x not in self.special]))
+        return [b"".join([self.special[x].to_bytes(4, "little") if x in self.special else next(plain) for x in p]) for p in parts]
+
     def encode(self, text: str) -> tuple[bytes, str]:
         """The ids as little-endian unsigned 32-bit integers, and their decoded text."""
-        known, ids, names = self.pieces, [], []
-        for piece in re.split(r"[\x20\x09-\x0D]+", text):
-            got = known.get(piece)
-            if got is None:
-                got = self._piece(piece)
-                got = known[piece] = np.array(got, "<u4").tobytes(), self.decode(got)
-                # A piece beyond Latin-1 takes up to four bytes a character; 250 is what the objects take.
-                self.held += 4 * len(piece) + len(got[0]) + 4 * len(got[1]) + 250
-                if self.held > REMEMBERED_BYTES:
-                    known.clear()
-                    self.held = 0
-            if got[0]:
-                ids.append(got[0])
-                names.append(got[1])
-        return b"".join(ids), " ".join(names)
+        return self.encode_all([text.encode()])[0]
+
+    def encode_all(self, texts: list[bytes]) -> list[tuple[bytes, str]]:
+        """``encode`` of each text, given in UTF-8."""
+        cut = [t.split() for t in texts]  # bytes are cut at ASCII white space only
+        known, fresh = self.pieces.find(set().union(*cut))
+        if fresh:
+            more = dict(zip(fresh, self._pieces(b"\n".join(fresh).decode().split("\n")), strict=True))
+            self.pieces.keep(more)
+            known.update(more)
+        found = [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+        return [(ids, self.decode(np.frombuffer(ids, "<u4").tolist())) for ids in found]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids: the file names no decoder, so token strings are joined by spaces."""
-        return " ".join(self.names[int(i)] for i in ids)
+        return " ".join(map(self.names.__getitem__, ids))
 
 
 def load(path: str, known: Characters | None = None) -> Bpe:
@@ -219,7 +318,7 @@ def encode(docs: DataFrame, path: str, outputs: Sequence[str] = ("ids", "n_token
         bpe = load(path, known)
         for batch in batches:
             for lo, hi in byte_slices(batch.column("text"), SLICE_BYTES):
-                done = [bpe.encode(t or "") for t in batch.column("text").slice(lo, hi - lo).to_pylist()]
+                done = bpe.encode_all(utf8(batch.column("text").slice(lo, hi - lo)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(lo, hi - lo),
                      *(pa.array([_COLUMNS[c][2](*d) for d in done], _COLUMNS[c][1]) for c in outputs)],

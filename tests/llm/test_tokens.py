@@ -50,6 +50,30 @@ def test_long_words_merge_alike(library):
     assert len(own.word(b"ab" * 50_000)) > 1
 
 
+def test_words_merge_side_by_side_as_alone():
+    own, rng = bpe.load(PATH), random.Random(3)
+    words = ["".join(rng.choices("etaoinshrdé日", k=rng.randint(1, 40))).encode() for _ in range(2000)] + [b"a", b"aaaaaaa"]
+    ids, sizes = own._side_by_side(words)
+    assert ids.tolist() == [i for w in words for i in own.word(w)]
+    assert sizes.tolist() == [len(own.word(w)) for w in words]
+
+
+def test_words_are_remembered_within_their_bound(library):
+    own = bpe.Bpe(PATH, bpe.characters())
+    own.encode("alpha, alpha. (alpha)")
+    assert "alpha" in own.words.new
+    own.pieces, own.words = bpe.Memory(20_000), bpe.Memory(20_000)
+    for text in mixed(500, 4):
+        for word in ("always", text):
+            ids, decoded = own.encode(word)
+            want = library.encode(word, add_special_tokens=False).ids
+            assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == want, word
+            assert decoded == library.decode(want, skip_special_tokens=False)
+        for memory in (own.pieces, own.words):
+            assert 200 * (len(memory.new) + len(memory.old)) <= 20_000
+        assert b"always" in own.pieces.new or b"always" in own.pieces.old
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_counts_at_cut_texts(name):
     path = public_tokenizers.path(name)
