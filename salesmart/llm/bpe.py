@@ -9,7 +9,7 @@ side by side in arrays: each step merges the lowest-ranked pair of every word th
 The vocabulary file is read as it stands: byte-level parts, an end-of-word mark on the last
 part, canonical composition, lower case per character, special strings matched in the raw
 text. Pieces between ASCII white space never influence one another under this scheme, nor do
-the words of a piece, so a Python worker remembers the ids of pieces and words it has met.
+the words of a piece, so a Python worker remembers the ids of pieces and words it has met; at a task's end it gives all other memory back.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesmart.llm.common import byte_slices, utf8
+from salesmart.llm.common import byte_slices, tidy, utf8
 
 LONG_WORD = 200
 REMEMBERED_BYTES = 48 << 20  # of pieces and words with their ids, in a worker at most
@@ -324,7 +324,7 @@ def encode(docs: DataFrame, path: str, outputs: Sequence[str] = ("ids", "n_token
                      *(pa.array([_COLUMNS[c][2](*d) for d in done], _COLUMNS[c][1]) for c in outputs)],
                     ["doc_id", *outputs])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -341,4 +341,4 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
                                              ["doc_id", "decoded"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)

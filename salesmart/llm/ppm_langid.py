@@ -197,7 +197,7 @@ def fit(docs: DataFrame, use: Column, order: int = 3, sample_bytes: int = 1 << 2
             if found:
                 yield pa.RecordBatch.from_pandas(pd.concat(found).astype({"k": "int32"}), preserve_index=False)
 
-    counted = sample.select("lang", "text").mapInArrow(grams, "lang string, k int, gram long, n long").groupBy(
+    counted = sample.select("lang", "text").mapInArrow(tidy(grams), "lang string, k int, gram long, n long").groupBy(
         "lang", "k", "gram").agg(F.sum("n").alias("n")).orderBy("lang", "k", "gram").toPandas()
     langs = tuple(sorted(counted["lang"].unique()))
     found = {(i, k): (np.zeros(0, np.int64), np.zeros(0, np.int64)) for i in range(len(langs)) for k in range(order + 1)}

@@ -3,10 +3,12 @@ import random
 import struct
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from salesmart.llm import bpe, token_counts
+from salesmart.llm import bpe, common, ppm_langid, token_counts
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 PIECES = ["'s", "'re", " ", "\n", "a", "b", "é", "é", "<|endoftext|>", "<|startoftext|>", "Σ", "İ", "ß", "1", "23",
@@ -104,3 +106,23 @@ def test_queries_on_odd_rows(both, empty, library):
     again = bpe.decode(done.select("doc_id", "ids"), PATH).collect()
     assert sorted((str(r.doc_id), r.decoded) for r in again) == sorted((i, text) for i, _, _, text in want)
     assert token_counts.token_counts(empty, PATH).count() == 0 == bpe.encode(empty, PATH).count()
+
+
+def test_a_task_gives_memory_back_at_its_end(spark, monkeypatch):
+    """Workers outlive the tasks that encode, decode or count grams; the next stage of the pipeline needs their memory."""
+    given, tasks = [], []
+    docs = spark.createDataFrame([(1, "one two", "en", [1])], "doc_id long, text string, lang string, ids array<int>")
+    held = type(docs).mapInArrow
+    monkeypatch.setattr(common, "give_back", lambda: given.append(1))
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: tasks.append(run) or held(self, run, schema))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    bpe.encode(docs, path)
+    bpe.decode(docs, path)
+    ppm_langid.fit(docs, F.lit(True))
+    assert len(tasks) == 3
+    batch = pa.RecordBatch.from_pylist([{"doc_id": 1, "text": "one two", "lang": "en", "ids": [1]}])
+    for n, run in enumerate(tasks):
+        running = run(iter([batch]))
+        next(running)
+        assert len(given) == n
+        assert not list(running) and len(given) == n + 1
