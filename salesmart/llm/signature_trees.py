@@ -8,7 +8,9 @@ every link.
 Which sets meet: with all shingles in one order, a set of n shingles has a prefix of
 n - ceil(percent n) + 1, and linked sets share a shingle of their prefixes. The first that they share stands in
 the smaller set's first n - ceil(2 percent n / (100 + percent)) + 1, so a shingle that stands so early in no
-set brings none together. The order is by hash, but
+set brings none together. What two sets can share from a shingle on is at most what either has left there, and under the
+first shared one that is all they share: a set stays in a group only where it has enough left for the least set
+that stands early there, and a pair is only looked at where both have enough left for a link. The order is by hash, but
 frequent shingles come last, so that passages that many documents share rarely bring documents
 together. Which count as frequent is an estimate (``frequent``, a bounded table): any one order gives
 the same links.
@@ -205,20 +207,22 @@ def sketched(docs: DataFrame, order: Order, percent: int) -> tuple[DataFrame, Da
 class Node:
     """A subtree over the members ``own``: places in the arrays of its group."""
 
-    __slots__ = ("children", "hidden", "least", "most", "own", "root", "word")
+    __slots__ = ("children", "hidden", "least", "left", "most", "own", "root", "word")
 
-    def __init__(self, own: np.ndarray, words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, roots: np.ndarray):
+    def __init__(self, own: np.ndarray, words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, left: np.ndarray,
+                 roots: np.ndarray):
         self.own = own
         self.word = np.bitwise_or.reduce(words[own], axis=0)
         self.least, self.most = int(sizes[own].min()), int(sizes[own].max())
-        self.hidden = int(hidden[own].max())
+        self.hidden, self.left = int(hidden[own].max()), int(left[own].max())
         self.root = int(roots[own[0]]) if (roots[own] == roots[own[0]]).all() else -1
         self.children: list[Node] = []
 
 
-def tree(own: np.ndarray, words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, roots: np.ndarray) -> Node:
+def tree(own: np.ndarray, words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, left: np.ndarray,
+         roots: np.ndarray) -> Node:
     """Halves the members by which of two far ones they are nearer to, down to leaves of ``LEAF``."""
-    top = Node(own, words, sizes, hidden, roots)
+    top = Node(own, words, sizes, hidden, left, roots)
     todo = [top]
     while todo:
         node = todo.pop()
@@ -232,7 +236,7 @@ def tree(own: np.ndarray, words: np.ndarray, sizes: np.ndarray, hidden: np.ndarr
         # Cut at the middle of the order, so that the depth stays a logarithm.
         by = np.lexsort((sizes[node.own], nearer))
         for half in (by[:len(by) // 2], by[len(by) // 2:]):
-            node.children.append(Node(node.own[half], words, sizes, hidden, roots))
+            node.children.append(Node(node.own[half], words, sizes, hidden, left, roots))
         todo += node.children
     return top
 
@@ -242,10 +246,10 @@ def needed(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
-def met(words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, roots: np.ndarray, left: Node, right: Node,
+def met(words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, left: np.ndarray, roots: np.ndarray, one: Node, other: Node,
         percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of members under the two nodes that sizes, components and signatures do not rule out."""
-    todo = [(left, right)]
+    """Pairs of members under the two nodes that sizes, components, signatures and what is ``left`` do not rule out."""
+    todo = [(one, other)]
     while todo:
         a, b = todo.pop()
         if a.root >= 0 and a.root == b.root:
@@ -253,7 +257,7 @@ def met(words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, roots: np.ndar
         if 100 * min(a.most, b.most) < percent * max(a.least, b.least):
             continue
         bits = int(np.bitwise_count(a.word & b.word).sum())
-        if min(bits + min(a.hidden, b.hidden), a.most, b.most) < needed(a.least, b.least, percent):
+        if min(bits + min(a.hidden, b.hidden), a.left, b.left) < needed(a.least, b.least, percent):
             continue
         if a is b and a.children:
             x, y = a.children
@@ -265,7 +269,7 @@ def met(words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, roots: np.ndar
         else:
             n = np.add.outer(sizes[a.own], sizes[b.own])
             both = np.bitwise_count(words[a.own][:, None, :] & words[b.own][None, :, :]).sum(2, dtype=np.int64)
-            most = np.minimum(both + np.minimum.outer(hidden[a.own], hidden[b.own]), np.minimum.outer(sizes[a.own], sizes[b.own]))
+            most = np.minimum(both + np.minimum.outer(hidden[a.own], hidden[b.own]), np.minimum.outer(left[a.own], left[b.own]))
             fits = (100 + percent) * most >= percent * n
             fits &= roots[a.own][:, None] != roots[b.own][None, :]
             for i, j in np.argwhere(fits):
@@ -274,11 +278,13 @@ def met(words: np.ndarray, sizes: np.ndarray, hidden: np.ndarray, roots: np.ndar
 
 
 def close(sizes: np.ndarray, signatures: list[bytes], roots: np.ndarray, percent: int,
-          sides: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+          sides: np.ndarray | None = None, left: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
     """Pairs of members of different components that may be linked, by trees of each size class.
 
-    With ``sides`` (0 or 1) only pairs of one member of either side.
+    With ``sides`` (0 or 1) only pairs of one member of either side; with ``left``, the most that each shares with any other,
+    only pairs that need no more.
     """
+    left = sizes if left is None else left
     classes = np.array([size_class(int(n)) for n in sizes])
     by_class = {int(k): np.flatnonzero(classes == k) for k in np.unique(classes)}
     for k, own in by_class.items():
@@ -291,7 +297,7 @@ def close(sizes: np.ndarray, signatures: list[bytes], roots: np.ndarray, percent
                 at = by_class[kind]
                 words[at] = folded(np.frombuffer(b"".join(signatures[i] for i in at), np.uint64).reshape(len(at), -1), bits)
             hidden = sizes - np.bitwise_count(words).sum(1, dtype=np.int64)
-            arrays = (words, sizes, hidden, roots)
+            arrays = (words, sizes, hidden, left, roots)
             if sides is None:
                 parts = [(own, own)] if other == k else [(own, by_class[other])]
             else:
@@ -299,9 +305,8 @@ def close(sizes: np.ndarray, signatures: list[bytes], roots: np.ndarray, percent
                 parts = [(own[sides[own] == s], wide[sides[wide] == 1 - s]) for s in ((0,) if other == k else (0, 1))]
             for x, y in parts:
                 if len(x) and len(y):
-                    left = tree(x, *arrays)
-                    right = left if x is y else tree(y, *arrays)
-                    yield from met(*arrays, left, right, percent)
+                    one = tree(x, *arrays)
+                    yield from met(*arrays, one, one if x is y else tree(y, *arrays), percent)
 
 
 # ------------------------------------------------------------------ the join
@@ -309,7 +314,7 @@ def close(sizes: np.ndarray, signatures: list[bytes], roots: np.ndarray, percent
 def candidates(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ids of one group and different components that the trees do not rule out.
 
-    Members are (h, id, root, n, bits). No task holds a large group, and its largest component is not compared
+    Members are (h, id, left, root, n, bits). No task holds a large group, and its largest component is not compared
     with itself (see ``blocks``).
     """
     dealt = in_blocks(members.withColumn("who", F.col("id")), BLOCK)
@@ -319,8 +324,8 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
             _, roots = np.unique(rows.column("root").to_numpy(), return_inverse=True)
             sides = rows.column("side").to_numpy() if crossed(rows) else None
             ids = rows.column("id").to_numpy()
-            found = np.array(list(close(rows.column("n").to_numpy(), rows.column("bits").to_pylist(), roots, percent, sides)),
-                             np.int64).reshape(-1, 2)
+            found = np.array(list(close(rows.column("n").to_numpy(), rows.column("bits").to_pylist(), roots, percent, sides,
+                                        rows.column("left").to_numpy())), np.int64).reshape(-1, 2)
             if len(found):
                 x, y = ids[found[:, 0]], ids[found[:, 1]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
@@ -354,10 +359,12 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     # Within the groups a class is known by 8 bytes of its digest; a chance agreement only adds candidates.
     id_ = F.xxhash64("class").alias("id")
     entries = sets.select(id_, F.posexplode("prefix").alias("at", "h"), "n").select(
-        "id", "h", (F.col("at") < early_size(F.col("n"), percent)).alias("early"))
-    heads = entries.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.max("early").alias("early")).where(
-        "lo <> hi and early").select("h")
-    groups = materialize(entries.join(heads, "h").select("id", "h").distinct(), "tree-groups")
+        "id", "h", "n", (F.col("n") - F.col("at")).alias("left"), (F.col("at") < early_size(F.col("n"), percent)).alias("early"))
+    heads = entries.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(F.when(F.col("early"), F.col("n"))).alias(
+        "least")).where("lo <> hi and least is not null").select("h", "least")
+    smallest = F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))
+    groups = materialize(entries.join(heads, "h").where((100 + percent) * F.col("left") >= percent * (F.col("n") + smallest)).groupBy(
+        "id", "h").agg(F.max("left").alias("left")), "tree-groups")
     signatures = materialize(sets.select(id_, "class", "n", "bits").join(
         groups.select("id").distinct(), "id", "left_semi").dropDuplicates(["class"]), "tree-signatures")
 
@@ -368,9 +375,9 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
         return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
     def labelled(links: DataFrame, name: str) -> DataFrame:
-        """The groups that hold several components: h, id, root."""
+        """The groups that hold several components: h, id, left, root."""
         roots = components(links, name).select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
-        known = groups.join(roots, "id", "left").select("h", "id", F.coalesce("root", "id").alias("root"))
+        known = groups.join(roots, "id", "left").select("h", "id", "left", F.coalesce("root", "id").alias("root"))
         mixed = known.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
         return materialize(known.join(mixed, "h"), f"{name}-open")
 
@@ -389,7 +396,7 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
         sure = confirmed(classes(possible(nearest, percent)), rows, source, percent, f"tree-links-{turn}")
         links = sure if links is None else links.unionByName(sure)
     open_ = labelled(links, "tree-components-last")
-    members = open_.join(signatures.select("id", "n", "bits"), "id").select("h", "id", "root", "n", "bits")
+    members = open_.join(signatures.select("id", "n", "bits"), "id").select("h", "id", "left", "root", "n", "bits")
     links = links.unionByName(confirmed(classes(candidates(members, percent)), rows, source, percent, "tree-links-last"))
     named = components(links, "tree-components").withColumnRenamed("node", "class")
     own = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first"))

@@ -295,6 +295,25 @@ def test_trees_lose_no_pair():
     assert true and true <= found and len(found) < 4 * len(true) + 100
 
 
+def test_linked_pairs_are_found_under_the_first_shared_shingle():
+    """What is left of two linked sets there lets them through; where too little is left no pair is looked at."""
+    rng = np.random.default_rng(9)
+    roots, looked_at, meetings = np.arange(2), 0, 0
+    for n in [5, 20, 90, 300] * 5:
+        base = np.unique(rng.integers(0, 1 << 62, n, dtype=np.uint64))
+        some = np.unique(np.concatenate([base[rng.random(len(base)) < 0.93], rng.integers(0, 1 << 62, max(n // 20, 1), dtype=np.uint64)]))
+        sizes, bits = np.array([len(base), len(some)]), [st.signature(base), st.signature(some)]
+        both = np.intersect1d(base, some)
+        linked = 100 * len(both) >= 80 * (len(base) + len(some) - len(both))
+        prefixes = [x[:st.prefix_size(len(x), 80)] for x in (base, some)]
+        for turn, shingle in enumerate(np.intersect1d(*prefixes)):
+            left = np.array([(x >= shingle).sum() for x in (base, some)])
+            found = list(st.close(sizes, bits, roots, 80, left=left))
+            assert not turn and linked <= len(found) or turn and len(found) <= (left.min() >= st.needed(*map(int, sizes), 80))
+            looked_at, meetings = looked_at + len(found), meetings + 1
+    assert 0 < looked_at < 0.7 * meetings
+
+
 def test_join_of_nothing(spark, empty):
     assert st.linked(empty).collect() == []
     blank = spark.createDataFrame([(1, None), (2, " "), (2, " "), (None, "")], "doc_id long, text string")
