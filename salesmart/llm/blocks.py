@@ -16,16 +16,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.common import tidy
+from salesmart.session import materialize
 
 BLOCK_BYTES = 16 << 20  # of the sets of one block
 BLOCK_PAIRS = 20_000
+FEW_PAIRS = 100_000  # whose blocks are sent to all tasks, some 8 MB
 
 
-def in_blocks(members: DataFrame, block: int) -> DataFrame:
+def in_blocks(members: DataFrame, block: int, more: DataFrame | None = None) -> DataFrame:
     """The rows (h, root, who, ...) once for each pair of blocks (i, j) of their group h that they belong to, sorted by these.
 
     ``side`` is 0 or 1 where only pairs of one row of either side are asked for (i differs from j), which
-    ``crossed`` tells. Groups of one component are left out. Ties for the largest component go to the greatest root.
+    ``crossed`` tells. Groups of one component are left out. Ties for the largest component go to the greatest root. Columns
+    of ``more``, by ``who``, come in last, so that they are dealt out once.
     """
     of_root = members.groupBy("h", "root").agg(F.count(F.lit(1)).alias("k"))
     groups = of_root.groupBy("h").agg(F.sum("k").alias("m"), F.max(F.struct("k", "root")).alias("x")).where(F.col("m") > F.col("x.k"))
@@ -46,8 +49,8 @@ def in_blocks(members: DataFrame, block: int) -> DataFrame:
     whole = F.array(place(F.lit(-1), F.lit(-1), F.lit(0)))
     blocks = F.when(F.col("m") <= 2 * block, whole).when(F.col("minor"), F.concat(with_minors, with_rest)).otherwise(from_rest)
     names = [c for c in members.columns if c != "h"]
-    return joined.withColumn("own", own).select("h", F.explode(blocks).alias("x"), *names).select(
-        "h", "x.i", "x.j", "x.side", *names).repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+    dealt = joined.withColumn("own", own).select("h", F.explode(blocks).alias("x"), *names).select("h", "x.i", "x.j", "x.side", *names)
+    return (dealt if more is None else dealt.join(more, "who")).repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
 
 
 def crossed(rows: pa.Table) -> bool:
@@ -71,22 +74,48 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.Table.from_batches(held)
 
 
+def near_blocks(pairs: DataFrame, sets: DataFrame, k: int, few: bool) -> DataFrame:
+    """(class, block): classes that the pairs (a, b) join stand in one of ``k`` blocks where they fit in, so that few are sent twice.
+
+    A class goes with the least hash among its neighbours and theirs; what would go together beyond a block is cut by hash.
+    """
+    both = pairs.select(F.col("a").alias("class"), F.col("b").alias("other")).unionByName(
+        pairs.select(F.col("b").alias("class"), F.col("a").alias("other")))
+    own = F.xxhash64("class")
+    first = both.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.least(own, F.min(F.xxhash64("other"))).alias("near"))
+    near = first.select(F.col("class").alias("other"), F.col("near").alias("next"))
+    second = both.join(F.broadcast(near) if few else near, "other").groupBy("class").agg(
+        F.count(F.lit(1)).alias("n"), F.min("next").alias("key"))
+    sizes = sets.select("class", (F.size("set").cast("long") * 8).alias("size")).groupBy("class").agg(F.max("size").alias("size"))
+    placed = materialize(second.join(sizes, "class"), "blocks-near")
+    cuts = placed.groupBy("key").agg(F.greatest(
+        F.ceil(F.sum("size") / BLOCK_BYTES), F.ceil(F.sqrt(F.sum("n") / (2 * BLOCK_PAIRS)))).alias("cuts"))
+    return placed.join(cuts, "key").select("class", F.pmod(
+        F.xxhash64("key", F.pmod(F.xxhash64("class", F.lit(k)), "cuts")), F.lit(k)).cast("int").alias("block"))
+
+
 def checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Of the pairs (a, b) of classes, links that join what all linked pairs would join.
 
-    ``sets`` are (class, set). Classes are dealt to blocks whose sets fit in memory together, and the pairs of two
-    blocks are checked in one task, which is sent each set that it needs once, however many pairs it is in. A
-    pair whose classes are connected by links found in the same task is not counted.
+    ``sets`` are (class, set); a class may have several equal rows. Classes are dealt to blocks whose sets fit in memory
+    together, and the pairs of two blocks are checked in one task, which is sent each set that it needs once, however many
+    pairs it is in. A pair whose classes are connected by links found in the same task is not counted.
     """
     size, n = sets.agg(F.sum(F.size("set").cast("long") * 8)).first()[0] or 0, pairs.count()
-    k = max(1, math.ceil(size / BLOCK_BYTES), math.ceil(math.sqrt(n / BLOCK_PAIRS)))
-
-    def block(c: str) -> Column:
-        return F.pmod(F.xxhash64(c, F.lit(k)), F.lit(k)).cast("int")
-
-    dealt = pairs.select("a", "b", block("a").alias("i"), block("b").alias("j"))
+    k = max(1, math.ceil(size / BLOCK_BYTES), math.ceil(n / BLOCK_PAIRS))
+    few = n <= FEW_PAIRS
+    if k == 1:
+        dealt = pairs.select("a", "b", F.lit(0).alias("i"), F.lit(0).alias("j"))
+    else:
+        place = materialize(near_blocks(pairs, sets, k, few), "blocks-place")
+        dealt = pairs
+        for c, block in (("a", "i"), ("b", "j")):
+            named = place.select(F.col("class").alias(c), F.col("block").alias(block))
+            dealt = dealt.join(F.broadcast(named) if few else named, c)
+        dealt = dealt.select("a", "b", "i", "j")
     needed = dealt.select("i", "j", F.col("a").alias("class")).distinct().unionByName(
         dealt.select("i", "j", F.col("b").alias("class")).distinct()).distinct()
+    needed = F.broadcast(needed) if few else needed
     with_sets = needed.join(sets, "class").select("i", "j", F.col("class").alias("a"), F.lit(None).cast("binary").alias("b"), "set")
     both = with_sets.unionByName(dealt.withColumn("set", F.lit(None).cast("array<long>")))
     rows = both.repartition("i", "j").sortWithinPartitions("i", "j", F.col("b").isNotNull()).select("i", "j", "a", "b", "set")

@@ -138,16 +138,20 @@ def signatures(docs: DataFrame) -> DataFrame:
 def of_classes(texts: DataFrame, what: str) -> DataFrame:
     """One row for each class among the rows of (class, text) whose text is of that class.
 
-    ``what`` is ``set``, its distinct shingle hashes, or ``sharp``, its sketch of ``SHARP`` samples.
+    ``what`` is ``set``, its distinct shingle hashes, or ``sharp``, its sketch of ``SHARP`` samples. Sets are
+    not dealt out for it: a class may have an equal one from each task that meets its text.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             for lo, hi in byte_slices(batch.column("text"), SLICE_BYTES):
                 hashes, counts = shingle_sets(utf8(batch.column("text").slice(lo, hi - lo)))
                 wanted = batch.column("class").slice(lo, hi - lo).to_pylist()
                 sets = {w: x for w, x in zip(
-                    wanted, map(np.unique, np.split(hashes, np.cumsum(counts)[:-1])), strict=True) if class_of(x) == w}
+                    wanted, map(np.unique, np.split(hashes, np.cumsum(counts)[:-1])), strict=True) if w not in seen and class_of(x) == w}
+                if len(seen) < 1 << 16:
+                    seen.update(sets)
                 values = [x.view(np.int64) for x in sets.values()]
                 if what == "sharp" and sets:
                     sizes = np.fromiter(map(len, values), np.int64, len(values))
@@ -155,7 +159,8 @@ def of_classes(texts: DataFrame, what: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(sets), pa.binary()), pa.array(values, pa.list_(pa.int64()))], ["class", what])
 
-    return texts.mapInArrow(tidy(run), f"class binary, {what} array<long>").dropDuplicates(["class"])
+    found = texts.mapInArrow(tidy(run), f"class binary, {what} array<long>")
+    return found if what == "set" else found.dropDuplicates(["class"])
 
 
 def different(a: str, b: str) -> Column:

@@ -10,7 +10,9 @@ n - ceil(percent n) + 1, and linked sets share a shingle of their prefixes. The
 the smaller set's first n - ceil(2 percent n / (100 + percent)) + 1, so a shingle that stands so early in no
 set brings none together. What two sets can share from a shingle on is at most what either has left there, and under the
 first shared one that is all they share: a set stays in a group only where it has enough left for the least set
-that stands early there, and a pair is only looked at where both have enough left for a link. The order is by hash, but
+that stands early there, and a pair is only looked at where both have enough left for a link. Most shingles stand in
+one prefix only: a table of bits, made of four bytes a shingle, keeps them from being dealt out. Shingles that bring the
+same sets together are one group: what counts is left at the first of them. The order is by hash, but
 frequent shingles come last, so that passages that many documents share rarely bring documents
 together. Which count as frequent is an estimate (``frequent``, a bounded table): any one order gives
 the same links.
@@ -37,15 +39,17 @@ their names, are not looked at. Shingles are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from salesmart.llm.blocks import crossed, in_blocks, runs_of
-from salesmart.llm.common import byte_slices, mix64, utf8
+from salesmart.llm.common import byte_slices, mix64, tidy, utf8
 from salesmart.llm.odd_sketch import class_of, components, confirmed, shingle_sets
 from salesmart.session import materialize
 
@@ -58,6 +62,11 @@ BLOCK = 2048
 #: Shingles that the order puts last: at most so many, of so many documents at least.
 FREQUENT_ROWS, FREQUENT_COUNT = 1 << 18, 24
 COUNTED_AT_ONCE = 1 << 19
+#: The table of shared shingles: entries for each bin and sent at once, bits that name a shingle in its bin, bits of a bin and of all.
+BIN_ENTRIES, KEY_BITS = 1 << 20, 30
+BIN_BITS, TABLE_BITS = 1 << 21, 1 << 28
+#: Groups whose pairs are looked at when they are made, and groups that a task holds then.
+FEW, MANY = 64, 1 << 18
 
 
 # ------------------------------------------------------------------ the order and the prefixes
@@ -134,9 +143,9 @@ def prefix_size(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def early_size(n: Column, percent: int) -> Column:
-    """Places of a set of ``n`` among which the first shingle shared with a linked set, no smaller, stands."""
-    return n - F.ceil(2 * percent * n / (100 + percent)) + 1
+def early_size(n: np.ndarray, percent: int) -> np.ndarray:
+    """Places of sets of ``n`` among which the first shingle shared with a linked set, no smaller, stands."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
 
 
 # ------------------------------------------------------------------ signatures
@@ -202,6 +211,176 @@ def sketched(docs: DataFrame, order: Order, percent: int) -> tuple[DataFrame, Da
             all_.where(F.col("bits").isNotNull()).select("class", F.col("n_shingles").alias("n"), "prefix", "bits"))
 
 
+# ------------------------------------------------------------------ the groups
+
+def in_prefixes(batch: pa.RecordBatch, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(h, row, left, early) of all places of the prefixes of a batch of sets (n, prefix)."""
+    sizes = pc.list_value_length(batch.column("prefix")).to_numpy()
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    n = batch.column("n").to_numpy()[row]
+    return pc.list_flatten(batch.column("prefix")).to_numpy().view(np.uint64), row, n - at, at < early_size(n, percent)
+
+
+def place_of(shingles: np.ndarray, bins: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bin, key): the part of the table of shared shingles that each belongs to, and ``KEY_BITS`` that name it there."""
+    mixed = mix64(shingles)
+    return (mixed >> np.uint64(32)) % np.uint64(bins), mixed & np.uint64((1 << KEY_BITS) - 1)
+
+
+def shared_table(sets: DataFrame, percent: int) -> np.ndarray:
+    """Bits (bins x bits) that are set for the shingles that stand in several prefixes, early in one, and for few others.
+
+    A task sends each bin its shingles as numbers of four bytes, each once, marked if several sets there have it and
+    if it stands early in one. The table has at most ``TABLE_BITS`` whatever the size of the input; a full one only
+    lets more shingles through.
+    """
+    # Of n shingles a prefix has n - ceil(percent n / 100) + 1.
+    total = sets.agg(F.sum(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).first()[0] or 0
+    bins = max(1, math.ceil(total / BIN_ENTRIES))
+    size = min(BIN_BITS, 1 << max((TABLE_BITS // bins).bit_length() - 1, 3))
+
+    def packed(codes: np.ndarray) -> pa.RecordBatch:
+        """(bin, keys) of the codes: bin, key and whether it stands early."""
+        codes = np.sort(codes)
+        which = codes >> np.uint64(1)
+        lasts = np.flatnonzero(np.append(which[1:] != which[:-1], True))
+        several = np.diff(lasts, prepend=-1) > 1
+        sent = (which[lasts] << np.uint64(2) | several.astype(np.uint64) << np.uint64(1) | codes[lasts] & np.uint64(1)).astype("<u4")
+        bin_ = (which[lasts] >> np.uint64(KEY_BITS)).astype(np.int32)
+        edges = np.flatnonzero(bin_[1:] != bin_[:-1]) + 1
+        return pa.RecordBatch.from_arrays([pa.array(bin_[np.append(0, edges)]), pa.array(
+            [part.tobytes() for part in np.split(sent, edges)], pa.binary())], ["bin", "keys"])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            h, _, _, early = in_prefixes(batch, percent)
+            bin_, key = place_of(h, bins)
+            held.append((bin_ << np.uint64(KEY_BITS) | key) << np.uint64(1) | early.astype(np.uint64))
+            if sum(map(len, held)) >= BIN_ENTRIES:
+                yield packed(np.concatenate(held))
+                held.clear()
+        if sum(map(len, held)):
+            yield packed(np.concatenate(held))
+
+    def answer(rows: pa.Table) -> pa.Table:
+        sent = np.concatenate([np.frombuffer(x, "<u4") for x in rows.column("keys").to_pylist()])
+        keys, place, n = np.unique(sent >> 2, return_inverse=True, return_counts=True)
+        several, early = n > 1, np.zeros(len(keys), bool)
+        several[place[sent & 2 > 0]] = True
+        early[place[sent & 1 > 0]] = True
+        bits = np.zeros(size, bool)
+        bits[keys[several & early] % size] = True
+        return pa.table({"bin": rows.column("bin").slice(0, 1), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+    parts = sets.select("n", "prefix").mapInArrow(tidy(send), "bin int, keys binary").groupBy("bin").applyInArrow(
+        answer, "bin int, bits binary").toArrow()
+    table = np.zeros((bins, size // 8), np.uint8)
+    for bin_, bits in zip(parts.column("bin").to_pylist(), parts.column("bits").to_pylist(), strict=True):
+        table[bin_] = np.frombuffer(bits, np.uint8)
+    return table
+
+
+def entries_of(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, h, n, left, early) of the shingles of the prefixes that may bring sets (id, n, prefix) together."""
+    shared = sets.sparkSession.sparkContext.broadcast(shared_table(sets, percent))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = shared.value
+        for batch in batches:
+            h, row, left, early = in_prefixes(batch, percent)
+            bin_, key = place_of(h, len(table))
+            bit = (key % np.uint64(table.shape[1] * 8)).astype(np.int64)
+            some = np.flatnonzero(table[bin_.astype(np.int64), bit >> 3] << (bit & 7).astype(np.uint8) & 128)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(pa.array(row[some])), pa.array(h[some].view(np.int64)),
+                 batch.column("n").take(pa.array(row[some])), pa.array(left[some]), pa.array(early[some])],
+                ["id", "h", "n", "left", "early"])
+
+    return sets.select("id", "n", "prefix").mapInArrow(tidy(run), "id long, h long, n long, left long, early boolean")
+
+
+def meeting(rows: np.ndarray, percent: int) -> np.ndarray:
+    """Of rows (h, id, n, left, early) of whole groups, sorted by h and id, those that may be linked there, as (id, group, left).
+
+    A member of a group of up to ``FEW`` stays if with another one sizes allow a link, both have enough left for it and the shingle
+    stands early in the smaller; of larger groups all stay that have enough left for the least set that stands early. A
+    group is named by its members.
+    """
+    rows = rows[:, np.append(True, (rows[:4, 1:] != rows[:4, :-1]).any(0))[:rows.shape[1]]]
+
+    def runs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        firsts = np.flatnonzero(np.append(True, rows[0, 1:] != rows[0, :-1])[:rows.shape[1]])
+        return firsts, np.diff(np.append(firsts, rows.shape[1]))
+
+    firsts, m = runs(rows)
+    if not len(firsts):
+        return np.zeros((3, 0), np.int64)
+    none = np.iinfo(np.int64).max
+    _, _, n, left, early = rows
+    least = np.repeat(np.minimum.reduceat(np.where(early > 0, n, none), firsts), m)
+    enough = (100 + percent) * left >= percent * (n + np.maximum(np.where(least < none, least, n), -(-percent * n // 100)))
+    rows = rows[:, (least < none) & enough]
+    firsts, m = runs(rows)
+    of, kept = np.repeat(m, m), np.repeat(m > FEW, m)
+    here = np.flatnonzero((of > 1) & ~kept)
+    last = np.repeat(firsts + m, m)
+    for step in range(1, FEW):
+        here = here[here + step < last[here]]
+        if not len(here):
+            break
+        (_, i, n, left, early), (_, j, k, rest, soon) = rows[:, here], rows[:, here + step]
+        linked = (i != j) & (100 * np.minimum(n, k) >= percent * np.maximum(n, k))
+        linked &= (100 + percent) * np.minimum(left, rest) >= percent * (n + k)
+        linked &= ((early > 0) | (n > k)) & ((soon > 0) | (k > n))
+        kept[here[linked]] = kept[here[linked] + step] = True
+    rows = rows[:, kept]
+    firsts, m = runs(rows)
+    if not len(firsts):
+        return np.zeros((3, 0), np.int64)
+    # Equal sums of 64 bits are as rare among different members as equal hashes are.
+    names = mix64(np.add.reduceat(mix64(rows[1].view(np.uint64)), firsts) + m.astype(np.uint64))
+    return np.stack([rows[1], np.repeat(names, m).view(np.int64), rows[3]])
+
+
+def groups_of(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, h, left, k): the groups that sets (id, n, prefix) meet in, one for all shingles that bring the same sets together.
+
+    ``k`` is how many such shingles there are; ``left`` is taken at the first. A group beyond ``MANY`` is not held: all its rows stay.
+    """
+    names = ["h", "id", "n", "left", "early"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, passing = np.zeros((5, 0), np.int64), None
+
+        def out(found: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["id", "h", "left"])
+
+        for batch in batches:
+            rows = np.stack([batch.column(c).to_numpy() for c in names])
+            rows = np.concatenate([held, rows], axis=1)
+            if passing is not None:
+                n = int(np.searchsorted(rows[0], passing, "right"))
+                yield out(rows[[1, 0, 3], :n])
+                rows = rows[:, n:]
+                passing = passing if not rows.shape[1] else None
+            if not rows.shape[1]:
+                held = rows
+                continue
+            edge = int(np.searchsorted(rows[0], rows[0, -1]))
+            yield out(meeting(rows[:, :edge], percent))
+            held = rows[:, edge:].copy()
+            if held.shape[1] > MANY:
+                yield out(held[[1, 0, 3]])
+                held, passing = held[:, :0], int(held[0, 0])
+        yield out(meeting(held, percent))
+
+    entries = entries_of(sets, percent).withColumn("early", F.col("early").cast("long")).select(*names)
+    met = entries.repartition("h").sortWithinPartitions("h", "id").mapInArrow(tidy(run), "id long, h long, left long")
+    return materialize(met.groupBy("id", "h").agg(F.max("left").alias("left"), F.count(F.lit(1)).alias("k")), "tree-groups")
+
+
 # ------------------------------------------------------------------ trees
 
 class Node:
@@ -311,13 +490,13 @@ def close(sizes: np.ndarray, signatures: list[bytes], roots: np.ndarray, percent
 
 # ------------------------------------------------------------------ the join
 
-def candidates(members: DataFrame, percent: int) -> DataFrame:
+def candidates(members: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) of ids of one group and different components that the trees do not rule out.
 
-    Members are (h, id, left, root, n, bits). No task holds a large group, and its largest component is not compared
+    Members are (h, id, left, root), signatures (id, n, bits). No task holds a large group, and its largest component is not compared
     with itself (see ``blocks``).
     """
-    dealt = in_blocks(members.withColumn("who", F.col("id")), BLOCK)
+    dealt = in_blocks(members.withColumnRenamed("id", "who"), BLOCK, signatures.withColumnRenamed("id", "who")).withColumnRenamed("who", "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs_of(batches, ["h", "i", "j"]):
@@ -358,13 +537,7 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
     rows, sets = sketched(source, order, percent)
     # Within the groups a class is known by 8 bytes of its digest; a chance agreement only adds candidates.
     id_ = F.xxhash64("class").alias("id")
-    entries = sets.select(id_, F.posexplode("prefix").alias("at", "h"), "n").select(
-        "id", "h", "n", (F.col("n") - F.col("at")).alias("left"), (F.col("at") < early_size(F.col("n"), percent)).alias("early"))
-    heads = entries.groupBy("h").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.min(F.when(F.col("early"), F.col("n"))).alias(
-        "least")).where("lo <> hi and least is not null").select("h", "least")
-    smallest = F.greatest(F.col("least"), F.ceil(percent * F.col("n") / 100))
-    groups = materialize(entries.join(heads, "h").where((100 + percent) * F.col("left") >= percent * (F.col("n") + smallest)).groupBy(
-        "id", "h").agg(F.max("left").alias("left")), "tree-groups")
+    groups = groups_of(sets.select(id_, "n", "prefix"), percent)
     signatures = materialize(sets.select(id_, "class", "n", "bits").join(
         groups.select("id").distinct(), "id", "left_semi").dropDuplicates(["class"]), "tree-signatures")
 
@@ -375,9 +548,9 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
         return pairs.select(F.col("class_a").alias("a"), F.col("class_b").alias("b"))
 
     def labelled(links: DataFrame, name: str) -> DataFrame:
-        """The groups that hold several components: h, id, left, root."""
+        """The groups that hold several components: h, id, left, k, root."""
         roots = components(links, name).select(F.xxhash64("node").alias("id"), F.xxhash64("root").alias("root"))
-        known = groups.join(roots, "id", "left").select("h", "id", "left", F.coalesce("root", "id").alias("root"))
+        known = groups.join(roots, "id", "left").select("h", "id", "left", "k", F.coalesce("root", "id").alias("root"))
         mixed = known.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
         return materialize(known.join(mixed, "h"), f"{name}-open")
 
@@ -387,7 +560,7 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
         drawn = F.xxhash64("id", F.lit(turn))
         leaders = open_.groupBy("h").agg(F.min(F.struct(drawn.alias("x"), F.col("id"), F.col("root"))).alias("l")).select(
             "h", F.col("l.id").alias("leader"), F.col("l.root").alias("led"))
-        shared = open_.join(leaders, "h").where(F.col("root") != F.col("led")).groupBy("id", "leader").agg(F.count(F.lit(1)).alias("k"))
+        shared = open_.join(leaders, "h").where(F.col("root") != F.col("led")).groupBy("id", "leader").agg(F.sum("k").alias("k"))
         nearest = shared.groupBy("id").agg(F.max(F.struct("k", "leader")).alias("x")).select(
             F.col("id").alias("a"), F.col("x.leader").alias("b"))
         for side in ("a", "b"):
@@ -396,8 +569,8 @@ def linked(docs: DataFrame, percent: int = 80, id_col: str = "doc_id", text_col:
         sure = confirmed(classes(possible(nearest, percent)), rows, source, percent, f"tree-links-{turn}")
         links = sure if links is None else links.unionByName(sure)
     open_ = labelled(links, "tree-components-last")
-    members = open_.join(signatures.select("id", "n", "bits"), "id").select("h", "id", "left", "root", "n", "bits")
-    links = links.unionByName(confirmed(classes(candidates(members, percent)), rows, source, percent, "tree-links-last"))
+    found = candidates(open_.select("h", "id", "left", "root"), signatures.select("id", "n", "bits"), percent)
+    links = links.unionByName(confirmed(classes(found), rows, source, percent, "tree-links-last"))
     named = components(links, "tree-components").withColumnRenamed("node", "class")
     own = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("first"))
     placed = own.join(named, "class", "left").select("class", "first", F.coalesce("root", "class").alias("root"))

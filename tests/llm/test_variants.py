@@ -318,3 +318,58 @@ def test_join_of_nothing(spark, empty):
     assert st.linked(empty).collect() == []
     blank = spark.createDataFrame([(1, None), (2, " "), (2, " "), (None, "")], "doc_id long, text string")
     assert rows_of(st.linked(blank), "doc_id", "n_shingles", "component_id") == [(1, 0, 1), (2, 0, 2), (2, 0, 2), (None, 0, None)]
+
+
+def test_shingles_of_one_set_are_not_dealt_out_and_equal_groups_are_one(spark):
+    """Near copies meet in one group whatever they share; shingles of one prefix only go nowhere; every linked pair meets."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(30)]
+    near = [t.replace(f"w{i}x200 ", "changed ") for i, t in enumerate(texts[:10])]
+    docs = spark.createDataFrame(list(enumerate([*texts, *near, texts[0]])), "doc_id long, text string")
+    source = docs.withColumn("t", F.xxhash64("text")).repartition(3)
+    _, sets = st.sketched(source, st.Order(np.zeros(0, np.uint64)), 80)
+    sets = sets.select(F.xxhash64("class").alias("id"), "n", "prefix")
+    total = sets.agg(F.sum(F.size("prefix"))).first()[0]
+    # Two thirds of the sets share nothing.
+    assert st.entries_of(sets, 80).count() < 0.6 * total
+    found = st.groups_of(sets, 80).collect()
+    assert len(found) == 20 and len({r.h for r in found}) == 10 and all(r.k > 1 for r in found)
+    assert rows_of(st.linked(docs), "doc_id", "component_id") == sorted(
+        [(i, i) for i in range(30)] + [(30 + i, i) for i in range(10)] + [(40, 0)])
+
+
+def test_members_that_may_be_linked_stay_in_groups_of_any_size(monkeypatch):
+    """Held against all pairs; of a group too large to look at its pairs none goes that has a partner."""
+    rng = np.random.default_rng(5)
+    for few in (64, 4):
+        monkeypatch.setattr(st, "FEW", few)
+        n = rng.integers(20, 60, 300)
+        rows = np.stack([rng.integers(-9, 9, 300), rng.integers(-50, 50, 300), n, n - rng.integers(0, 8, 300), rng.integers(0, 2, 300)])
+        rows = rows[:, np.lexsort((rows[1], rows[0]))]
+        kept = set(st.meeting(rows, 80)[0].tolist())
+        want = {int(i) for h, i, a, left, early in rows.T for g, j, b, rest, soon in rows.T
+                if h == g and i != j and 100 * min(a, b) >= 80 * max(a, b) and min(left, rest) >= st.needed(int(a), int(b), 80)
+                and (early or a > b) and (soon or b > a)}
+        assert kept >= want and (few < 64 or kept == want)
+
+
+def test_near_classes_are_checked_together(spark, monkeypatch):
+    """Pairs of a cluster stand in one block, a cluster beyond a block is cut, and no link is lost."""
+    from salesmart.llm import blocks
+
+    sets = [(bytes([c, i]), [c * 1000 + x for x in range(i, i + 90)]) for c in range(8) for i in range(6)]
+    pairs = [(bytes([c, i]), bytes([c, j])) for c in range(8) for i in range(6) for j in range(i + 1, 6)]
+    frames = (spark.createDataFrame(pairs, "a binary, b binary"),
+              spark.createDataFrame(sets + sets[:5], "class binary, set array<long>"))
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 6 * 90 * 8)
+    place = {bytes(r["class"])[0]: r.block for r in blocks.near_blocks(*frames, 9, True).collect()}
+    assert blocks.near_blocks(*frames, 9, False).where("block is null").count() == 0
+    spread = blocks.near_blocks(*frames, 9, True).distinct().count()
+    assert spread == 48 and len({(bytes(r["class"])[0], r.block) for r in blocks.near_blocks(*frames, 9, True).collect()}) == len(place)
+    for most in (6 * 90 * 8, 90 * 8):
+        monkeypatch.setattr(blocks, "BLOCK_BYTES", most)
+        root = {name: name for name, _ in sets}
+        for r in blocks.checked(*frames, 80).collect():
+            a, b = bytes(r.a), bytes(r.b)
+            low, high = sorted((root[a], root[b]))
+            root = {k: low if v == high else v for k, v in root.items()}
+        assert len(set(root.values())) == 8
